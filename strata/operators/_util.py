@@ -15,7 +15,10 @@ def as_list(x) -> list:
 
 
 def key_pairs(key) -> list[tuple[str, str]]:
-    """``"k"`` / ``["a", "b"]`` / ``[("child_k", "parent_k"), ...]`` -> pairs."""
+    """``"k"`` / ``["a", "b"]`` / ``("child_k", "parent_k")`` /
+    ``[("child_k", "parent_k"), ...]`` -> list of (child, parent) pairs."""
+    if isinstance(key, tuple) and len(key) == 2 and all(isinstance(k, str) for k in key):
+        return [key]
     out = []
     for k in as_list(key):
         out.append(k if isinstance(k, tuple) else (k, k))

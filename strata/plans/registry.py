@@ -38,4 +38,6 @@ def load_all() -> None:
     """Import every catalogue module (they register on import)."""
     from strata.plans import (  # noqa: F401
         q_marts,
+        q_clean,
+        q_relate,
     )
