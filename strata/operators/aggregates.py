@@ -93,10 +93,12 @@ def weighted_score(df: DataFrame, by, flags: dict[str, float], distance: str, pe
     )
 
 
-def profile(df: DataFrame, cols) -> DataFrame:
+def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
     """E5: long-format profile: one row per (column, statistic).
 
-    count / mean / stddev / min / max come from one aggregate pass;
+    count / mean / stddev / min / max come from one aggregate pass (mean
+    from an exact sum of ``scale``-decimal amounts, stddev rounded to 6
+    decimals so it does not depend on summation order);
     quartiles are exact (interpolated) and computed per column from a
     distributed global rank, never from one task holding all values.
     """
@@ -108,8 +110,8 @@ def profile(df: DataFrame, cols) -> DataFrame:
         x = F.col(c).cast("double")
         stats += [
             F.count(x).cast("double").alias(f"{c}|count"),
-            F.avg(x).alias(f"{c}|mean"),
-            F.stddev_samp(x).alias(f"{c}|stddev"),
+            (exact_sum(c, scale) / F.count(x)).alias(f"{c}|mean"),
+            F.round(F.stddev_samp(x), 6).alias(f"{c}|stddev"),
             F.min(x).alias(f"{c}|min"),
             F.max(x).alias(f"{c}|max"),
         ]

@@ -40,4 +40,5 @@ def load_all() -> None:
         q_marts,
         q_clean,
         q_relate,
+        q_shape,
     )
