@@ -32,10 +32,11 @@ def scd2_seed(src: DataFrame, key, tracked, ts: str, tie_break=None) -> DataFram
     """First load: each key's newest row becomes version 1, open-ended."""
     keys, tracked = as_list(key), as_list(tracked)
     latest = _latest(src, keys, tracked, ts, tie_break)
+    ts_type = src.schema[ts].dataType
     return latest.select(
         *keys, *tracked, "_hash",
-        F.col(ts).cast("timestamp").alias("effective_from"),
-        F.lit(None).cast("timestamp").alias("effective_to"),
+        F.col(ts).alias("effective_from"),
+        F.lit(None).cast(ts_type).alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
 
@@ -59,16 +60,17 @@ def scd2_apply(dim: DataFrame, src: DataFrame, key, tracked, ts: str, tie_break=
     closed = dim.where(~F.col("is_current")).select(*out_cols)
     cur = dim.where(F.col("is_current")).select(*out_cols)
     latest = _latest(src, keys, tracked, ts, tie_break)
+    ts_type = dim.schema["effective_from"].dataType
     s = latest.select(*keys, F.struct(*[F.col(c) for c in tracked + ["_hash"]],
-                                      F.col(ts).cast("timestamp").alias("_ts")).alias("_s"))
+                                      F.col(ts).cast(ts_type).alias("_ts")).alias("_s"))
     c = cur.select(*keys, F.struct(*[F.col(c) for c in out_cols if c not in keys]).alias("_c"))
     j = c.join(s, keys, "full")
 
     def version(src_struct, frm, to, current):
         return F.struct(*[F.col(f"{src_struct}.{t}").alias(t) for t in tracked],
                         F.col(f"{src_struct}._hash").alias("_hash"),
-                        frm.cast("timestamp").alias("effective_from"),
-                        to.cast("timestamp").alias("effective_to"),
+                        frm.cast(ts_type).alias("effective_from"),
+                        to.cast(ts_type).alias("effective_to"),
                         F.lit(current).alias("is_current"))
 
     keep_cur = version("_c", F.col("_c.effective_from"), F.col("_c.effective_to"), True)
@@ -93,7 +95,7 @@ def scd2_stale(dim: DataFrame, src: DataFrame, key, tracked, ts: str, tie_break=
     cur = dim.where(F.col("is_current")).select(*keys, F.col("effective_from").alias("_cur_from"),
                                                    F.col("_hash").alias("_cur_hash"))
     return latest.join(cur, keys).where(
-        (F.col(ts).cast("timestamp") <= F.col("_cur_from")) & (F.col("_hash") != F.col("_cur_hash"))
+        (F.col(ts) <= F.col("_cur_from")) & (F.col("_hash") != F.col("_cur_hash"))
     ).drop("_cur_from", "_cur_hash")
 
 
@@ -114,8 +116,8 @@ def scd2_history(changes: DataFrame, key, tracked, ts: str, tie_break=None, unit
     with_next = neighbors(kept, keys, order, [ts], unit, prefix_next="_nx_")
     return with_next.select(
         *keys, *tracked, "_hash",
-        F.col(ts).cast("timestamp").alias("effective_from"),
-        F.col(f"_nx_{ts}").cast("timestamp").alias("effective_to"),
+        F.col(ts).alias("effective_from"),
+        F.col(f"_nx_{ts}").alias("effective_to"),
         F.col(f"_nx_{ts}").isNull().alias("is_current"),
     )
 
@@ -130,7 +132,8 @@ def scd2_current(dim: DataFrame, key, sk_name: str = "sk") -> DataFrame:
 
 def version_at(dim: DataFrame, at) -> DataFrame:
     """The dimension as it was at time ``at`` (one version per key)."""
-    t = F.lit(at).cast("timestamp") if not hasattr(at, "alias") else at
+    ts_type = dim.schema["effective_from"].dataType
+    t = F.lit(at).cast(ts_type) if not hasattr(at, "alias") else at
     return dim.where((F.col("effective_from") <= t) & (F.col("effective_to").isNull() | (t < F.col("effective_to"))))
 
 

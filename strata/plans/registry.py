@@ -41,4 +41,5 @@ def load_all() -> None:
         q_clean,
         q_relate,
         q_shape,
+        q_change,
     )
