@@ -42,4 +42,5 @@ def load_all() -> None:
         q_relate,
         q_shape,
         q_change,
+        q_quality,
     )
