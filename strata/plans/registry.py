@@ -43,4 +43,5 @@ def load_all() -> None:
         q_shape,
         q_change,
         q_quality,
+        q_tiles,
     )
