@@ -44,4 +44,5 @@ def load_all() -> None:
         q_change,
         q_quality,
         q_tiles,
+        q_stream,
     )
