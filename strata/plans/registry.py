@@ -45,4 +45,5 @@ def load_all() -> None:
         q_quality,
         q_tiles,
         q_stream,
+        q_protect,
     )
