@@ -1,9 +1,9 @@
 """Queries: streaming (S2-S5) and windows over the events table.
 
-The streaming queries land the events (with derived replays / dirt) as a
-few parquet files in a run folder under the shared checkpoint folder, run a
-real Structured Streaming query over them with ``availableNow`` and one
-file per micro-batch, and return what the sink committed.
+The streaming queries land the events (with derived replays / dirt) slice
+by slice in a run folder under the shared checkpoint folder and run a real
+Structured Streaming query after each arrival (``availableNow``, one
+checkpoint), then return what the sink committed.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ FILES = 4  # micro-batches per streaming query (arrival order = event id order)
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def _land(t, name, replays: bool = False, dirty: bool = False):
-    """Write the events (arrival order = event id) into FILES parquet files;
-    replays of 'click' events land one file after their original."""
+def _slices(t, replays: bool = False, dirty: bool = False):
+    """The events in arrival order (event id) cut into FILES slices;
+    replays of 'click' events arrive one slice after their original."""
     e = t.events.select(*EVENT_COLS)
     if dirty:
         e = e.withColumn("value", F.when(F.pmod("event_id", F.lit(50)) == 0, -F.col("value")).otherwise(F.col("value")))
@@ -31,25 +31,32 @@ def _land(t, name, replays: bool = False, dirty: bool = False):
     if replays:
         r = e.where(F.col("event_type") == "click").withColumn("_file", F.least(F.col("_file") + 1, F.lit(FILES - 1)))
         e = e.unionByName(r)
-    root = run_dir(t.spark, name)
-    e.repartition(FILES, "_file").write.partitionBy("_file").parquet(f"{root}/input")
-    schema = t.spark.read.parquet(f"{root}/input").drop("_file").schema
-    return root, schema
+    return e
 
 
-def _stream(t, root, schema):
-    s = file_stream(t.spark, f"{root}/input/_file=*", "parquet", schema, max_files_per_trigger=1)
-    return S.event_time(s.drop("_source_file", "_ingest_ts"), "ts")
+def _run(t, name, out_fn, replays: bool = False, dirty: bool = False):
+    """Land one slice at a time and run the same streaming query over what
+    has arrived (``availableNow``, shared checkpoint): every run is one
+    micro-batch of new files, as in a scheduled incremental job, and the
+    watermark carries over between runs. Returns the committed output."""
+    e = _slices(t, replays, dirty)
+    root = run_dir(t.spark, name)
+    schema = e.drop("_file").schema
+    stream = S.event_time(
+        file_stream(t.spark, f"{root}/input/part=*", "parquet", schema).drop("_source_file", "_ingest_ts"), "ts")
+    out = out_fn(stream)
+    for i in range(FILES):
+        e.where(F.col("_file") == i).drop("_file").write.parquet(f"{root}/input/part={i:04d}")
+        stream_to_table(out, f"{root}/out", f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/out")
 
 
 @query("stream_dedup", "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM events")
 def stream_dedup(t):
     """Replays (same id, same time) dropped inside a 2-hour watermark;
     state is evicted as the watermark passes."""
-    root, schema = _land(t, "stream_dedup", replays=True)
-    out = S.dedup_stream(_stream(t, root, schema), "ts", ["event_id"], "2 hours")
-    stream_to_table(out, f"{root}/out", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out").select(*EVENT_COLS)
+    out = _run(t, "stream_dedup", lambda s: S.dedup_stream(s, "ts", ["event_id"], "2 hours"), replays=True)
+    return out.select(*EVENT_COLS)
 
 
 @query("stream_filter", """
@@ -58,10 +65,8 @@ SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type,
 FROM events WHERE (CASE WHEN event_id % 50 = 0 THEN -value ELSE value END) BETWEEN 0 AND 300""")
 def stream_filter(t):
     """S3: invalid readings dropped before any stateful step."""
-    root, schema = _land(t, "stream_filter", dirty=True)
-    out = S.drop_invalid_stream(_stream(t, root, schema), F.col("value").between(0, 300))
-    stream_to_table(out, f"{root}/out", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out").select(*EVENT_COLS)
+    out = _run(t, "stream_filter", lambda s: S.drop_invalid_stream(s, F.col("value").between(0, 300)), dirty=True)
+    return out.select(*EVENT_COLS)
 
 
 @query("stream_daily_counts", """
@@ -72,10 +77,7 @@ SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HO
 def stream_daily_counts(t):
     """Tumbling daily counts per type, append mode: only windows the
     watermark (max time - 1 hour) has closed are emitted."""
-    root, schema = _land(t, "stream_daily_counts")
-    out = S.windowed_counts(_stream(t, root, schema), "ts", "1 day", "1 hour", by="event_type")
-    stream_to_table(out, f"{root}/out", f"{root}/checkpoint")
-    return t.spark.read.parquet(f"{root}/out")
+    return _run(t, "stream_daily_counts", lambda s: S.windowed_counts(s, "ts", "1 day", "1 hour", by="event_type"))
 
 
 @query("session_counts", """
