@@ -96,6 +96,8 @@ def fact_premium(policies: DataFrame, customers: DataFrame | None = None) -> Dat
 def fact_claims(claims: DataFrame, dim_pol: DataFrame) -> DataFrame:
     """One row per claim with date key, product line, state, customer."""
     pol = dim_pol.select("policy_id", "customer_id", "agent_id", "product_line", "state")
+    # policy attributes come from the policy dimension (one source of truth)
+    claims = claims.drop(*[c for c in ("customer_id", "agent_id", "product_line", "state") if c in claims.columns])
     out = claims.join(pol, "policy_id", "left")
     return out.select(
         "claim_id", "policy_id", "customer_id", "agent_id", "product_line", "state",

@@ -49,6 +49,14 @@ def copy_into(spark: SparkSession, src: str, target: str, fmt: str, ledger: str,
         return 0
     df = _read(spark, paths, fmt, schema, merge_schema, **opts)
     df = df.withColumn("_source_file", F.col("_metadata.file_path")).withColumn("_ingest_ts", F.current_timestamp())
+    try:
+        stored = spark.read.option("mergeSchema", True).parquet(target).schema
+    except Exception:  # noqa: BLE001  first load: the target does not exist
+        stored = None
+    if stored is not None:
+        from strata.sources.schema import conform_to
+
+        df = conform_to(df, stored)
     w = df.write.mode("append")
     if merge_schema:
         w = w.option("mergeSchema", True)

@@ -94,3 +94,32 @@ def with_rescued(df: DataFrame, text: str, schema: StructType, rescued: str = "_
     ``rescued``."""
     s = rescue_data(text, schema, rescued)
     return df.withColumn("_r", s).select(*[c for c in df.columns if c != text], "_r.*")
+
+
+def conform_to(df: DataFrame, stored: StructType, rescued: str = "_rescued_data") -> DataFrame:
+    """Make newly arrived rows fit a table's stored schema (type conflicts
+    do not break the table): a column whose type differs is cast to the
+    stored type; a value that does not convert is kept, as text, in the
+    JSON map ``rescued`` instead of being lost. New columns pass through
+    (the reader adds them with ``mergeSchema``)."""
+    have = {f.name: f.dataType for f in stored.fields}
+    conflicts = [f for f in df.schema.fields if f.name in have and f.dataType != have[f.name] and f.name != rescued]
+    if not conflicts:
+        return df
+    out = df
+    lost = []
+    for f in conflicts:
+        target = have[f.name]
+        atomic = not hasattr(f.dataType, "fields") and not hasattr(f.dataType, "elementType") and \
+            not hasattr(target, "fields") and not hasattr(target, "elementType")
+        raw = F.col(f.name).cast("string") if atomic else F.to_json(F.col(f.name))
+        cast = F.col(f.name).try_cast(target) if atomic else F.lit(None).cast(target)
+        lost.append((f.name, F.when(F.col(f.name).isNotNull() & cast.isNull(), raw)))
+        out = out.withColumn(f"__raw_{f.name}", lost[-1][1]).withColumn(f.name, cast)
+    m = F.map_filter(F.create_map(*[x for n, _ in lost for x in (F.lit(n), F.col(f"__raw_{n}"))]),
+                     lambda k, v: v.isNotNull())
+    new_rescued = F.when(F.size(m) > 0, F.to_json(m))
+    if rescued in out.columns:
+        new_rescued = F.coalesce(F.col(rescued), new_rescued)
+    out = out.withColumn(rescued, new_rescued)
+    return out.drop(*[f"__raw_{n}" for n, _ in lost])

@@ -99,3 +99,14 @@ def test_stream_ingest_exactly_once(spark, tmp):
     write_json_lines(os.path.join(src, "b.json"), [{"id": 2, "s": "b"}, {"id": 3, "s": "c"}])
     ingest.ingest_json_stream(spark, src, target, ck, schema)
     assert spark.read.parquet(target).count() == 3
+
+
+def test_copy_into_type_conflict_is_rescued(spark, tmp):
+    land = os.path.join(tmp, "land")
+    spark.createDataFrame([(1, 10.5)], "id long, amount double").write.parquet(os.path.join(land, "f1"))
+    target, ledger = os.path.join(tmp, "t"), os.path.join(tmp, "ledger")
+    ingest.copy_into(spark, land, target, "parquet", ledger, glob="*.parquet")
+    spark.createDataFrame([(2, "$7"), (3, "8.25")], "id long, amount string").write.parquet(os.path.join(land, "f2"))
+    ingest.copy_into(spark, land, target, "parquet", ledger, glob="*.parquet")
+    out = {r.id: (r.amount, r._rescued_data) for r in spark.read.option("mergeSchema", True).parquet(target).collect()}
+    assert out == {1: (10.5, None), 2: (None, '{"amount":"$7"}'), 3: (8.25, None)}
