@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.hashing import row_hash
 from strata.operators._util import as_list
 
 
@@ -33,7 +32,9 @@ def latest_per_key(df: DataFrame, keys, order, tie_break=None) -> DataFrame:
     """
     keys = as_list(keys)
     cols = df.columns
-    tb = [F.col(c) for c in as_list(tie_break)] if tie_break else [row_hash(cols)]
+    # default tie-break: a 64-bit hash of the whole row (cheap; only rows
+    # equal in every order column reach it)
+    tb = [F.col(c) for c in as_list(tie_break)] if tie_break else [F.xxhash64(*[F.col(c) for c in cols])]
     ordering = F.struct(*[F.when(o.isNull(), 0).otherwise(1) for o in _order_key(order)] +
                         _order_key(order) + tb)
     payload = F.struct(*[F.col(c) for c in cols])

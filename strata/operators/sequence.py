@@ -70,11 +70,13 @@ def next_value_at_or_after(asks: DataFrame, values: DataFrame, keys, t: str, out
     a = asks.withColumn("_b", _bucket(t, unit)).withColumn("_kind", F.lit(0)).withColumn("_v", F.lit(None).cast(values.schema[t].dataType))
     v = values.select(*keys, F.col(t), F.col(t).alias("_v")).withColumn("_b", _bucket(t, unit)).withColumn("_kind", F.lit(1))
     stacked = a.unionByName(v, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys, "_b").orderBy(F.col(t), F.col("_kind"))
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # running minimum in descending time order: a growing frame (linear),
+    # starts sort before questions at equal time so ">=" holds
+    w = (Window.partitionBy(*keys, "_b").orderBy(F.col(t).desc(), F.col("_kind").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = stacked.withColumn("_in", F.min("_v").over(w)).where(F.col("_kind") == 0)
     summary = stacked.groupBy(*keys, "_b").agg(F.min("_v").alias("_bmin"))
-    later = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*keys, "_b", F.min("_bmin").over(later).alias("_later"))
     res = inner.join(summary, keys + ["_b"], "left")
     return res.select(*asks.columns, F.coalesce("_in", "_later").alias(out))

@@ -16,7 +16,7 @@ from strata.streaming.late import late_report as late_report_op
 from strata.streaming.runs import run_dir
 from strata.plans.registry import query
 
-FILES = 4  # micro-batches per streaming query (arrival order = event id order)
+FILES = 3  # arrivals (micro-batches) per streaming query, in event id order
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
