@@ -99,11 +99,10 @@ def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
     count / mean / stddev / min / max come from one aggregate pass (mean
     from an exact sum of ``scale``-decimal amounts, stddev rounded to 6
     decimals so it does not depend on summation order);
-    quartiles are exact (interpolated) and computed per column from a
-    distributed global rank, never from one task holding all values.
+    quartiles are exact (interpolated) and come from one distributed sort
+    of all profiled columns in long form, never from one task holding all
+    values.
     """
-    from strata.operators.ranking import exact_quantiles
-
     rows = []
     stats = []
     for c in cols:
@@ -119,11 +118,13 @@ def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(n.split("|")[0]).alias("column"), F.lit(n.split("|")[1]).alias("statistic"),
                                F.col(f"`{n}`").alias("value")) for n in wide.columns])
     rows.append(wide.select(F.inline(pairs)))
-    for c in cols:
-        q = exact_quantiles(df.select(F.col(c).cast("double").alias("v")), "v", [0.25, 0.5, 0.75])
-        rows.append(q.select(F.lit(c).alias("column"),
-                             F.concat(F.lit("p"), (F.col("q") * 100).cast("int").cast("string")).alias("statistic"),
-                             F.col("value")))
+    from strata.operators.ranking import exact_quantiles_by
+
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                         for c in cols])).alias("_e")).select("_e.*")
+    q = exact_quantiles_by(long, "column", "x", [0.25, 0.5, 0.75])
+    rows.append(q.select("column", F.concat(F.lit("p"), F.round(F.col("q") * 100).cast("int").cast("string")).alias("statistic"),
+                         F.col("value")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

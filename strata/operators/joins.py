@@ -157,43 +157,34 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
     ``ts`` (``valid_from <= ts < valid_to``, NULL ``valid_to`` = open).
 
     Built without emitting fact x version pairs: facts and version starts are
-    stacked, sorted per (key, time bucket) and the last version start seen is
-    carried forward. Each bucket also receives a carry-in row for the version
-    in force at its start, so a hot key is split into one task per bucket.
-    Facts with no version in force get NULL attributes (left semantics).
+    stacked and ordered per (key, time bucket); the last version start seen
+    is carried forward. A fact whose bucket holds no earlier start takes the
+    last version of the nearest earlier bucket, found on a per-(key, bucket)
+    summary (one row per occupied bucket), so a hot key is spread over one
+    task per bucket and no row is replicated per bucket it spans. Facts with
+    no version in force get NULL attributes (left semantics).
     """
     keys = as_list(key)
     attrs = as_list(attrs) or [c for c in versions.columns if c not in keys + [valid_from, valid_to]]
     unit = {"day": "DAY", "month": "MONTH", "year": "YEAR", "hour": "HOUR"}[bucket]
-
-    def bucket_of(c):
-        return F.date_trunc(unit, F.col(c).cast("timestamp"))
-
-    step = F.expr(f"INTERVAL 1 {unit}")
-    f = facts.withColumn("_b", bucket_of(ts)).withColumn("_t", F.col(ts).cast("timestamp")) \
-        .withColumn("_kind", F.lit(1))
-    v = versions.select(*keys, F.col(valid_from).cast("timestamp").alias("_vf"),
+    packed = F.struct(F.col("_t").alias("vf"), F.col("_vt").alias("vt"), *[F.col(a).alias(a) for a in attrs])
+    v = versions.select(*keys, F.col(valid_from).cast("timestamp").alias("_t"),
                         F.col(valid_to).cast("timestamp").alias("_vt"), *attrs)
-    # Buckets touched by facts bound the carry-in rows: a version emits one
-    # row per bucket boundary it spans, but only up to the facts' last bucket.
-    span = facts.groupBy(*keys).agg(F.max(bucket_of(ts)).alias("_last_b"))
-    v = v.join(span, keys, "inner")
-    v = v.withColumn(
-        "_b",
-        F.explode(F.sequence(F.date_trunc(unit, "_vf"),
-                             F.greatest(F.date_trunc(unit, "_vf"),
-                                        F.least(F.coalesce(F.date_trunc(unit, "_vt"), F.col("_last_b")), F.col("_last_b"))),
-                             step)),
-    ).withColumn("_t", F.greatest(F.col("_vf"), F.col("_b"))).withColumn("_kind", F.lit(0))
-    packed = F.struct(F.col("_vf").alias("vf"), F.col("_vt").alias("vt"), *[F.col(a).alias(a) for a in attrs])
-    f2 = f.withColumn("_ver", F.lit(None).cast(v.select(packed.alias("p")).schema["p"].dataType))
-    v2 = v.select(*keys, "_b", "_t", "_kind", packed.alias("_ver"))
-    stacked = f2.unionByName(v2, allowMissingColumns=True)
+    v = v.select(*keys, "_t", F.lit(0).alias("_kind"), packed.alias("_ver"))
+    ver_type = v.schema["_ver"].dataType
+    f = facts.withColumn("_t", F.col(ts).cast("timestamp")).withColumn("_kind", F.lit(1)) \
+        .withColumn("_ver", F.lit(None).cast(ver_type))
+    stacked = f.unionByName(v, allowMissingColumns=True).withColumn("_b", F.date_trunc(unit, "_t"))
     w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", F.col("_ver.vf").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = stacked.withColumn("_cur", F.last("_ver", ignorenulls=True).over(w)).where(F.col("_kind") == 1)
+    inner = stacked.withColumn("_in", F.last("_ver", ignorenulls=True).over(w)).where(F.col("_kind") == 1)
+    # newest version started in each occupied bucket, carried to later buckets
+    summary = stacked.groupBy(*keys, "_b").agg(F.max_by("_ver", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_bl"))
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(*keys, "_b", F.last("_bl", ignorenulls=True).over(wb).alias("_carry"))
+    res = inner.join(summary, keys + ["_b"], "left").withColumn("_cur", F.coalesce("_in", "_carry"))
     in_force = F.col("_cur.vf").isNotNull() & (F.col("_cur.vt").isNull() | (F.col("_t") < F.col("_cur.vt")))
-    return carried.select(
+    return res.select(
         *facts.columns,
         *[F.when(in_force, F.col(f"_cur.{a}")).alias(a) for a in attrs],
     )

@@ -107,17 +107,35 @@ def exact_quantiles(df: DataFrame, col: str, probs, name_q: str = "q", name_v: s
     """Exact, linearly interpolated quantiles (``percentile`` semantics,
     position ``p * (N - 1)``) of the non-NULL values of ``col``, from a
     distributed rank. One output row per probability."""
-    vals = df.where(F.col(col).isNotNull()).select(F.col(col).alias("_v"))
-    ranked = global_row_number(vals, [F.col("_v").asc()], "_rn")
-    N = vals.agg(F.count(F.lit(1))).scalar()
-    p = F.explode(F.array(*[F.lit(float(x)) for x in probs])).alias(name_q)
-    want = ranked.sparkSession.range(1).select(p)
-    pos = F.col(name_q) * (N - 1)
-    want = want.select(name_q, F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"), (pos - F.floor(pos)).alias("_f"))
-    lo = ranked.select((F.col("_rn") - 1).alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = ranked.select((F.col("_rn") - 1).alias("_hi"), F.col("_v").alias("_vhi"))
-    out = want.join(lo, "_lo").join(hi, "_hi")
-    return out.select(name_q, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f")).alias(name_v))
+    out = exact_quantiles_by(df.select(F.lit("_").alias("_c"), F.col(col).alias("_x")), "_c", "_x", probs, name_q, name_v)
+    return out.drop("_c")
+
+
+def exact_quantiles_by(df: DataFrame, group: str, col: str, probs, name_q: str = "q", name_v: str = "value") -> DataFrame:
+    """Exact interpolated quantiles of ``col`` per value of ``group`` with
+    one distributed sort for all groups: rows are ranked over
+    (group, value); per-group counts (one row per group) turn global ranks
+    into group ranks; only the 2 rows per (group, probability) that bracket
+    each position are kept and interpolated."""
+    vals = df.where(F.col(col).isNotNull()).select(F.col(group).alias("_g"), F.col(col).alias("_v"))
+    ranked = global_row_number(vals, [F.col("_g").asc(), F.col("_v").asc()], "_rn")
+    counts = vals.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_g", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    p = counts.select("_g", "_n", "_off", F.explode(F.array(*[F.lit(float(x)) for x in probs])).alias(name_q))
+    pos = F.col(name_q) * (F.col("_n") - 1)
+    want = p.select("_g", "_off", name_q, F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"),
+                    (pos - F.floor(pos)).alias("_f"))
+    # global positions needed: one or two per (group, probability)
+    need = want.select("_g", (F.col("_off") + F.col("_lo") + 1).alias("_rn")).unionByName(
+        want.select("_g", (F.col("_off") + F.col("_hi") + 1).alias("_rn"))).distinct()
+    picked = ranked.join(need, ["_g", "_rn"], "left_semi")
+    lo = picked.select("_g", F.col("_rn").alias("_rlo"), F.col("_v").alias("_vlo"))
+    hi = picked.select("_g", F.col("_rn").alias("_rhi"), F.col("_v").alias("_vhi"))
+    out = (want.withColumn("_rlo", F.col("_off") + F.col("_lo") + 1).withColumn("_rhi", F.col("_off") + F.col("_hi") + 1)
+           .join(lo, ["_g", "_rlo"]).join(hi, ["_g", "_rhi"]))
+    return out.select(F.col("_g").alias(group), name_q,
+                      (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f")).alias(name_v))
 
 
 def month_trend(df: DataFrame, month_col: str, measures: dict[str, Column]) -> DataFrame:

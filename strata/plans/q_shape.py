@@ -224,11 +224,24 @@ def union_distinct(t):
                             t.supplier.select(F.col("s_nationkey").alias("nationkey")))
 
 
-def _policies_nested(t):
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+def _policies_nested(t, chunk: int = 8):
+    """Policies with nested coverage arrays built from the flat lines.
+
+    Arrays are cut into chunks of about ``chunk`` lines (a hash of the line
+    modulo ceil(lines of the order / chunk)), so no group collected into
+    one array is unbounded even for an order holding a large share of the
+    lines; a policy may therefore span several rows, each with its own
+    array, and exploding them yields every line exactly once."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey",
+                              "l_extendedprice")
+    per_order = lines.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = F.ceil(F.col("_n") / F.lit(chunk))
+    lines = lines.join(per_order, "o_orderkey").withColumn(
+        "_chunk", F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey"), pieces))
+    nested = lines.groupBy("o_orderkey", "_chunk").agg(
         F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("coverage_code"),
                                 F.col("l_extendedprice").alias("limit_amount"))).alias("coverages"))
-    return t.orders.select("o_orderkey").join(lines, "o_orderkey", "left")
+    return t.orders.select("o_orderkey").join(nested.drop("_chunk"), "o_orderkey", "left")
 
 
 @query("explode_lines", """

@@ -13,13 +13,15 @@ def late_report(events: DataFrame, ts: str, batch: str, delays_seconds) -> DataF
     between micro-batches only).
 
     The per-batch maxima are one row per batch; their running maximum is a
-    small window; it is joined back by batch id. No per-event window.
+    window over those rows only; it is joined back by batch id. No
+    per-event window.
     """
     t = F.col(ts).cast("timestamp")
     per_batch = events.groupBy(batch).agg(F.max(t).alias("_bmax"))
     w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     marks = per_batch.select(batch, F.max("_bmax").over(w).alias("_prev_max"))
-    e = events.select(batch, t.alias("_t")).join(F.broadcast(marks), batch, "left")
+    # one row per micro-batch: AQE broadcasts it at run time when small
+    e = events.select(batch, t.alias("_t")).join(marks, batch, "left")
     d = F.explode(F.array(*[F.lit(int(s)) for s in delays_seconds])).alias("delay_seconds")
     e = e.select("_t", "_prev_max", d)
     wm = F.col("_prev_max") - F.make_interval(secs=F.col("delay_seconds").cast("decimal(18,6)"))
