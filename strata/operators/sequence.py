@@ -94,3 +94,34 @@ def running_max_before(df: DataFrame, keys, order, value: str, out: str, unit: s
     summary = summary.select(*keys, "_b", F.max("_bmax").over(before).alias("_earlier"))
     res = inner.join(summary, keys + ["_b"], "left")
     return res.select(*df.columns, F.greatest("_in", "_earlier").alias(out))
+
+
+def running_count(df: DataFrame, keys, order, flag: str, out: str, unit: str = "day") -> DataFrame:
+    """Per key, the number of rows with ``flag`` TRUE up to and including
+    this row in ``order``: a running count inside each (key, bucket) plus the
+    totals of earlier buckets (a window over one row per occupied bucket)."""
+    keys, order = as_list(keys), as_list(order)
+    b = df.withColumn("_b", _bucket(order[0], unit))
+    w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    inner = b.withColumn("_in", F.sum(F.col(flag).cast("long")).over(w))
+    totals = b.groupBy(*keys, "_b").agg(F.sum(F.col(flag).cast("long")).alias("_bt"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_earlier"))
+    res = inner.join(totals, keys + ["_b"], "left")
+    return res.select(*df.columns, (F.col("_in") + F.col("_earlier")).alias(out))
+
+
+def sessionize(df: DataFrame, keys, ts: str, gap_seconds: int, unit: str = "day", tie_break=None) -> DataFrame:
+    """Session id per row: a new session starts when the previous event of
+    the key is more than ``gap_seconds`` earlier (a gap of exactly
+    ``gap_seconds`` continues the session, as ``session_window`` does).
+    Previous events and the
+    running session count are both bucket-split (see module doc)."""
+    keys = as_list(keys)
+    order = [ts] + as_list(tie_break)
+    prev = neighbors(df, keys, order, [ts], unit, prefix_prev="_prev_", prefix_next="_next_")
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    p = F.unix_micros(F.col(f"_prev_{ts}").cast("timestamp"))
+    flagged = prev.withColumn("_new", p.isNull() | (t - p > F.lit(int(gap_seconds * 1_000_000)))) \
+        .drop(f"_prev_{ts}", f"_next_{ts}")
+    return running_count(flagged, keys, order, "_new", "session_id", unit).drop("_new")

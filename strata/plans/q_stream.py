@@ -81,16 +81,16 @@ def stream_daily_counts(t):
 
 
 @query("session_counts", """
-WITH e AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE OR
+WITH e AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE OR
                   lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL AS new_session FROM events),
 s AS (SELECT *, sum(CAST(new_session AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, CAST(min(ts) AS TIMESTAMP) AS session_start, CAST(max(ts) + INTERVAL 30 MINUTE AS TIMESTAMP) AS session_end, count(*) AS n
 FROM s GROUP BY user_id, sid""")
 def session_counts(t):
-    """Session windows (30-minute gap) per user, batch form of the
-    streaming operator."""
+    """Session windows (30-minute gap) per user in batch, hot users split by
+    day (same sessions as ``session_window``)."""
     e = S.event_time(t.events.select("user_id", "ts"), "ts")
-    return S.session_counts(e, "ts", "30 minutes", "1 hour", "user_id")
+    return S.session_counts_batch(e, "ts", 30 * 60, "user_id")
 
 
 LATE_SQL = """

@@ -123,3 +123,16 @@ def conform_to(df: DataFrame, stored: StructType, rescued: str = "_rescued_data"
         new_rescued = F.coalesce(F.col(rescued), new_rescued)
     out = out.withColumn(rescued, new_rescued)
     return out.drop(*[f"__raw_{n}" for n, _ in lost])
+
+
+def drifted_schema(spark, src: str, fmt: str, stored: StructType, mode: str = "addNewColumns",
+                   sampling_ratio: float = 1.0, **opts) -> StructType:
+    """Before a stream restart, infer the schema of the landed files
+    (``samplingRatio`` bounds the inference read) and evolve the stored
+    schema with it; restart the stream with the result so a new column
+    appears after one restart and older rows read it as NULL."""
+    r = spark.read.format(fmt).options(**opts)
+    if fmt == "json":
+        r = r.option("samplingRatio", sampling_ratio)
+    incoming = r.load(src).schema
+    return evolve_schema(stored, incoming, mode)

@@ -74,3 +74,40 @@ def test_late_report(spark):
     df = spark.createDataFrame(rows, "batch long, ts timestamp")
     rep = {r.delay_seconds: r.late_events for r in late_report(df, "ts", "batch", [0, 3600 * 4]).collect()}
     assert rep == {0: 1, 3600 * 4: 0}
+
+
+def test_schema_drift_after_restart(spark, tmp):
+    """A file with a new column; the stream restarts with the evolved
+    schema and the column appears (older rows NULL)."""
+    import json
+
+    from pyspark.sql.types import StructType
+
+    from strata.sources.ingest import ingest_json_stream
+    from strata.sources.schema import drifted_schema
+
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"event_id": 1, "speed": 50.0}) + "\n")
+    stored = StructType.fromDDL("event_id long, speed double")
+    target, ck = os.path.join(tmp, "bronze"), os.path.join(tmp, "ck")
+    ingest_json_stream(spark, src, target, ck, stored)
+    with open(os.path.join(src, "b.json"), "w") as f:
+        f.write(json.dumps({"event_id": 2, "speed": 60.0, "device_fw": "fw-2"}) + "\n")
+    wider = drifted_schema(spark, src, "json", stored)
+    assert wider.fieldNames() == ["event_id", "speed", "device_fw"]
+    ingest_json_stream(spark, src, target, ck, wider)
+    out = {r.event_id: r.device_fw for r in spark.read.option("mergeSchema", True).parquet(target).collect()}
+    assert out == {1: None, 2: "fw-2"}
+
+
+def test_batch_sessions_equal_session_window(spark):
+    import random
+
+    random.seed(5)
+    rows = [(random.randint(0, 3), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=random.randint(0, 3 * 1440))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "u long, ts timestamp")
+    a = sorted(tuple(r) for r in S.session_counts(df, "ts", "30 minutes", "1 hour", "u").select("u", "session_start", "session_end", "n").collect())
+    b = sorted(tuple(r) for r in S.session_counts_batch(df, "ts", 1800, "u").select("u", "session_start", "session_end", "n").collect())
+    assert a == b
