@@ -163,3 +163,19 @@ def apply_changes_scd2(t):
                         tracked=["event_type"])
     e = t.events.select("user_id", "event_type", "ts")
     return S.apply_changes(None, e, spec)
+
+
+@query("scd2_customers", """
+WITH e AS (SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey, sha256(coalesce(o_orderpriority, '<null>')) AS _hash FROM orders),
+c AS (SELECT *, lag(_hash) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS ph FROM e),
+k AS (SELECT * FROM c WHERE ph IS NULL OR ph <> _hash)
+SELECT o_custkey, o_orderpriority, _hash, o_orderdate AS effective_from,
+       lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS effective_to,
+       lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current
+FROM k""")
+def scd2_customers(t):
+    """The same SCD2 operator on a second entity: each customer's
+    product line (priority of the latest policy) over time, monthly
+    buckets."""
+    o = t.orders.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    return S.scd2_history(o, "o_custkey", ["o_orderpriority"], "o_orderdate", tie_break=["o_orderkey"], unit="month")

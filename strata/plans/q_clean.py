@@ -286,3 +286,42 @@ def select_filter(t):
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                      (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("net_price"),
                      F.to_date("l_shipdate").alias("ship_date"))
+
+
+@query("parse_timestamp_rt", """
+SELECT event_id, CASE WHEN event_id % 37 = 5 THEN NULL ELSE date_trunc('second', ts) END AS parsed FROM events""")
+def parse_timestamp_rt(t):
+    """ISO text (``yyyy-MM-ddTHH:mm:ss``) back to a timestamp; garbage
+    -> NULL."""
+    e = t.events
+    text = F.when(F.pmod("event_id", F.lit(37)) == 5, F.lit("2024-13-45T99:00:00")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    from strata.functions.dates import parse_timestamp
+
+    return e.select("event_id", parse_timestamp(text).cast("timestamp_ntz").alias("parsed"))
+
+
+RESCUE_SQL = """
+SELECT event_id,
+       CASE WHEN event_id % 15 = 0 THEN NULL ELSE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 15 = 0 AND event_id % 10 = 0 THEN '{"k":"abc","extra":"x"}'
+            WHEN event_id % 15 = 0 THEN '{"k":"abc"}'
+            WHEN event_id % 10 = 0 THEN '{"extra":"x"}' END AS _rescued_data
+FROM events"""
+
+
+@query("rescue_data", RESCUE_SQL)
+def rescue_data(t):
+    """JSON text parsed with a fixed schema ``{k: int}``; a field the
+    schema lacks (``extra``) or a value of the wrong type (``"abc"``) goes
+    to ``_rescued_data`` instead of failing or vanishing."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from strata.sources.schema import with_rescued
+
+    e = t.events
+    k = F.get_json_object("props", "$.k")
+    body = F.when(F.pmod("event_id", F.lit(15)) == 0, F.lit('{"k": "abc"')).otherwise(F.concat(F.lit('{"k": '), k))
+    text = F.concat(body, F.when(F.pmod("event_id", F.lit(10)) == 0, F.lit(', "extra": "x"}')).otherwise(F.lit("}")))
+    df = e.select("event_id", text.alias("raw"))
+    return with_rescued(df, "raw", StructType([StructField("k", IntegerType())]))
