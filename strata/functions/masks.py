@@ -51,5 +51,8 @@ MASKS = {"email": mask_email, "phone": mask_phone, "null": mask_null, "hash": ma
 
 
 def redact_emails(c, token: str = "***@") -> Column:
-    """Mask the local part of every e-mail address inside free text."""
-    return F.regexp_replace(as_col(c), r"[A-Za-z0-9._%+-]+@([A-Za-z0-9-]+\.[A-Za-z0-9.-]+)", token + "$1")
+    """Mask the local part of every e-mail address inside free text (the
+    whole text). Texts without an ``@`` skip the regular expression."""
+    c = as_col(c)
+    return F.when(c.contains("@"), F.regexp_replace(c, r"[A-Za-z0-9._%+-]+@([A-Za-z0-9-]+\.[A-Za-z0-9.-]+)", token + "$1")) \
+        .otherwise(c)

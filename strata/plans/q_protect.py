@@ -25,7 +25,9 @@ FROM documents""")
 def mask_contacts(t):
     """E-mail addresses found in the documents, masked for an
     unprivileged reader and clear for a privileged one."""
-    d = t.documents.select("doc_id", F.regexp_extract("text", EMAIL, 0).alias("email"))
+    text = F.col("text")
+    found = F.when(text.contains("@"), F.regexp_extract(text, EMAIL, 0)).otherwise(F.lit(""))
+    d = t.documents.select("doc_id", found.alias("email"))
     return d.select("doc_id", mask_email("email", False).alias("masked_email"), mask_email("email", True).alias("clear_email"))
 
 
