@@ -114,3 +114,34 @@ def late_report(t):
         F.when(F.pmod("event_id", F.lit(33)) == 0,
                F.col("ts") - F.make_interval(hours=(F.pmod("event_id", F.lit(7)) + 1).cast("int"))).otherwise(F.col("ts")).alias("ts"))
     return late_report_op(e, "ts", "batch", [0, 1800, 3600, 7200, 86400])
+
+
+@query("sliding_counts", """
+WITH b AS (SELECT event_type, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '1970-01-01') AS s1 FROM events),
+w AS (SELECT event_type, unnest([s1 - INTERVAL 12 HOUR, s1]) AS window_start FROM b)
+SELECT CAST(window_start AS TIMESTAMP) AS window_start, CAST(window_start + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+       event_type, count(*) AS n
+FROM w GROUP BY ALL""")
+def sliding_counts(t):
+    """Sliding event-time windows (1 day, every 12 hours) per type, batch
+    form of ``windowed_counts(slide=...)``."""
+    e = S.event_time(t.events.select("event_type", "ts"), "ts")
+    w = F.window("ts", "1 day", "12 hours")
+    out = e.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "n")
+
+
+@query("weekly_counts", """
+SELECT CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start,
+       CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 7 DAY AS TIMESTAMP) AS window_end,
+       user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+FROM events GROUP BY ALL""")
+def weekly_counts(t):
+    """Tumbling 7-day windows per user (aligned to 1970-01-01, as Spark's
+    ``window``), with an exact total."""
+    from strata.functions.numbers import exact_sum
+
+    e = S.event_time(t.events.select("user_id", "ts", "value"), "ts")
+    out = e.groupBy(F.window("ts", "7 days").alias("w"), "user_id").agg(
+        F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", "n", "total")
