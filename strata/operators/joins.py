@@ -152,21 +152,21 @@ def split_fk(child: DataFrame, parent: DataFrame, key, flag: str = "_fk_ok") ->
 
 def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
                valid_from: str = "effective_from", valid_to: str = "effective_to",
-               attrs=None, bucket: str = "day") -> DataFrame:
+               attrs=None, bucket: str = "day", split: str = "bucket") -> DataFrame:
     """Each fact row with the attributes of the version in force at
     ``ts`` (``valid_from <= ts < valid_to``, NULL ``valid_to`` = open).
 
     Built without emitting fact x version pairs: facts and version starts are
-    stacked and ordered per (key, time bucket); the last version start seen
-    is carried forward. A fact whose bucket holds no earlier start takes the
-    last version of the nearest earlier bucket, found on a per-(key, bucket)
-    summary (one row per occupied bucket), so a hot key is spread over one
-    task per bucket and no row is replicated per bucket it spans. Facts with
+    stacked and ordered per (key, piece) (``operators.sequence``: time
+    buckets by default, or range partitions); the last version start seen is
+    carried forward. A fact whose piece holds no earlier start takes the last
+    version of the nearest earlier piece, found on a per-(key, piece) summary
+    (one row per occupied piece), so a hot key is spread over many tasks and
+    no row is replicated per piece it spans. Facts with
     no version in force get NULL attributes (left semantics).
     """
     keys = as_list(key)
     attrs = as_list(attrs) or [c for c in versions.columns if c not in keys + [valid_from, valid_to]]
-    unit = {"day": "DAY", "month": "MONTH", "year": "YEAR", "hour": "HOUR"}[bucket]
     packed = F.struct(F.col("_t").alias("vf"), F.col("_vt").alias("vt"), *[F.col(a).alias(a) for a in attrs])
     v = versions.select(*keys, F.col(valid_from).cast("timestamp").alias("_t"),
                         F.col(valid_to).cast("timestamp").alias("_vt"), *attrs)
@@ -174,7 +174,9 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
     ver_type = v.schema["_ver"].dataType
     f = facts.withColumn("_t", F.col(ts).cast("timestamp")).withColumn("_kind", F.lit(1)) \
         .withColumn("_ver", F.lit(None).cast(ver_type))
-    stacked = f.unionByName(v, allowMissingColumns=True).withColumn("_b", F.date_trunc(unit, "_t"))
+    from strata.operators.sequence import split_pieces
+
+    stacked = split_pieces(f.unionByName(v, allowMissingColumns=True), keys, ["_t", "_kind"], bucket, split)
     w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", F.col("_ver.vf").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = stacked.withColumn("_in", F.last("_ver", ignorenulls=True).over(w)).where(F.col("_kind") == 1)

@@ -1,11 +1,21 @@
 """Ordered operations per key that stay safe on a hot key.
 
 A window ``PARTITION BY key ORDER BY ts`` sends every row of a key to one
-task. These operators split each key further by a time bucket
-(``date_trunc(unit, ts)``): rows are ordered inside (key, bucket) and a
-small per-(key, bucket) summary (one row per bucket, bounded by the time span
-/ bucket width) carries values across bucket borders. A key holding a third
-of all rows is thereby processed by as many tasks as it has buckets.
+task. These operators split each key further into ordered pieces ``_b``:
+
+* ``split="bucket"`` (default): the piece is ``date_trunc(unit, ts)``; no
+  extra shuffle, a key is spread over its time buckets;
+* ``split="range"``: rows are range-partitioned on (key, order columns) and
+  the partition id is the piece, so every piece is bounded by the partition
+  size even for a burst of one key inside one bucket. The pieces are
+  materialised once with a reliable ``checkpoint`` (Spark re-samples range
+  boundaries on every evaluation, so the two uses of the pieces must read
+  one materialised copy).
+
+Rows are ordered inside (key, piece) and a small per-(key, piece) summary
+(one row per occupied piece) carries values across piece borders, so a key
+holding a third of all rows is processed by many tasks. Results do not
+depend on the split or the unit.
 """
 
 from __future__ import annotations
@@ -22,16 +32,29 @@ def _bucket(c: str, unit: str):
     return F.date_trunc(UNITS[unit], F.col(c).cast("timestamp"))
 
 
+def split_pieces(df: DataFrame, keys, order, unit: str = "day", split: str = "bucket", name: str = "_b") -> DataFrame:
+    """Adds the ordered piece column ``name`` (see module doc)."""
+    keys, order = as_list(keys), as_list(order)
+    if split == "bucket":
+        return df.withColumn(name, _bucket(order[0], unit))
+    if split != "range":
+        raise ValueError(split)
+    from strata.session import cut_lineage
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+    return cut_lineage(ranged.withColumn(name, F.spark_partition_id()))
+
+
 def neighbors(df: DataFrame, keys, order, cols, unit: str = "day", prefix_prev: str = "prev_",
-              prefix_next: str = "next_") -> DataFrame:
+              prefix_next: str = "next_", split: str = "bucket") -> DataFrame:
     """Exact ``lag(c, 1)`` / ``lead(c, 1)`` per key in ``order`` for each
     column of ``cols`` (``order`` = [time column, tie-break columns...]).
 
     Adds ``prev_<c>`` / ``next_<c>`` (NULL at the ends of a key).
     """
     keys, order, cols = as_list(keys), as_list(order), as_list(cols)
-    ts = order[0]
-    b = df.withColumn("_b", _bucket(ts, unit))
+    b = split_pieces(df, keys, order, unit, split)
     ordkey = F.struct(*[F.col(o) for o in order])
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
     w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o) for o in order])
@@ -63,13 +86,13 @@ def neighbors(df: DataFrame, keys, order, cols, unit: str = "day", prefix_prev:
 
 
 def next_value_at_or_after(asks: DataFrame, values: DataFrame, keys, t: str, out: str,
-                           unit: str = "year") -> DataFrame:
+                           unit: str = "year", split: str = "bucket") -> DataFrame:
     """For each row of ``asks``: the smallest ``values.t`` of the same key
     with ``values.t >= asks.t`` (NULL if none), named ``out``."""
     keys = as_list(keys)
-    a = asks.withColumn("_b", _bucket(t, unit)).withColumn("_kind", F.lit(0)).withColumn("_v", F.lit(None).cast(values.schema[t].dataType))
-    v = values.select(*keys, F.col(t), F.col(t).alias("_v")).withColumn("_b", _bucket(t, unit)).withColumn("_kind", F.lit(1))
-    stacked = a.unionByName(v, allowMissingColumns=True)
+    a = asks.withColumn("_kind", F.lit(0)).withColumn("_v", F.lit(None).cast(values.schema[t].dataType))
+    v = values.select(*keys, F.col(t), F.col(t).alias("_v")).withColumn("_kind", F.lit(1))
+    stacked = split_pieces(a.unionByName(v, allowMissingColumns=True), keys, [t, "_kind"], unit, split)
     # running minimum in descending time order: a growing frame (linear),
     # starts sort before questions at equal time so ">=" holds
     w = (Window.partitionBy(*keys, "_b").orderBy(F.col(t).desc(), F.col("_kind").desc())
@@ -82,11 +105,12 @@ def next_value_at_or_after(asks: DataFrame, values: DataFrame, keys, t: str, out
     return res.select(*asks.columns, F.coalesce("_in", "_later").alias(out))
 
 
-def running_max_before(df: DataFrame, keys, order, value: str, out: str, unit: str = "day") -> DataFrame:
+def running_max_before(df: DataFrame, keys, order, value: str, out: str, unit: str = "day",
+                       split: str = "bucket") -> DataFrame:
     """``max(value)`` over all earlier rows of the key in ``order``
     (exclusive), NULL for the first row."""
     keys, order = as_list(keys), as_list(order)
-    b = df.withColumn("_b", _bucket(order[0], unit))
+    b = split_pieces(df, keys, order, unit, split)
     w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o) for o in order]).rowsBetween(Window.unboundedPreceding, -1)
     inner = b.withColumn("_in", F.max(value).over(w))
     summary = b.groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
@@ -96,12 +120,13 @@ def running_max_before(df: DataFrame, keys, order, value: str, out: str, unit: s
     return res.select(*df.columns, F.greatest("_in", "_earlier").alias(out))
 
 
-def running_count(df: DataFrame, keys, order, flag: str, out: str, unit: str = "day") -> DataFrame:
+def running_count(df: DataFrame, keys, order, flag: str, out: str, unit: str = "day",
+                  split: str = "bucket") -> DataFrame:
     """Per key, the number of rows with ``flag`` TRUE up to and including
     this row in ``order``: a running count inside each (key, bucket) plus the
     totals of earlier buckets (a window over one row per occupied bucket)."""
     keys, order = as_list(keys), as_list(order)
-    b = df.withColumn("_b", _bucket(order[0], unit))
+    b = split_pieces(df, keys, order, unit, split)
     w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
     inner = b.withColumn("_in", F.sum(F.col(flag).cast("long")).over(w))
     totals = b.groupBy(*keys, "_b").agg(F.sum(F.col(flag).cast("long")).alias("_bt"))
@@ -111,17 +136,19 @@ def running_count(df: DataFrame, keys, order, flag: str, out: str, unit: str = "
     return res.select(*df.columns, (F.col("_in") + F.col("_earlier")).alias(out))
 
 
-def sessionize(df: DataFrame, keys, ts: str, gap_seconds: int, unit: str = "day", tie_break=None) -> DataFrame:
+def sessionize(df: DataFrame, keys, ts: str, gap_seconds: int, unit: str = "day", tie_break=None,
+               split: str = "bucket") -> DataFrame:
     """Session id per row: a new session starts when the previous event of
     the key is more than ``gap_seconds`` earlier (a gap of exactly
     ``gap_seconds`` continues the session, as ``session_window`` does).
     Previous events and the
-    running session count are both bucket-split (see module doc)."""
+    running session count are both split into ordered pieces (see module
+    doc)."""
     keys = as_list(keys)
     order = [ts] + as_list(tie_break)
-    prev = neighbors(df, keys, order, [ts], unit, prefix_prev="_prev_", prefix_next="_next_")
+    prev = neighbors(df, keys, order, [ts], unit, prefix_prev="_prev_", prefix_next="_next_", split=split)
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     p = F.unix_micros(F.col(f"_prev_{ts}").cast("timestamp"))
     flagged = prev.withColumn("_new", p.isNull() | (t - p > F.lit(int(gap_seconds * 1_000_000)))) \
         .drop(f"_prev_{ts}", f"_next_{ts}")
-    return running_count(flagged, keys, order, "_new", "session_id", unit).drop("_new")
+    return running_count(flagged, keys, order, "_new", "session_id", unit, split).drop("_new")

@@ -55,3 +55,23 @@ def test_neighbors_and_next_value(spark):
     nv = {r.k: r.nxt for r in next_value_at_or_after(asks, df.select("k", "t"), "k", "t", "nxt", unit="day").collect()}
     assert nv[0] == min(r[1] for r in rows if r[0] == 0 and r[1] >= dt.datetime(2024, 1, 3))
     assert nv[1] is None
+
+
+def test_range_split_handles_a_burst_of_one_key(spark):
+    """A hot key whose rows all fall in one day: the range split spreads it
+    over several pieces and still equals the plain window."""
+    import datetime as dt
+
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    rows = [(0, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=7 * i), i) for i in range(3000)] + \
+           [(k, dt.datetime(2024, 1, 2, k % 24), k) for k in range(1, 40)]
+    df = spark.createDataFrame(rows, "k int, t timestamp, v int")
+    got = neighbors(df, "k", ["t", "v"], ["v"], split="range")
+    w = Window.partitionBy("k").orderBy("t", "v")
+    want = df.select("k", "v", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v"))
+    assert sorted(tuple(r) for r in got.select("k", "v", "prev_v", "next_v").collect()) == \
+        sorted(tuple(r) for r in want.collect())
+    from strata.operators.sequence import split_pieces
+
+    pieces = split_pieces(df, "k", ["t", "v"], split="range").where("k = 0").select("_b").distinct().count()
+    assert pieces > 1
