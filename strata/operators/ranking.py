@@ -75,9 +75,16 @@ def global_row_number(df: DataFrame, order, name: str = "row_number") -> DataFra
     The sort is range-partitioned across tasks; each partition's row count
     (one row per partition) gives its offset; the offsets are joined back
     by broadcast. Give a total order (ties broken) for a repeatable result.
+
+    The sorted, id-tagged rows are materialised once with a reliable
+    ``checkpoint``: the counts and the rows must see the same partitions,
+    and two evaluations of a range shuffle may be sampled or coalesced
+    (AQE) differently.
     """
+    from strata.session import cut_lineage
+
     tagged = df.orderBy(*_order_key(order)).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    tagged = cut_lineage(tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

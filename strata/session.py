@@ -44,6 +44,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoint files of frames that are no longer referenced are removed
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_DEFAULTS, **(extra or {})}.items():
