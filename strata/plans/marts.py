@@ -93,11 +93,20 @@ def fact_premium(policies: DataFrame, customers: DataFrame | None = None) -> Dat
     )
 
 
-def fact_claims(claims: DataFrame, dim_pol: DataFrame) -> DataFrame:
-    """One row per claim with date key, product line, state, customer."""
+def fact_claims(claims: DataFrame, dim_pol: DataFrame, perils: DataFrame | None = None) -> DataFrame:
+    """One row per claim with date key, product line, state, customer.
+
+    ``perils`` (``part_key, peril_code``) resolves the peril when the claims
+    carry only a part key; marts that do not use the peril leave it out, so
+    their plans hold no peril join at all.
+    """
     pol = dim_pol.select("policy_id", "customer_id", "agent_id", "product_line", "state")
     # policy attributes come from the policy dimension (one source of truth)
     claims = claims.drop(*[c for c in ("customer_id", "agent_id", "product_line", "state") if c in claims.columns])
+    if perils is not None:
+        claims = claims.join(perils, "part_key", "left")
+    if "peril_code" not in claims.columns:
+        claims = claims.withColumn("peril_code", F.lit(None).cast("string"))
     out = claims.join(pol, "policy_id", "left")
     return out.select(
         "claim_id", "policy_id", "customer_id", "agent_id", "product_line", "state",

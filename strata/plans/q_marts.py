@@ -31,7 +31,7 @@ FROM earned FULL OUTER JOIN losses USING (month_key, product_line, state)
 def loss_ratio_monthly(t):
     """Flagship (L8): month x product line x state loss ratio."""
     s = Star(t)
-    return marts.agg_loss_ratio(s.fact_claims, s.fact_premium)
+    return marts.agg_loss_ratio(s.fact_claims_core, s.fact_premium)
 
 
 LOSS_RATIO_EARNED_SQL = LOSS_RATIO_SQL.replace("FULL OUTER JOIN", "LEFT JOIN")
@@ -41,7 +41,7 @@ LOSS_RATIO_EARNED_SQL = LOSS_RATIO_SQL.replace("FULL OUTER JOIN", "LEFT JOIN")
 def loss_ratio_earned_only(t):
     """L8 with the documented left join from earned premium."""
     s = Star(t)
-    return marts.agg_loss_ratio(s.fact_claims, s.fact_premium, include_unearned=False)
+    return marts.agg_loss_ratio(s.fact_claims_core, s.fact_premium, include_unearned=False)
 
 
 DIM_DATE_SQL = f"""
@@ -144,7 +144,7 @@ FROM fc GROUP BY month_key
 @query("fraud_monthly", FRAUD_MONTHLY_SQL)
 def fraud_monthly(t):
     """Monthly fraud rate and flagged amount."""
-    return marts.fraud_monthly(Star(t).fact_claims)
+    return marts.fraud_monthly(Star(t).fact_claims_core)
 
 
 BILLING_SQL = with_(PAYMENTS) + f"""
@@ -182,4 +182,4 @@ FROM dc LEFT JOIN pa USING (customer_id) LEFT JOIN ca USING (customer_id)
 def customer_value(t):
     """Customer 360 with churn and never-had-policy flags."""
     s = Star(t)
-    return marts.agg_customer_value(s.dim_customer, s.policies, s.fact_claims)
+    return marts.agg_customer_value(s.dim_customer, s.policies, s.fact_claims_core)

@@ -304,4 +304,4 @@ def event_risk(t):
     """Harsh events per 100 distance units over valid rows, and
     whether the policy (user id as policy id) had a claim."""
     s = Star(t)
-    return marts.agg_telematics_risk(s.trips, s.fact_claims)
+    return marts.agg_telematics_risk(s.trips, s.fact_claims_core)

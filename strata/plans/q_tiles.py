@@ -50,7 +50,7 @@ LR_SQL = with_(*STAR, LR)
 
 def _lr(t):
     s = Star(t)
-    return marts.agg_loss_ratio(s.fact_claims, s.fact_premium)
+    return marts.agg_loss_ratio(s.fact_claims_core, s.fact_premium)
 
 
 def _reagg(df, by):
@@ -123,7 +123,7 @@ SELECT month_key, claim_count, severity, {ratio('claim_count', 'active_policies'
 def tile_claim_trend(t):
     """Claim frequency and severity per month."""
     s = Star(t)
-    m = marts.agg_claims_monthly(s.fact_claims, s.fact_premium, by_peril=False)
+    m = marts.agg_claims_monthly(s.fact_claims_core, s.fact_premium, by_peril=False)
     return m.select("month_key", "claim_count", "severity", "frequency")
 
 
@@ -146,7 +146,7 @@ fm AS (SELECT month_key, count(*) AS claims, count(*) FILTER (WHERE fraud_flag)
 @query("tile_fraud_rate", with_(*STAR, FM) + f"SELECT month_key, {ratio('fraud_claims', 'claims')} AS fraud_rate FROM fm")
 def tile_fraud_rate(t):
     """Fraud rate over time."""
-    return marts.fraud_monthly(Star(t).fact_claims).select("month_key", "fraud_rate")
+    return marts.fraud_monthly(Star(t).fact_claims_core).select("month_key", "fraud_rate")
 
 
 @query("tile_fraud_exposure", with_(*STAR, FM) + f"""
@@ -154,7 +154,7 @@ SELECT CAST(month_key / 100 AS INTEGER) AS year, {rsum('flagged_amount')} AS fla
 FROM fm GROUP BY CAST(month_key / 100 AS INTEGER)""")
 def tile_fraud_exposure(t):
     """Flagged fraud exposure per year."""
-    fm = marts.fraud_monthly(Star(t).fact_claims)
+    fm = marts.fraud_monthly(Star(t).fact_claims_core)
     return fm.groupBy((F.col("month_key") / 100).cast("int").alias("year")).agg(
         money("flagged_amount").alias("flagged_amount"), F.sum("fraud_claims").alias("fraud_claims"))
 
@@ -179,7 +179,7 @@ AP_SQL = with_(*STAR, AGENTS, AP)
 
 def _ap(t):
     s = Star(t)
-    return marts.agg_agent_performance(s.dim_policy, s.fact_claims, s.fact_premium, s.dim_agent, s.policies)
+    return marts.agg_agent_performance(s.dim_policy, s.fact_claims_core, s.fact_premium, s.dim_agent, s.policies)
 
 
 @query("agent_performance", AP_SQL + "SELECT * FROM ap")
@@ -224,7 +224,7 @@ risk AS (SELECT v.*, 100.0 * (1.0 * CAST(harsh_events AS DOUBLE) / NULLIF(distan
 
 def _risk(t):
     s = Star(t)
-    return marts.agg_telematics_risk(s.trips, s.fact_claims)
+    return marts.agg_telematics_risk(s.trips, s.fact_claims_core)
 
 
 @query("tile_harsh_histogram", with_(RISK) + """
@@ -254,7 +254,7 @@ def tile_score_vs_loss(t):
     """Score vs loss per policy (scatter data)."""
     from strata.functions.numbers import exact_sum
 
-    losses = Star(t).fact_claims.groupBy("policy_id").agg(exact_sum("loss_amount").alias("losses"))
+    losses = Star(t).fact_claims_core.groupBy("policy_id").agg(exact_sum("loss_amount").alias("losses"))
     r = _risk(t).select("policy_id", "harsh_score")
     return r.join(losses, "policy_id", "left").select("policy_id", "harsh_score", F.coalesce("losses", F.lit(0.0)).alias("losses"))
 
@@ -276,7 +276,7 @@ CV_SQL = with_(*STAR, DIM_CUSTOMER, CV)
 
 def _cv(t):
     s = Star(t)
-    return marts.agg_customer_value(s.dim_customer, s.policies, s.fact_claims)
+    return marts.agg_customer_value(s.dim_customer, s.policies, s.fact_claims_core)
 
 
 @query("tile_active_customers", CV_SQL + f"""

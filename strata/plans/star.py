@@ -45,7 +45,13 @@ class Star:
 
     @cached_property
     def fact_claims(self):
-        return marts.fact_claims(model.claims_with_peril(self.t), self.dim_policy)
+        """Claims with the peril resolved (for marts by peril)."""
+        return marts.fact_claims(model.claims(self.t), self.dim_policy, model.perils(self.t))
+
+    @cached_property
+    def fact_claims_core(self):
+        """Claims without the peril lookup (marts that never use it)."""
+        return marts.fact_claims(model.claims(self.t), self.dim_policy).drop("peril_code")
 
     @cached_property
     def fact_premium(self):
