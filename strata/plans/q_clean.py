@@ -20,7 +20,6 @@ from strata.functions.text import normalize_text, split_part
 from strata.operators.joins import lookup
 from strata.plans import model
 from strata.plans.registry import query
-from strata.plans.star import Star
 
 
 @query("clean_text_rt", "SELECT p_partkey, p_name AS cleaned FROM part")

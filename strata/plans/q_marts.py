@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from strata.plans import marts
 from strata.plans.registry import query
-from strata.plans.sql import (AGENTS, BASE, DIM_CUSTOMER, COVERAGE_ROLLUP, CLAIMS, DIM_POLICY, FACT_CLAIMS, FACT_PREMIUM,
-                              NATIONS, PAYMENTS, POLICIES, CUSTOMERS, STAR, TRIPS, ratio, with_, xsum, date_key,
-                              month_key)
+from strata.plans.sql import (BASE, COVERAGE_ROLLUP, CUSTOMERS, DIM_CUSTOMER, DIM_POLICY, FACT_PREMIUM, NATIONS,
+                              PAYMENTS, POLICIES, STAR, date_key, ratio, with_, xsum)
 from strata.plans.star import Star
 
 LOSS_RATIO_SQL = with_(*STAR, f"""

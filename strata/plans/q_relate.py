@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.hashing import row_hash
 from strata.functions.numbers import exact_sum
 from strata.operators import joins as J
 from strata.operators.scd import scd2_history, scd2_seed
-from strata.plans import model
 from strata.plans.registry import query
 from strata.plans.sql import xsum
 

@@ -16,7 +16,7 @@ from strata.operators.ranking import quantile_bucket, top_n
 from strata.plans import marts
 from strata.plans.q_quality import SCORE_SQL, DIRTY_SQL, RULES_SQL, _scorecard, dirty_orders, rules
 from strata.plans.registry import query
-from strata.plans.sql import AGENTS, DIM_CUSTOMER, STAR, PAYMENTS, TRIPS, ratio, with_, xsum
+from strata.plans.sql import AGENTS, DIM_CUSTOMER, STAR, PAYMENTS, ratio, with_, xsum
 from strata.plans.star import Star
 
 
