@@ -18,6 +18,11 @@ RUNTIME_DEFAULTS = {
     # one task: AQE splits a partition 5x the median and > 256 MB.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Broadcast a join side only when Spark has measured it (plan statistics,
+    # or AQE's runtime shuffle statistics) below 50 MB; larger sides stay
+    # sort-merge joins.
+    "spark.sql.autoBroadcastJoinThreshold": "50m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "50m",
 }
 
 
