@@ -39,14 +39,20 @@ def _run(t, name, out_fn, replays: bool = False, dirty: bool = False):
     has arrived (``availableNow``, shared checkpoint): every run is one
     micro-batch of new files, as in a scheduled incremental job, and the
     watermark carries over between runs. Returns the committed output."""
+    from strata.sources.sinks import move_path
+
     e = _slices(t, replays, dirty)
     root = run_dir(t.spark, name)
     schema = e.drop("_file").schema
+    # all slices are written by one job (one scan of the table) into a
+    # staging folder; each arrival then moves one slice into the watched
+    # folder, as a landing process would
+    e.write.partitionBy("_file").parquet(f"{root}/staging")
     stream = S.event_time(
         file_stream(t.spark, f"{root}/input/part=*", "parquet", schema).drop("_source_file", "_ingest_ts"), "ts")
     out = out_fn(stream)
     for i in range(FILES):
-        e.where(F.col("_file") == i).drop("_file").write.parquet(f"{root}/input/part={i:04d}")
+        move_path(t.spark, f"{root}/staging/_file={i}", f"{root}/input/part={i:04d}")
         stream_to_table(out, f"{root}/out", f"{root}/checkpoint")
     return t.spark.read.parquet(f"{root}/out")
 

@@ -57,6 +57,16 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def move_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a folder within one file system (a landing arrival); creates
+    the parent of ``dst``."""
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise IOError(f"could not move {src} to {dst}")
+
+
 def current_snapshot(spark: SparkSession, table_root: str) -> str | None:
     """Path of the table's current snapshot, from its ``_CURRENT`` pointer."""
     name = _read_text(spark, os.path.join(table_root, "_CURRENT"))
