@@ -305,3 +305,50 @@ def event_risk(t):
     whether the policy (user id as policy id) had a claim."""
     s = Star(t)
     return marts.agg_telematics_risk(s.trips, s.fact_claims_core)
+
+
+@query("dedup_documents", """
+SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text""")
+def dedup_documents(t):
+    """D1 on whole texts: one document per identical text (the smallest id)
+    with its number of copies. Texts are grouped by their SHA-256, so the
+    shuffle carries a 64-character key, not the text."""
+    d = t.documents.select("doc_id", F.sha2("text", 256).alias("_h"))
+    return d.groupBy("_h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).drop("_h")
+
+
+@query("normalize_conversations", r"""
+SELECT conv_id, turn, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS text FROM conversations""")
+def normalize_conversations(t):
+    """B1 over whole conversation turns: whitespace runs collapsed,
+    trimmed, lower-cased."""
+    from strata.functions.text import normalize_text
+
+    c = t.conversations
+    return c.select("conv_id", "turn", normalize_text("text", "lower").alias("text"))
+
+
+@query("conversation_keys", """
+SELECT conv_id, turn, count(*) AS n FROM conversations GROUP BY conv_id, turn HAVING count(*) > 1""")
+def conversation_keys(t):
+    """K13 on (conv_id, turn): expect no duplicate keys."""
+    from strata.operators.quality import unique_key
+
+    return unique_key(t.conversations, ["conv_id", "turn"])
+
+
+@query("label_coverage", """
+SELECT lang, count(*) AS documents, count(l.doc_id) AS labelled,
+       CAST(sum(l.quality) AS BIGINT) AS quality_docs, CAST(sum(l.toxic) AS BIGINT) AS toxic_docs,
+       CAST(sum(l.quality) AS DOUBLE) / NULLIF(CAST(count(l.doc_id) AS DOUBLE), 0) AS quality_share
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang""")
+def label_coverage(t):
+    """C2 + E4: labels joined to documents (left, unlabelled kept);
+    coverage and label shares per language."""
+    d = t.documents.select("doc_id", "lang")
+    lab = t.labels.select(F.col("doc_id").alias("_lid"), "quality", "toxic")
+    j = d.join(lab, F.col("doc_id") == F.col("_lid"), "left")
+    return j.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("documents"), F.count("_lid").alias("labelled"),
+        F.sum("quality").cast("bigint").alias("quality_docs"), F.sum("toxic").cast("bigint").alias("toxic_docs"),
+        safe_ratio(F.sum("quality"), F.count("_lid")).alias("quality_share"))
