@@ -14,13 +14,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Registered outputs carry wall-clock timestamps without a time zone
+    (``TIMESTAMP_NTZ``, UTC session), like the source tables and the SQL
+    oracle; zoned timestamps (e.g. from watermarked streams or windows) are
+    converted."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+
+    if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(t: Tables) -> DataFrame`` under ``name``."""
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(Tables(spark, sf_dir))
+            return naive_timestamps(fn(Tables(spark, sf_dir)))
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
