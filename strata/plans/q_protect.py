@@ -102,3 +102,30 @@ def key_skew_top(t):
     """Q3: the heaviest keys (top-k report)."""
     _, heavy = key_skew_op(_hot(t), "user_id")
     return heavy
+
+
+@query("sql_functions", """
+SELECT o_orderkey,
+       CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS date_key,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS premium,
+       CAST(o_totalprice AS DOUBLE) / NULLIF(CAST(o_orderkey % 5 AS DOUBLE), 0) AS ratio,
+       o_orderstatus = 'F' AS flag,
+       'XXX-XXX-' || right('555' || lpad(CAST(o_custkey AS VARCHAR), 7, '0'), 4) AS phone
+FROM orders""")
+def sql_functions(t):
+    """The same operators called from SQL as temporary SQL functions
+    (inlined by Catalyst) over a view of the orders table."""
+    from strata.functions.sql_functions import register_sql_functions
+
+    register_sql_functions(t.spark)
+    view = f"strata_orders_{abs(hash(t.sf_dir)) % 10_000_000}"
+    t.orders.createOrReplaceTempView(view)
+    return t.spark.sql(f"""
+        SELECT o_orderkey,
+               date_key(CAST(o_orderdate AS DATE)) AS date_key,
+               parse_money(CASE WHEN o_orderkey % 7 = 0 THEN 'n/a'
+                                ELSE concat('$', format_number(o_totalprice, 2)) END) AS premium,
+               safe_ratio(o_totalprice, CAST(o_orderkey % 5 AS DOUBLE)) AS ratio,
+               parse_bool(CASE o_orderstatus WHEN 'F' THEN ' YES ' ELSE 'no' END) AS flag,
+               mask_phone(concat('555', lpad(CAST(o_custkey AS STRING), 7, '0')), false) AS phone
+        FROM {view}""")

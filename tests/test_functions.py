@@ -102,3 +102,20 @@ def test_dirt_round_trip(spark):
     df = spark.range(200).select(F.round(F.col("id") * 13.37 + 0.01, 2).alias("x"), F.col("id"))
     shapes = df.select("x", numbers.parse_money(dirt.money_text("x", F.pmod("id", F.lit(3)))).alias("y"))
     assert all(r.x == r.y for r in shapes.collect())
+
+
+def test_sql_functions_match_column_functions(spark):
+    from strata.functions.sql_functions import register_sql_functions
+
+    register_sql_functions(spark)
+    vals = ["$1,234.50", "$-1,234.50", "  1200.0 ", "1234,56", "1200,0", "-5", "abc", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    df.createOrReplaceTempView("money_edge_rows")
+    sql = [r[0] for r in spark.sql("SELECT parse_money(v) FROM money_edge_rows").collect()]
+    assert sql == col1(spark, vals, numbers.parse_money)
+    b = ["true", "Y", "1", "YES", "false", "N", "0", "NO", " yes ", "maybe", None]
+    spark.createDataFrame([(v,) for v in b], "v string").createOrReplaceTempView("bool_edge_rows")
+    assert [r[0] for r in spark.sql("SELECT parse_bool(v) FROM bool_edge_rows").collect()] == col1(spark, b, flags.parse_bool)
+    r = spark.sql("SELECT mask_email('jane@x.com', false) a, mask_email('jane@x.com', true) b, "
+                  "mask_phone('(312) 555-0142', false) c, safe_ratio(1.0, 0.0) d, date_key(DATE'2024-05-04') e").first()
+    assert tuple(r) == ("***@x.com", "jane@x.com", "XXX-XXX-0142", None, 20240504)
