@@ -93,7 +93,7 @@ def weighted_score(df: DataFrame, by, flags: dict[str, float], distance: str, pe
     )
 
 
-def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
+def profile(df: DataFrame, cols, scale: int = 2, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """E5: long-format profile: one row per (column, statistic).
 
     count / mean / stddev / min / max come from one aggregate pass (mean
@@ -101,7 +101,9 @@ def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
     decimals so it does not depend on summation order);
     quartiles are exact (interpolated) and come from one distributed sort
     of all profiled columns in long form, never from one task holding all
-    values.
+    values. ``exact=False`` takes the quartiles from ``percentile_approx``
+    instead (one aggregate pass, no sort, no checkpoint; rank error at most
+    N / ``accuracy``).
     """
     rows = []
     stats = []
@@ -118,6 +120,16 @@ def profile(df: DataFrame, cols, scale: int = 2) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(n.split("|")[0]).alias("column"), F.lit(n.split("|")[1]).alias("statistic"),
                                F.col(f"`{n}`").alias("value")) for n in wide.columns])
     rows.append(wide.select(F.inline(pairs)))
+    if not exact:
+        # bounded-memory quartiles (mergeable sketch, rank error <= N / accuracy)
+        pq = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias(c) for c in cols])
+        long_q = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(f"p{p}").alias("statistic"),
+                                    F.col(f"`{c}`")[i].alias("value")) for c in cols for i, p in enumerate((25, 50, 75))])
+        rows.append(pq.select(F.inline(long_q)))
+        out = rows[0]
+        for r in rows[1:]:
+            out = out.unionByName(r)
+        return out
     from strata.operators.ranking import exact_quantiles_by
 
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))

@@ -75,3 +75,14 @@ def test_range_split_handles_a_burst_of_one_key(spark):
 
     pieces = split_pieces(df, "k", ["t", "v"], split="range").where("k = 0").select("_b").distinct().count()
     assert pieces > 1
+
+
+def test_profile_approx_quartiles_close_to_exact(spark):
+    from strata.operators.aggregates import profile
+
+    df = spark.range(20000).select((F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double") / 10).alias("x"))
+    ex = {r.statistic: r.value for r in profile(df, ["x"]).collect()}
+    ap = {r.statistic: r.value for r in profile(df, ["x"], exact=False).collect()}
+    assert set(ex) == set(ap)
+    for s in ("p25", "p50", "p75"):
+        assert abs(ex[s] - ap[s]) <= 0.2  # within a few ranks of 20,000
