@@ -7,9 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality, simhash
+from strata.llm import decontam, quality, simhash
 from strata.llm.common import prepare
 
+# DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -42,3 +46,23 @@ def op6(table) -> DataFrame:
 def op4(table) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(table("documents"))
+
+
+@query("op5_benchmark_decontamination", f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, CASE WHEN len(w) < 10 THEN w ELSE list_slice(w, i, i + 9) END AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("text")} AS w FROM documents),
+dw AS (SELECT rid, i, n, list_slice(w, i, i + n - 1) AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT len(g) AS n FROM bw) WHERE len(w) >= n)),
+m AS (SELECT DISTINCT rid, i, n, item_id FROM dw JOIN bw USING (g)),
+hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM m) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM m) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN found USING (rid)""")
+def op5(table) -> DataFrame:
+    """Benchmark words and items in every document."""
+    return decontam.contamination(table("documents"), table("benchmark")).drop("n_near_items")
