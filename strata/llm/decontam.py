@@ -260,5 +260,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       window: int = 10) -> DataFrame:
     """The rows of ``docs`` without a benchmark window; rows with a NULL id
     stay (their ids cannot be matched)."""
-    bad = contamination(docs, items, id_col, text_col, window=window).where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(cut(bad), F.col("_bad_id") == docs[id_col].cast("long"), "left_anti")
+    bad = contamination(docs, items, id_col, text_col, window=window).where("contaminated").select(F.col("doc_id").alias("__bad_id")).distinct()
+    return docs.join(cut(bad), F.col("__bad_id") == docs[id_col].cast("long"), "left_anti")

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import decontam, quality, simhash
+from strata.llm import decontam, mixing, quality, simhash, tokenids
 from strata.llm.common import prepare
 
 # DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
@@ -18,6 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file on this machine (a parameter of the
+    operators; the files are installed on every node, never in this repo)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(table) -> DataFrame``; ``table(name)`` reads one of the
     given tables through Spark."""
@@ -66,3 +75,28 @@ FROM d LEFT JOIN hits USING (rid) LEFT JOIN found USING (rid)""")
 def op5(table) -> DataFrame:
     """Benchmark words and items in every document."""
     return decontam.contamination(table("documents"), table("benchmark")).drop("n_near_items")
+
+
+# Production shares of the mix: the large source is held back, the others and
+# whatever is not named get one share each.
+MIX_SHARES = {"src0": 5, **{f"src{i}": 1 for i in range(1, 20)}}
+MIX_OTHER = 1
+MIX_BLOCK = 1 << 16  # characters
+
+
+@query("op8_mix_sources")
+def op8(table) -> DataFrame:
+    """Block, release, deadline and slot of every document."""
+    return mixing.schedule(table("documents"), MIX_SHARES, MIX_OTHER, MIX_BLOCK)
+
+
+def token_digest(store: tokenids.Store, keys: DataFrame) -> DataFrame:
+    """Start, length and CRC-32 of the ids read back for ``keys``."""
+    return tokenids.fetch(store, keys).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_token_ids")
+def op10(table) -> DataFrame:
+    """Every document's ids, written and read back through the index."""
+    docs = table("documents")
+    return token_digest(tokenids.write(docs, tokenizer_file("word_bpe_49k.json")), docs.select("doc_id"))

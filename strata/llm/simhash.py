@@ -136,9 +136,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """The rows of ``docs`` whose id is the smallest of its group; rows
     with a NULL id are kept. A repeated id keeps one of its rows."""
     found = cut(near_duplicates(docs, id_col, text_col, shingle, radius))
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_keep_id")).agg(F.count(F.lit(1)).alias("_copies"))
+    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__keep_id")).agg(F.count(F.lit(1)).alias("__copies"))
     keep = cut(keep)
-    same = F.col("_keep_id") == docs[id_col].cast("long")
-    once = docs.join(keep.where("_copies = 1"), same, "left_semi")
-    again = docs.join(keep.where("_copies > 1"), same, "left_semi").dropDuplicates([id_col])
+    same = F.col("__keep_id") == docs[id_col].cast("long")
+    once = docs.join(keep.where("__copies = 1"), same, "left_semi")
+    again = docs.join(keep.where("__copies > 1"), same, "left_semi").dropDuplicates([id_col])
     return once.unionByName(again).unionByName(docs.where(docs[id_col].isNull()))
