@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, mixing, quality, simhash, tokenids
+from strata.llm import decontam, licenses, mixing, quality, simhash, tokenids
 from strata.llm.common import prepare
 
 # DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
@@ -100,3 +100,45 @@ def op10(table) -> DataFrame:
     """Every document's ids, written and read back through the index."""
     docs = table("documents")
     return token_digest(tokenids.write(docs, tokenizer_file("word_bpe_49k.json")), docs.select("doc_id"))
+
+
+def _license_sql() -> str:
+    """The scan in DuckDB: postings from corpus IDFs, hits grouped by the
+    place where the template would begin, key phrases at their places."""
+    forms = licenses.templates(licenses.TEMPLATES)
+    rows = lambda x: ", ".join(str(r).replace(",)", ")") for r in x)
+    words = rows([(t, i, w) for t, f in enumerate(forms) for i, w in enumerate(f.words)])
+    labels = rows([(t, f.label) for t, f in enumerate(forms)])
+    keys = rows([(t, k, at + j, w) for t, f in enumerate(forms) for k, (at, ws) in enumerate(f.keys) for j, w in enumerate(ws)])
+    phrases = rows([(label, j, w) for p, label in licenses.PHRASES.items() for j, w in enumerate(licenses.words_of(p))])
+    return f"""
+WITH f(t, pos, w) AS (VALUES {words}), l(t, label) AS (VALUES {labels}), k(t, k, pos, w) AS (VALUES {keys}),
+p(label, j, w) AS (VALUES {phrases}),
+vocab AS (SELECT w FROM f UNION SELECT w FROM p),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("text")} AS ws FROM documents),
+m AS (SELECT rid, i, ws[i + 1] AS w FROM (SELECT rid, ws, unnest(range(len(ws))) AS i FROM d) WHERE ws[i + 1] IN (SELECT w FROM vocab)),
+idf AS (SELECT w, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT rid) + 1)) + 1 AS v FROM vocab LEFT JOIN m USING (w) GROUP BY w),
+rare AS (SELECT t, w, v FROM (SELECT t, w, v, row_number() OVER (PARTITION BY t ORDER BY v DESC, w) AS n
+  FROM (SELECT DISTINCT t, w, v FROM f JOIN idf USING (w))) WHERE n <= 6),
+post AS (SELECT t, pos, w, v / sum(v) OVER (PARTITION BY t) AS v FROM f JOIN rare USING (t, w)),
+place AS (SELECT rid, t, i - pos AS off, sum(v) AS s FROM m JOIN post USING (w) GROUP BY ALL),
+ok AS (SELECT DISTINCT rid, label FROM place JOIN l USING (t)
+  WHERE s >= 0.75 - 1e-9 AND NOT EXISTS (SELECT 1 FROM k WHERE k.t = place.t
+    AND NOT EXISTS (SELECT 1 FROM m WHERE m.rid = place.rid AND m.i = place.off + k.pos AND m.w = k.w))),
+base AS (SELECT rid, i, label FROM (SELECT rid, m.i - p.j AS i, label, count(DISTINCT p.j) AS n FROM m JOIN p USING (w) GROUP BY ALL) x
+  WHERE n = (SELECT count(*) FROM p WHERE p.label = x.label)),
+bs AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM base GROUP BY rid),
+ls AS (SELECT rid, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT rid, label FROM ok UNION SELECT rid, label FROM base) GROUP BY rid),
+sc AS (SELECT rid, least(round(max(s), 6), 1.0) AS score FROM place GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN bs USING (rid) LEFT JOIN ls USING (rid) LEFT JOIN sc USING (rid)"""
+
+
+@query("op2_license_scan", _license_sql())
+def op2(table) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return licenses.scan(table("documents"))
