@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from strata.session import configure, ensure_checkpoint_dir
 
 # Fixed values of the word definitions (see each operator's docstring).
 WHITESPACE = b" \t\n\x0b\x0c\r"
-UPPER = bytes(range(ord("A"), ord("Z") + 1))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)  # A-Z only
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -58,3 +61,36 @@ def text_bytes(text: str | None) -> bytes:
 def ascii_lower(text: bytes) -> bytes:
     """Lower-case A-Z only (``bytes.lower`` leaves other bytes alone)."""
     return text.lower()
+
+
+def batch_words(texts: pa.Array, in_word: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The words of many texts in order, A-Z lower-cased: the number of words
+    per text (NULL: none) and all words, dictionary-encoded. ``in_word``
+    tells for each byte whether it belongs to words. Works on the UTF-8
+    buffers, without a Python object per word."""
+    texts = texts.fill_null("")
+    bounds = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    low = _LOWER[np.frombuffer(b"".join(memoryview(t.as_buffer()) for t in texts), np.uint8)]
+    inside = in_word[low]
+    first = np.zeros(len(low) + 1, bool)  # a text begins here
+    first[bounds] = True
+    before = np.concatenate([[False], inside[:-1]]) if len(low) else inside
+    starts = np.flatnonzero(inside & (~before | first[:-1]))
+    packed = low[inside]
+    offsets = np.concatenate([np.cumsum(inside, dtype=np.int64)[starts] - 1, [len(packed)]]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+    return np.diff(np.searchsorted(starts, bounds)), words.dictionary_encode()
+
+
+def bounded_runs(sizes: np.ndarray, max_size: int, max_rows: int) -> list[tuple[int, int]]:
+    """(first, length) of consecutive rows within both bounds; a single row
+    over ``max_size`` is a run of its own."""
+    out, first, size = [], 0, 0
+    for i, s in enumerate(sizes.tolist()):
+        if i > first and (size + s > max_size or i - first >= max_rows):
+            out.append((first, i - first))
+            first, size = i, 0
+        size += s
+    if len(sizes) > first:
+        out.append((first, len(sizes) - first))
+    return out

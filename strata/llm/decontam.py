@@ -21,14 +21,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_within, cut, materialize
+from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut, materialize
 
-# Word bytes: digits, letters (A-Z lower-cased) and all of non-ASCII UTF-8.
-_TABLE = np.zeros(256, np.uint8)
-_TABLE[0x30:0x3A] = np.arange(0x30, 0x3A)
-_TABLE[0x61:0x7B] = np.arange(0x61, 0x7B)
-_TABLE[0x41:0x5B] = np.arange(0x61, 0x7B)
-_TABLE[0x80:] = np.arange(0x80, 0x100)
+# Word bytes: digits, letters and all of non-ASCII UTF-8.
+_IN_WORD = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
 
 SEGMENT_BYTES = 8 << 20
 MAX_BROADCAST_TERMS = 1_000_000
@@ -38,27 +34,8 @@ _INDEX_ARROW = pa.schema([("seg", pa.int64()), ("term", pa.string()), ("tf", pa.
                           ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32()))])
 
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
-    """Words of all texts, in order: number of words per text and the words
-    dictionary-encoded. Runs on the UTF-8 buffer, no Python object per word."""
-    texts = texts.fill_null("")
-    bounds = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
-    raw = np.frombuffer(b"".join(memoryview(t.as_buffer()) for t in texts), np.uint8)
-    low = _TABLE[raw]
-    inside = low != 0
-    edge = np.zeros(len(low) + 1, bool)  # a text begins here
-    edge[bounds] = True
-    before = np.concatenate([[False], inside[:-1]]) if len(low) else inside
-    starts = np.flatnonzero(inside & (~before | edge[:-1]))
-    packed = low[inside]
-    offsets = np.concatenate([np.cumsum(inside, dtype=np.int64)[starts] - 1, [len(packed)]]).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-    per_text = np.diff(np.searchsorted(starts, bounds))
-    return per_text, words.dictionary_encode()
-
-
 def _segment(seg: int, ids: pa.Array, texts: pa.Array, gap: int) -> Iterator[pa.RecordBatch]:
-    per_text, words = _tokens(texts)
+    per_text, words = batch_words(texts, _IN_WORD)
     yield pa.RecordBatch.from_arrays(
         [pa.array([seg], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
          pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([per_text.tolist()], pa.list_(pa.int32()))],
@@ -89,16 +66,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seg = TaskContext.get().partitionId() << 32
         for b in batches:
             sizes = pa.compute.binary_length(b.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
-            first = size = 0
-            for i in range(b.num_rows + 1):  # cut before the row that would pass the bound
-                if i == b.num_rows or (i > first and size + sizes[i] > SEGMENT_BYTES):
-                    if i > first:
-                        part = b.slice(first, i - first)
-                        yield from _segment(seg, part.column(0), part.column(1), gap)
-                        seg += 1
-                    first, size = i, 0
-                if i < b.num_rows:
-                    size += int(sizes[i])
+            for first, n in bounded_runs(sizes, SEGMENT_BYTES, 1 << 16):
+                part = b.slice(first, n)
+                yield from _segment(seg, part.column(0), part.column(1), gap)
+                seg += 1
 
     return materialize(src.mapInArrow(run, INDEX), "postings")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, licenses, mixing, quality, simhash, tokenids
+from strata.llm import decontam, licenses, mixing, pitman_yor, quality, simhash, tokenids
 from strata.llm.common import prepare
 
 # DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
@@ -142,3 +142,9 @@ FROM d LEFT JOIN bs USING (rid) LEFT JOIN ls USING (rid) LEFT JOIN sc USING (rid
 def op2(table) -> DataFrame:
     """Licence phrases and notices in every document."""
     return licenses.scan(table("documents"))
+
+
+@query("op9_lm_scores")
+def op9(table) -> DataFrame:
+    """Base and hierarchical Pitman-Yor scores of every document."""
+    return pitman_yor.score_documents(table("documents"))
