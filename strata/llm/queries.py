@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, licenses, mixing, pitman_yor, quality, simhash, tokenids
-from strata.llm.common import prepare
+from strata.llm import chat, decontam, licenses, mixing, pitman_yor, quality, rollup, simhash, tokenids, warc
+from strata.llm.common import cut, materialize, prepare, shared_path
 
 # DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -148,3 +148,150 @@ def op2(table) -> DataFrame:
 def op9(table) -> DataFrame:
     """Base and hierarchical Pitman-Yor scores of every document."""
     return pitman_yor.score_documents(table("documents"))
+
+
+_SPACE_WORD = r"[^\x20\x09-\x0D]+"
+_PIECE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def token_feed(docs: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The change feed of a corpus: every document is counted, recounted by
+    the next tokenizer version where that differs, and exact copies of an
+    earlier document are taken down."""
+    counts = materialize(docs.select(
+        "doc_id", "source", "lang", F.md5("text").alias("h"),
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_SPACE_WORD)).cast("long").alias("v1"),
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_PIECE_WORD)).cast("long").alias("v2")), "token-counts")
+    keys = [F.col("source"), F.col("lang")]
+    load = counts.select(F.lit("insert").alias("kind"), *keys, F.lit("words-1").alias("tokenizer"), F.col("v1").alias("n_tokens"))
+    recount = counts.where("v1 <> v2").select(
+        F.lit("revise").alias("kind"), *keys, F.lit("pieces-2").alias("tokenizer"), F.col("v2").alias("n_tokens"),
+        F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.lit("words-1").alias("old_tokenizer"), F.col("v1").alias("old_n_tokens"))
+    first = cut(counts.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "first"))
+    copies = counts.join(first, "h").where("doc_id <> first")
+    same = F.col("v1") == F.col("v2")
+    take_down = copies.select(F.lit("delete").alias("kind"), *keys, F.when(same, "words-1").otherwise("pieces-2").alias("tokenizer"),
+                              F.when(same, F.col("v1")).otherwise(F.col("v2")).alias("n_tokens"))
+    return [("001-load", load), ("002-recount", recount), ("003-take-down", take_down)]
+
+
+_COUNT = "CAST(len(regexp_extract_all(coalesce(text, ''), '{}')) AS BIGINT)"
+
+
+@query("op1_token_rollup", f"""
+WITH c AS (SELECT doc_id, source, lang, {_COUNT.format(_SPACE_WORD)} AS v1, {_COUNT.format(_PIECE_WORD)} AS v2,
+  doc_id <> min(doc_id) OVER (PARTITION BY text) AS copy FROM documents)
+SELECT source, lang, CASE WHEN v1 = v2 THEN 'words-1' ELSE 'pieces-2' END AS tokenizer, count(*) AS n_docs,
+  CAST(sum(v2) AS BIGINT) AS n_tokens FROM c WHERE NOT copy GROUP BY ALL""")
+def op1(table) -> DataFrame:
+    """Totals by source, language and tokenizer after three batches, one of
+    them sent twice, and a compaction."""
+    docs = table("documents")
+    totals = rollup.Rollup(docs.sparkSession, shared_path(docs.sparkSession, "token-rollup"))
+    feed = token_feed(docs)
+    for batch, changes in [*feed[:2], feed[1]]:
+        totals.apply(batch, changes)
+    totals.compact()
+    totals.apply(*feed[2])
+    return totals.totals()
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """WARC records of a crawl table: each page is a full response, and is
+    asked for again 3,000 minutes later under its URL with a fragment. The
+    server sends strong tags, weak tags, or only a date, by length of page."""
+    kind = F.length("html") % 3
+    tag, date = F.md5("html"), F.concat(F.lit("day "), F.floor(F.col("page_id") / 2))
+
+    def headers(weak: str, at: Column) -> Column:
+        etag = F.concat(F.lit(weak), F.lit('"'), tag, F.lit('"'))
+        return F.when(kind < 2, F.create_map(F.lit("ETag"), etag, F.lit("Date"), at, F.lit("Content-Type"), F.lit("text/html"))).otherwise(
+            F.create_map(F.lit("Last-Modified"), date, F.lit("Date"), at, F.lit("Content-Type"), F.lit("text/html")))
+
+    when = lambda minutes: F.timestamp_seconds((F.col("page_id") + minutes) * 60)
+    full = pages.select((F.col("page_id") * 2).alias("record_id"), F.lit("response").alias("kind"), "url", when(0).alias("ts"),
+                        headers("", F.concat(F.lit("t"), F.col("page_id"))).alias("headers"), tag.alias("digest"))
+    again = pages.select((F.col("page_id") * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"),
+                         F.concat("url", F.lit("#again")).alias("url"), when(3000).alias("ts"),
+                         F.when(kind == 1, headers("W/", F.concat(F.lit("t"), F.col("page_id") + 3000)))
+                         .otherwise(headers("", F.concat(F.lit("t"), F.col("page_id") + 3000))).alias("headers"),
+                         F.lit(None).cast("string").alias("digest"))
+    return full.unionByName(again)
+
+
+_CANON = """
+WITH raw AS (SELECT page_id, length(html) % 3 AS k, md5(html) AS tag, 'day ' || CAST(page_id // 2 AS VARCHAR) AS day,
+  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages),
+cut AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^.*@', ''), '^www[0-9]*\\.', ''), ':(80|443)$', '')
+  || regexp_replace(regexp_extract(regexp_extract(u, '^[^/?]*(.*)$', 1), '^[^?]*'), '/+$', '') AS hp,
+  array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?]*\\?(.*)$', 1), '&'),
+    lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|jsessionid|phpsessid)(=|$)'))), '&') AS q FROM raw),
+p AS (SELECT page_id, k, tag, day, hp || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS url FROM cut)"""
+
+
+@query("op3_warc_revisits", _CANON + """,
+j AS (SELECT a.page_id, a.url, a.k, a.tag, a.day, max(b.page_id) AS m FROM p a LEFT JOIN p b ON a.url = b.url AND b.page_id < a.page_id + 3000 GROUP BY ALL),
+r AS (SELECT j.*, b.k AS bk, b.tag AS btag, b.day AS bday FROM j LEFT JOIN p b ON b.page_id = j.m),
+s AS (SELECT *, CASE WHEN m IS NULL THEN 'no_response' WHEN k < 2 AND bk < 2 THEN CASE WHEN tag = btag THEN 'resolved' ELSE 'mismatch' END
+  WHEN k = 2 AND bk = 2 THEN CASE WHEN day = bday THEN 'resolved' ELSE 'mismatch' END ELSE 'unverified' END AS status FROM r)
+SELECT page_id * 2 + 1 AS record_id, url, status, m * 2 AS refers_to,
+  CASE WHEN status = 'resolved' THEN 'content-type: text/html; date: t' || CAST(page_id + 3000 AS VARCHAR) || CASE
+    WHEN k = 0 THEN '; etag: "' || tag || '"' WHEN k = 1 THEN '; etag: W/"' || tag || '"' ELSE '; last-modified: ' || day END END AS headers,
+  CASE WHEN status = 'resolved' THEN btag END AS digest FROM s""")
+def op3(table) -> DataFrame:
+    """Every page's revisit: what it refers to, and its merged headers."""
+    found = warc.resolve_revisits(captures(table("pages")))
+    listed = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return found.withColumn("headers", F.array_join(listed, "; "))
+
+
+CHAT_TOOLS = {
+    "search": [chat.Argument("limit", "integer", minimum=1, maximum=4), chat.Argument("text", "string")],
+    "convert": [chat.Argument("unit", "string", choices=("chars", "words", "lines")), chat.Argument("value", "integer", maximum=900),
+                chat.Argument("scale", "number", required=False)],
+    "note": [chat.Argument("body", "string"), chat.Argument("title", "string")],
+}
+
+
+def tool_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results of a conversation table: every assistant turn is a
+    call (tool by turn, arguments from its whole text, following the
+    assistant turn before last), every other turn the result of the call one
+    turn before."""
+    ident = lambda back: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn") - back)
+    lines = F.size(F.split("text", "\n")).cast("long")
+    unit = F.element_at(F.array(*map(F.lit, ("chars", "words", "lines", "pages"))), (F.length("text") % 4 + 1).cast("int"))
+    tool = F.col("turn") % 3
+    arguments = (F.when(tool == 0, F.to_json(F.struct(F.col("text"), lines.alias("limit"))))
+                 .when(tool == 1, F.to_json(F.struct(F.length("text").alias("value"), unit.alias("unit"))))
+                 .otherwise(F.to_json(F.struct(F.when(lines > 1, F.col("turn").cast("string")).alias("title"), F.col("text").alias("body")))))
+    name = F.element_at(F.array(*map(F.lit, CHAT_TOOLS)), (tool + 1).cast("int"))
+    calls = turns.where("role = 'assistant'").select("conv_id", "turn", ident(0).alias("call_id"), name.alias("name"),
+                                                     arguments.alias("arguments"), ident(2).alias("after"))
+    results = turns.where("role <> 'assistant'").select("conv_id", "turn", ident(1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@query("op7_chat_tool_calls", """
+WITH RECURSIVE a AS (SELECT *, 'c' || conv_id || '-' || turn AS call_id, len(string_split(text, chr(10))) AS lines, turn % 3 AS t
+  FROM conversations WHERE role = 'assistant'),
+lv(conv_id, turn, level) AS (SELECT conv_id, turn, 0 FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 2)
+  UNION ALL SELECT a.conv_id, a.turn, level + 1 FROM lv JOIN a ON a.conv_id = lv.conv_id AND a.turn = lv.turn + 2),
+r AS (SELECT conv_id, turn - 1 AS turn, count(*) AS n, min(text) AS content FROM conversations WHERE role <> 'assistant' GROUP BY ALL),
+x AS (SELECT a.conv_id, a.turn, call_id, CAST(level AS BIGINT) AS level, CAST(coalesce(n, 0) AS BIGINT) AS n_results, content,
+  CASE t WHEN 0 THEN 'search' WHEN 1 THEN 'convert' ELSE 'note' END AS name,
+  CASE t WHEN 0 THEN CASE WHEN lines > 4 THEN 'maximum:limit' ELSE '' END
+    WHEN 1 THEN concat_ws(',', CASE WHEN length(text) % 4 = 3 THEN 'choice:unit' END, CASE WHEN length(text) > 900 THEN 'maximum:value' END)
+    ELSE CASE WHEN lines > 1 THEN '' ELSE 'missing:title' END END AS problems,
+  CASE t WHEN 0 THEN '{"limit":' || lines || ',"text":' || CAST(to_json(text) AS VARCHAR) || '}'
+    WHEN 1 THEN '{"unit":"' || (['chars', 'words', 'lines', 'pages'])[length(text) % 4 + 1] || '","value":' || length(text) || '}'
+    ELSE '{"body":' || CAST(to_json(text) AS VARCHAR) || CASE WHEN lines > 1 THEN ',"title":"' || a.turn || '"' ELSE '' END || '}' END AS args
+  FROM a JOIN lv USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)),
+s AS (SELECT *, CASE WHEN problems <> '' THEN 'invalid' WHEN n_results = 0 THEN 'unanswered' ELSE 'linked' END AS status FROM x)
+SELECT conv_id, turn, call_id, level, n_results, status, problems, '{"arguments":' || args || ',"call_id":"' || call_id || '","conv_id":' || conv_id
+  || ',"level":' || level || ',"name":"' || name || '","result":' || CASE WHEN status = 'linked' THEN CAST(to_json(content) AS VARCHAR) ELSE 'null' END
+  || ',"status":"' || status || '"}' AS json FROM s""")
+def op7(table) -> DataFrame:
+    """Every tool call of the conversations, linked, ordered, validated and
+    written as canonical JSON."""
+    return chat.link_calls(*tool_turns(table("conversations")), CHAT_TOOLS)
