@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality, simhash
+from strata.llm import decontam, mixing, quality, simhash, tokenids
 from strata.llm.common import materialize, prepare
+from strata.llm.queries import MIX_BLOCK, MIX_OTHER, MIX_SHARES, token_digest, tokenizer_file
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,14 +21,44 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays: the smallest id."""
     prepare(spark)
     return simhash.keep_one(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", simhash_near_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    prepare(spark)
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontam.drop_contaminated(docs, items)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mix: the written files follow one
+    another by slot. The order is a function of the documents, so the next
+    stage gets the same one."""
+    prepare(spark)
+    return mixing.mixed(docs, MIX_SHARES, MIX_OTHER, MIX_BLOCK)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in mix order, read back through the key index: doc_id,
+    start, n_tokens, ids_crc32."""
+    prepare(spark)
+    ranked = mixing.mix_order(docs, MIX_SHARES, MIX_OTHER, MIX_BLOCK)
+    store = tokenids.write(ranked, tokenizer_file("word_bpe_49k.json"), order_by=mixing.ORDER)
+    return token_digest(store, docs.select("doc_id"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("mix_sources", mix_sources),
+    ("token_ids", token_ids),
+]
 
-# SQL has no XXH64 and no tokenizer: tested against brute force instead.
+# SQL has neither XXH64 nor a tokenizer: tested against brute force instead.
 ORACLE_SQL = None
 
 

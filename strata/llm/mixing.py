@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import cut
 
 MAX_PERIOD = 100_000
+ORDER = ["__mix_slot", "__mix_before"]
 
 
 def period_schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
@@ -122,6 +123,6 @@ def mixed(docs: DataFrame, shares: dict[str, int], other_share: int, block_size:
     """All rows and columns of ``docs``, range-partitioned and sorted in mix
     order, so the written files follow one another in that order."""
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["__mix_slot", "__mix_before", id_col]
+    order = [*ORDER, id_col]
     ranked = mix_order(docs, shares, other_share, block_size, id_col, source_col, text_col)
-    return ranked.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).drop("__mix_slot", "__mix_before")
+    return ranked.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).drop(*ORDER)
