@@ -1,10 +1,10 @@
 """SimHash near-duplicates by covering locality-sensitive hashing.
 
-For radius r every bit position gets a vector of r + 1 bits; table v (any
-non-zero vector) keeps the positions whose vector is orthogonal to v. Up to r
-differing positions span at most r dimensions, so some v is orthogonal to all
-of them: every pair within the radius agrees on the kept bits of at least one
-of the 2^(r+1) - 1 tables. Nothing is missed.
+For radius r every bit position gets a non-zero vector of r + 1 bits; table v
+(any non-zero vector) keeps the positions whose vector is not orthogonal to v.
+Up to r differing positions span at most r dimensions, so some v is orthogonal
+to all of them and drops them: every pair within the radius agrees on the kept
+bits of at least one of the 2^(r+1) - 1 tables. Nothing is missed.
 
 Buckets work on *different* fingerprints only (exact copies collapse first).
 A bucket of more than ``pair_limit`` fingerprints emits no pairs: its members
@@ -70,11 +70,11 @@ def covering_masks(radius: int, seed: int = 7) -> list[int]:
     """The 2^(radius+1) - 1 bit masks, as signed 64-bit integers. Vectors are
     dealt evenly to the positions in a seeded shuffle."""
     size = 1 << (radius + 1)
-    vectors = np.arange(BITS) % size
+    vectors = 1 + np.arange(BITS) % (size - 1)
     np.random.default_rng(seed).shuffle(vectors)
     out = []
     for v in range(1, size):
-        mask = sum(1 << i for i, m in enumerate(vectors) if bin(int(m) & v).count("1") % 2 == 0)
+        mask = sum(1 << i for i, m in enumerate(vectors) if bin(int(m) & v).count("1") % 2)
         out.append(mask - (1 << BITS) if mask >> (BITS - 1) else mask)
     return out
 
