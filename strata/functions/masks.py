@@ -32,18 +32,18 @@ def mask_phone(c, privileged=False) -> Column:
 def mask_null(c, privileged=False) -> Column:
     """NULL for the unprivileged."""
     c = as_col(c)
-    return _guard(c, F.lit(None).cast("string"), privileged)
+    return _guard(c, F.when(F.lit(False), c), privileged)  # NULL of the column's own type
 
 
 def mask_hash(c, privileged=False) -> Column:
     """SHA-256 hex (joins still work on the hashed value)."""
-    c = as_col(c)
-    return _guard(c, F.sha2(c.cast("string"), 256), privileged)
+    c = as_col(c).cast("string")  # text for the privileged too: one type
+    return _guard(c, F.sha2(c, 256), privileged)
 
 
 def mask_text(c, privileged=False, token: str = "***") -> Column:
-    """A fixed token for non-NULL values."""
-    c = as_col(c)
+    """A fixed token for non-NULL values (text, also for the privileged)."""
+    c = as_col(c).cast("string")
     return _guard(c, F.when(c.isNotNull(), F.lit(token)), privileged)
 
 

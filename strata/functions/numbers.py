@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from strata.functions._col import as_col, as_lit
 
-# A number written with a decimal comma and no thousands separator:
-# "1234,56", "-5,5". Matched before commas are stripped, otherwise
-# "1234,56" would become 123456.
+# Shapes of an amount once the currency sign and white space are gone. A comma
+# before one or two last digits is a decimal comma; commas before groups of
+# three are thousands separators. Anything else is ambiguous: NULL.
 DECIMAL_COMMA = r"^-?\d+,\d{1,2}$"
+PLAIN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+GROUPED = r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"
 
 
 def parse_money(c) -> Column:
     """B2: ``"$1,234.50"``, ``"  1200.0 "``, ``"1234,56"``, ``"$-50.00"`` -> double.
 
-    Unparseable text (``"abc"``, empty) gives NULL, never an error.
+    ``"$1234,56"`` is 1234.56. Unparseable or ambiguous text (``"abc"``, empty,
+    ``"1.234,56"``) gives NULL, never an error.
     """
-    s = F.trim(as_col(c).cast("string"))
+    s = F.regexp_replace(as_col(c).cast("string"), r"[$\s]", "")
     cleaned = (
-        F.when(s.rlike(DECIMAL_COMMA), F.regexp_replace(s, ",", "."))
-        .otherwise(F.regexp_replace(s, r"[$,\s]", ""))
+        F.when(s.rlike(PLAIN), s)
+        .when(s.rlike(DECIMAL_COMMA), F.replace(s, F.lit(","), F.lit(".")))
+        .when(s.rlike(GROUPED), F.replace(s, F.lit(","), F.lit("")))
     )
     return cleaned.try_cast("double")
 
@@ -48,22 +52,17 @@ def within_parent_limit(child, parent) -> Column:
     return as_col(child) <= as_col(parent)
 
 
-def scaled_units(c, scale: int = 2) -> Column:
-    """A decimal amount with ``scale`` digits as an exact integer count of
-    units (cents for scale 2). Summing these is exact and independent of
-    partitioning and task order, unlike a sum of doubles."""
-    return F.round(as_col(c) * (10 ** scale)).cast("bigint")
+def exact_sum(c, scale: int = 6) -> Column:
+    """Order-independent sum, as the nearest double to the exact total.
 
-
-def exact_sum(c, scale: int = 2) -> Column:
-    """Order-independent sum of an amount with at most ``scale`` decimals.
-
-    Partial sums are 64-bit integers (map-side combine stays cheap); the
-    result is the nearest double to the exact total.
+    Values are added as ``decimal(38, scale)``: a column of that type or of a
+    smaller scale is added as it is, a double without a declared scale keeps
+    ``scale`` decimals. Totals stay exact up to 38 digits (no 64-bit count of
+    units that could overflow), and do not depend on partitioning.
     """
-    return F.sum(scaled_units(c, scale)).cast("double") / F.lit(float(10 ** scale))
+    return F.sum(as_col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 
-def exact_avg(c, scale: int = 2) -> Column:
+def exact_avg(c, scale: int = 6) -> Column:
     """Exact sum / count of non-NULL values."""
     return F.try_divide(exact_sum(c, scale), F.count(as_col(c)).cast("double"))

@@ -14,11 +14,11 @@ from strata.functions.numbers import exact_sum, safe_ratio
 from strata.operators._util import as_list
 
 
-def basic_stats(df: DataFrame, by, measure: str, scale: int | None = 2) -> DataFrame:
+def basic_stats(df: DataFrame, by, measure: str, scale: int | None = 6) -> DataFrame:
     """count(*), count(measure), sum, avg, min, max per group.
 
-    With ``scale`` set, sum and avg are exact (integer units), hence
-    identical on any partitioning.
+    With ``scale`` set, sum and avg are exact (decimals), hence identical on
+    any partitioning.
     """
     m = F.col(measure)
     total = exact_sum(measure, scale) if scale is not None else F.sum(m)
@@ -93,11 +93,11 @@ def weighted_score(df: DataFrame, by, flags: dict[str, float], distance: str, pe
     )
 
 
-def profile(df: DataFrame, cols, scale: int = 2, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+def profile(df: DataFrame, cols, scale: int = 6, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """E5: long-format profile: one row per (column, statistic).
 
     count / mean / stddev / min / max come from one aggregate pass (mean
-    from an exact sum of ``scale``-decimal amounts, stddev rounded to 6
+    from an exact decimal sum, stddev rounded to 6
     decimals so it does not depend on summation order);
     quartiles are exact (interpolated) and come from one distributed sort
     of all profiled columns in long form, never from one task holding all

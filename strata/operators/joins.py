@@ -3,7 +3,7 @@
 Skew: every equi join relies on AQE's skew-join split
 (``spark.sql.adaptive.skewJoin.enabled``); :func:`salted_join` spreads a hot
 key explicitly. Lookups are broadcast only when their size is proven
-(:func:`broadcast_if_bounded`) or fixed by construction.
+(:func:`broadcast_dim`) or fixed by construction.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators._util import as_list, broadcast_if_bounded, key_pairs
+from strata.operators._util import as_list, broadcast_dim, key_pairs
 
 
 def _on(left: DataFrame, right: DataFrame, key) -> tuple[Column | list, bool]:
@@ -30,17 +30,15 @@ def join_inner(child: DataFrame, parent: DataFrame, key) -> DataFrame:
     return child.join(parent, on, "inner")
 
 
-def lookup(df: DataFrame, ref: DataFrame, on, max_rows: int | None = 1_000_000, bounded: bool = False) -> DataFrame:
+def lookup(df: DataFrame, ref: DataFrame, on, bounded: bool = False) -> DataFrame:
     """Left join to a lookup; unmatched rows are kept (for quarantine).
 
     ``bounded=True`` declares the lookup fixed-size (e.g. a 25-row nation
-    list) and broadcasts it; otherwise it is broadcast only after a bounded
-    size probe.
+    list) and broadcasts it; otherwise statistics and AQE's measured sizes
+    choose, with no extra job.
     """
     if bounded:
-        ref = F.broadcast(ref)
-    elif max_rows is not None:
-        ref = broadcast_if_bounded(ref, max_rows)
+        ref = broadcast_dim(ref)
     cond, _ = _on(df, ref, on)
     return df.join(ref, cond, "left")
 
@@ -123,9 +121,14 @@ def salted_join(big: DataFrame, small: DataFrame, key, n: int = 16, how: str = "
     """Equi join with each key spread over ``n`` tasks.
 
     The big side gets a salt from a hash of its own columns (repeatable on a
-    task retry, unlike ``rand()``); the small side is replicated once per
-    salt value with ``explode(sequence)``. Same rows as the plain join.
+    task retry, unlike ``rand()``; identical rows share one); the small side
+    is replicated once per salt value with ``explode(sequence)``. Same rows as
+    the plain join, for inner, left, semi and anti joins; right and full
+    joins would repeat the unmatched rows of the replicated side and are
+    rejected.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"):
+        raise ValueError(f"salted_join replicates the right side: a {how} join would repeat its unmatched rows")
     keys = as_list(key)
     salt_src = [F.col(c) for c in (row_id or big.columns)]
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), F.lit(n)).cast("int"))
@@ -174,7 +177,7 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
     ver_type = v.schema["_ver"].dataType
     f = facts.withColumn("_t", F.col(ts).cast("timestamp")).withColumn("_kind", F.lit(1)) \
         .withColumn("_ver", F.lit(None).cast(ver_type))
-    from strata.operators.sequence import split_pieces
+    from strata.operators.sequence import _with_piece, split_pieces
 
     stacked = split_pieces(f.unionByName(v, allowMissingColumns=True), keys, ["_t", "_kind"], bucket, split)
     w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_kind", F.col("_ver.vf").asc_nulls_first())
@@ -184,7 +187,7 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
     summary = stacked.groupBy(*keys, "_b").agg(F.max_by("_ver", F.when(F.col("_kind") == 0, F.col("_t"))).alias("_bl"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*keys, "_b", F.last("_bl", ignorenulls=True).over(wb).alias("_carry"))
-    res = inner.join(summary, keys + ["_b"], "left").withColumn("_cur", F.coalesce("_in", "_carry"))
+    res = _with_piece(inner, summary, keys).withColumn("_cur", F.coalesce("_in", "_carry"))
     in_force = F.col("_cur.vf").isNotNull() & (F.col("_cur.vt").isNull() | (F.col("_t") < F.col("_cur.vt")))
     return res.select(
         *facts.columns,

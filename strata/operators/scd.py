@@ -49,7 +49,8 @@ def scd2_apply(dim: DataFrame, src: DataFrame, key, tracked, ts: str, tie_break=
     * a changed key whose batch row is newer than its current version closes
       it (``effective_to`` = batch time) and opens a new version;
     * unchanged keys, and stale rows (batch time <= current
-      ``effective_from``), leave the current version as it is.
+      ``effective_from``, or no time), leave the current version as it is; a
+      version that began at an unknown (NULL) time is older than any batch.
 
     Current rows and the batch's newest rows meet in one full outer join on
     the key; each joined pair emits one or two rows. Replaying a batch is a
@@ -76,7 +77,8 @@ def scd2_apply(dim: DataFrame, src: DataFrame, key, tracked, ts: str, tie_break=
     keep_cur = version("_c", F.col("_c.effective_from"), F.col("_c.effective_to"), True)
     close_cur = version("_c", F.col("_c.effective_from"), F.col("_s._ts"), False)
     open_new = version("_s", F.col("_s._ts"), F.lit(None), True)
-    changed = (F.col("_c._hash") != F.col("_s._hash")) & (F.col("_s._ts") > F.col("_c.effective_from"))
+    newer = F.coalesce(F.col("_s._ts") > F.col("_c.effective_from"), F.col("_s._ts").isNotNull())  # NULL start: oldest
+    changed = (F.col("_c._hash") != F.col("_s._hash")) & newer
     rows = (
         F.when(F.col("_c").isNull(), F.array(open_new))
         .when(F.col("_s").isNull(), F.array(keep_cur))
@@ -99,26 +101,28 @@ def scd2_stale(dim: DataFrame, src: DataFrame, key, tracked, ts: str, tie_break=
     ).drop("_cur_from", "_cur_hash")
 
 
-def scd2_history(changes: DataFrame, key, tracked, ts: str, tie_break=None, unit: str = "day") -> DataFrame:
+def scd2_history(changes: DataFrame, key, tracked, ts: str, tie_break=None, unit: str = "day", split: str = "bucket") -> DataFrame:
     """Full version history from *all* change rows, not only the newest
     per batch: rows equal to the previous row of their key are dropped, and
     each kept row is closed by the next kept row's time.
 
     Ordered per (key, time bucket) with a bucket-border carry (see
-    ``operators.sequence``), so one busy key is spread over many tasks.
+    ``operators.sequence``; ``split="range"`` for bursts), so one busy key is
+    spread over many tasks. Changes without a time come first; a key's last
+    kept row is its current version.
     """
     keys, tracked = as_list(key), as_list(tracked)
     order = [ts] + as_list(tie_break)
-    base = changes.select(*keys, *tracked, *[c for c in order]).withColumn("_hash", row_hash(tracked))
-    with_prev = neighbors(base, keys, order, ["_hash"], unit)
+    base = changes.select(*dict.fromkeys(keys + tracked + order)).withColumn("_hash", row_hash(tracked))
+    with_prev = neighbors(base, keys, order, ["_hash"], unit, split=split)
     kept = with_prev.where(F.col("prev__hash").isNull() | (F.col("prev__hash") != F.col("_hash"))).drop(
         "prev__hash", "next__hash")
-    with_next = neighbors(kept, keys, order, [ts], unit, prefix_next="_nx_")
+    with_next = neighbors(kept.withColumn("_any", F.lit(True)), keys, order, [ts, "_any"], unit, prefix_next="_nx_", split=split)
     return with_next.select(
         *keys, *tracked, "_hash",
         F.col(ts).alias("effective_from"),
         F.col(f"_nx_{ts}").alias("effective_to"),
-        F.col(f"_nx_{ts}").isNull().alias("is_current"),
+        F.col("_nx__any").isNull().alias("is_current"),
     )
 
 
@@ -154,29 +158,74 @@ class ChangeSpec:
     scd_type: int = 1
     delete_when: object = None  # Column: the change row is a delete
     tracked: list | None = None
+    tie_break: list | None = None  # order of changes with equal sequence_by
 
 
-def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec) -> DataFrame:
+TOMBSTONE = "_deleted"
+
+
+def visible(table: DataFrame) -> DataFrame:
+    """A type 1 table kept with tombstones, without them."""
+    return table.where(~F.col(TOMBSTONE)).drop(TOMBSTONE) if TOMBSTONE in table.columns else table
+
+
+def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec, keep_tombstones: bool = False) -> DataFrame:
     """A CDC feed folded into a type 1 or type 2 table (batch form; a
     stream calls it from ``foreachBatch``).
 
-    Type 1: newest change per key wins; a delete removes the key.
-    Type 2: every change opens a version; a delete closes the key's
-    current version and opens none.
+    Type 1: newest change per key wins; a delete removes the key. With
+    ``keep_tombstones`` the deleted keys stay as rows flagged ``_deleted``
+    (see :func:`visible`): store that form when older changes may arrive in a
+    later batch, so that they cannot bring a deleted key back.
+
+    Type 2: every change opens a version; a delete closes the key's current
+    version and opens none. The versions of ``target`` are extended: keys
+    without a change pass through; of the others the change times are read
+    back from the versions (a version's start, and its end where none follows)
+    and the new changes are put in their place, also those that are older
+    than the current version. (A repeat of a value that was dropped when it
+    arrived is not known any more to a change that comes in before it.)
+
+    Changes with equal ``sequence_by`` are ordered by ``tie_break``, then by a
+    hash of the row, so the result does not depend on task order.
     """
     keys = as_list(spec.keys)
-    delete = spec.delete_when if spec.delete_when is not None else F.lit(False)
+    seq = spec.sequence_by
+    delete = F.coalesce(spec.delete_when, F.lit(False)) if spec.delete_when is not None else F.lit(False)
     ch = changes.withColumn("_is_delete", delete)
+    rest = as_list(spec.tie_break)
     if spec.scd_type == 1:
-        cols = [c for c in ch.columns if c != "_is_delete"]
-        latest = latest_per_key(ch, keys, [spec.sequence_by])
+        cols = changes.columns
+        ch = ch.withColumn("_side", F.lit(1))
         if target is not None:
-            t = target.select(*cols).withColumn("_is_delete", F.lit(False))
-            latest = latest_per_key(t.withColumn("_side", F.lit(0)).unionByName(
-                latest.withColumn("_side", F.lit(1))), keys, [spec.sequence_by], ["_side"]).drop("_side")
-        return latest.where(~F.col("_is_delete")).drop("_is_delete")
-    tracked = as_list(spec.tracked) or [c for c in changes.columns if c not in keys + [spec.sequence_by]]
-    # a delete is a change to the "deleted" state; its version is dropped after
-    hist = scd2_history(ch.withColumn("_deleted", F.col("_is_delete")), keys, tracked + ["_deleted"],
-                        spec.sequence_by)
-    return hist.where(~F.col("_deleted")).drop("_deleted")
+            was = F.col(TOMBSTONE) if TOMBSTONE in target.columns else F.lit(False)
+            ch = target.select(*cols, was.alias("_is_delete"), F.lit(0).alias("_side")).unionByName(ch)
+        ch = ch.withColumn("_h", F.xxhash64(*[F.col(c).cast("string") for c in cols]))
+        latest = latest_per_key(ch, keys, [seq], rest + ["_side", "_h"]).select(*cols, F.col("_is_delete").alias(TOMBSTONE))
+        return latest if keep_tombstones else visible(latest)
+    tracked = as_list(spec.tracked) or [c for c in changes.columns if c not in keys + [seq] + rest]
+    ties = ["_side", *rest, "_h"]
+    new = ch.select(*keys, *tracked, seq, F.col("_is_delete").alias(TOMBSTONE), F.lit(1).alias("_side"), *[c for c in rest if c not in tracked],
+                    F.xxhash64(*[F.col(c).cast("string") for c in tracked]).alias("_h"))
+    if target is None:
+        return _versions(new, keys, tracked, seq, ties)
+    ids = changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    touched = target.join(ids, on, "left_semi")
+    # a version that no other one follows at its end was closed by a delete
+    ends = neighbors(touched.select(*keys, "effective_from", "effective_to"), keys, ["effective_from"], ["effective_from"])
+    ends = ends.where(F.col("effective_to").isNotNull() & ~F.col("next_effective_from").eqNullSafe(F.col("effective_to")))
+    old = touched.select(*keys, *tracked, F.col("effective_from").alias(seq), F.lit(False).alias(TOMBSTONE)).unionByName(
+        ends.select(*keys, F.col("effective_to").alias(seq), F.lit(True).alias(TOMBSTONE)), allowMissingColumns=True)
+    old = old.withColumn("_side", F.lit(0)).withColumn("_h", F.lit(0).cast("long"))
+    out = _versions(old.unionByName(new, allowMissingColumns=True), keys, tracked, seq, ties)
+    return target.join(ids, on, "left_anti").select(*out.columns).unionByName(out)
+
+
+def _versions(changes: DataFrame, keys, tracked, seq: str, ties) -> DataFrame:
+    """Type 2 versions of a change feed: a delete is a change to the
+    "deleted" state, whose version is dropped afterwards."""
+    hist = scd2_history(changes, keys, tracked + [TOMBSTONE], seq, ties)
+    return hist.where(~F.col(TOMBSTONE)).drop(TOMBSTONE)

@@ -13,8 +13,8 @@ task. These operators split each key further into ordered pieces ``_b``:
   one materialised copy).
 
 Rows are ordered inside (key, piece) and a small per-(key, piece) summary
-(one row per occupied piece) carries values across piece borders, so a key
-holding a third of all rows is processed by many tasks. Results do not
+(one or two rows per occupied piece) carries values across piece borders, so a
+key holding a third of all rows is processed by many tasks. Results do not
 depend on the split or the unit.
 """
 
@@ -46,42 +46,55 @@ def split_pieces(df: DataFrame, keys, order, unit: str = "day", split: str = "bu
     return cut_lineage(ranged.withColumn(name, F.spark_partition_id()))
 
 
+def _with_piece(inner: DataFrame, summary: DataFrame, keys) -> DataFrame:
+    """Left join of per-piece values on (keys, piece); NULL keys and NULL
+    times are values of their own, as they are in a window."""
+    cols = keys + ["_b"]
+    s = summary.select(*[F.col(c).alias(f"_s_{i}") for i, c in enumerate(cols)], *[c for c in summary.columns if c not in cols])
+    on = None
+    for i, c in enumerate(cols):
+        same = F.col(c).eqNullSafe(F.col(f"_s_{i}"))
+        on = same if on is None else on & same
+    return inner.join(s, on, "left").drop(*[f"_s_{i}" for i in range(len(cols))])
+
+
 def neighbors(df: DataFrame, keys, order, cols, unit: str = "day", prefix_prev: str = "prev_",
               prefix_next: str = "next_", split: str = "bucket") -> DataFrame:
     """Exact ``lag(c, 1)`` / ``lead(c, 1)`` per key in ``order`` for each
     column of ``cols`` (``order`` = [time column, tie-break columns...]).
+    NULL times come first; a NULL key is a key of its own.
 
-    Adds ``prev_<c>`` / ``next_<c>`` (NULL at the ends of a key).
+    Adds ``prev_<c>`` / ``next_<c>`` (NULL at the ends of a key). One window
+    per piece serves the rows inside it; the first and last rows of the
+    pieces (two a piece) meet in a second window. Both branches read the same
+    shuffle, so the input is evaluated once.
     """
     keys, order, cols = as_list(keys), as_list(order), as_list(cols)
     b = split_pieces(df, keys, order, unit, split)
-    ordkey = F.struct(*[F.col(o) for o in order])
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    w = Window.partitionBy(*keys, "_b").orderBy(*[F.col(o) for o in order])
+    by_order = [F.col(o) for o in order]
+    w = Window.partitionBy(*keys, "_b").orderBy(*by_order)
     inner = (
-        b.withColumn("_prev_in", F.lag(payload, 1).over(w))
-        .withColumn("_next_in", F.lead(payload, 1).over(w))
+        b.withColumn("_prev", F.lag(payload, 1).over(w))
+        .withColumn("_next", F.lead(payload, 1).over(w))
         .withColumn("_first", F.lag(F.lit(1), 1).over(w).isNull())
         .withColumn("_last", F.lead(F.lit(1), 1).over(w).isNull())
     )
-    summary = b.groupBy(*keys, "_b").agg(
-        F.min_by(payload, ordkey).alias("_head"),
-        F.max_by(payload, ordkey).alias("_tail"),
-    )
-    wb = Window.partitionBy(*keys).orderBy("_b")
-    summary = summary.select(
-        *keys, "_b",
-        F.lag("_tail", 1).over(wb).alias("_prev_b"),
-        F.lead("_head", 1).over(wb).alias("_next_b"),
+    inside = inner.where(~F.col("_first") & ~F.col("_last"))
+    # of two border rows that follow one another the outer values are needed
+    wk = Window.partitionBy(*keys).orderBy("_b", *by_order, F.col("_last"))
+    border = (
+        inner.where(F.col("_first") | F.col("_last"))
+        .withColumn("_before", F.lag(payload, 1).over(wk))
+        .withColumn("_after", F.lead(payload, 1).over(wk))
+        .withColumn("_prev", F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_prev")))
+        .withColumn("_next", F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_next")))
+        .drop("_before", "_after")
     )
-    out = inner.join(summary, keys + ["_b"], "left")
-    prev = F.when(F.col("_first"), F.col("_prev_b")).otherwise(F.col("_prev_in"))
-    nxt = F.when(F.col("_last"), F.col("_next_b")).otherwise(F.col("_next_in"))
-    out = out.withColumn("_p", prev).withColumn("_n", nxt)
-    return out.select(
+    return inside.unionByName(border).select(
         *df.columns,
-        *[F.col(f"_p.{c}").alias(prefix_prev + c) for c in cols],
-        *[F.col(f"_n.{c}").alias(prefix_next + c) for c in cols],
+        *[F.col(f"_prev.{c}").alias(prefix_prev + c) for c in cols],
+        *[F.col(f"_next.{c}").alias(prefix_next + c) for c in cols],
     )
 
 
@@ -101,7 +114,7 @@ def next_value_at_or_after(asks: DataFrame, values: DataFrame, keys, t: str, out
     summary = stacked.groupBy(*keys, "_b").agg(F.min("_v").alias("_bmin"))
     later = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*keys, "_b", F.min("_bmin").over(later).alias("_later"))
-    res = inner.join(summary, keys + ["_b"], "left")
+    res = _with_piece(inner, summary, keys)
     return res.select(*asks.columns, F.coalesce("_in", "_later").alias(out))
 
 
@@ -116,7 +129,7 @@ def running_max_before(df: DataFrame, keys, order, value: str, out: str, unit: s
     summary = b.groupBy(*keys, "_b").agg(F.max(value).alias("_bmax"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*keys, "_b", F.max("_bmax").over(before).alias("_earlier"))
-    res = inner.join(summary, keys + ["_b"], "left")
+    res = _with_piece(inner, summary, keys)
     return res.select(*df.columns, F.greatest("_in", "_earlier").alias(out))
 
 
@@ -132,7 +145,7 @@ def running_count(df: DataFrame, keys, order, flag: str, out: str, unit: str = "
     totals = b.groupBy(*keys, "_b").agg(F.sum(F.col(flag).cast("long")).alias("_bt"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*keys, "_b", F.coalesce(F.sum("_bt").over(before), F.lit(0)).alias("_earlier"))
-    res = inner.join(totals, keys + ["_b"], "left")
+    res = _with_piece(inner, totals, keys)
     return res.select(*df.columns, (F.col("_in") + F.col("_earlier")).alias(out))
 
 

@@ -3,7 +3,7 @@
 Grain is stated per function. Facts are joined to dimensions fact-first;
 aggregates are computed per grain before any join between two facts, so no
 join fans a fact out (trap: joining history instead of current rows).
-Money totals use exact integer-unit sums, so results do not depend on
+Money totals use exact decimal sums, so results do not depend on
 partitioning or task order.
 """
 
@@ -183,15 +183,15 @@ def renewals(policies: DataFrame, grace_days: int = 30) -> DataFrame:
     policy of the same product line starting within ``grace_days`` of its
     expiration. Computed without pairing policies: each policy asks for the
     earliest start at or after ``expiration - grace``; starts and questions
-    are stacked and scanned per (customer, product line, year of the
-    question) with a carry-in of each year's first start."""
+    are stacked and scanned per (customer, product line, day of the
+    question) with a carry-in of each day's first start."""
     from strata.operators.sequence import next_value_at_or_after
 
     starts = policies.select("customer_id", "product_line", F.col("effective_date").alias("_t"))
     asks = policies.select("policy_id", "customer_id", "product_line",
                            F.date_sub("expiration_date", grace_days).alias("_t"),
                            F.date_add("expiration_date", grace_days).alias("_until"))
-    nxt = next_value_at_or_after(asks, starts, ["customer_id", "product_line"], "_t", "_next_start")
+    nxt = next_value_at_or_after(asks, starts, ["customer_id", "product_line"], "_t", "_next_start", unit="day")
     return nxt.select("policy_id", (F.col("_next_start").isNotNull() & (F.col("_next_start") <= F.col("_until"))).alias("renewed"))
 
 
@@ -260,7 +260,7 @@ def billing_leakage(fpay: DataFrame, by=("month_key",)) -> DataFrame:
     """Written (sum due), collected (sum paid), overdue exposure."""
     return fpay.groupBy(*by).agg(
         exact_sum("amount_due").alias("written"),
-        exact_sum(F.coalesce("amount_paid", F.lit(0.0)), scale=4).alias("collected"),
+        exact_sum(F.coalesce("amount_paid", F.lit(0.0))).alias("collected"),
         exact_sum(F.when(F.col("is_overdue"), F.col("amount_due")).otherwise(F.lit(0.0))).alias("overdue_exposure"),
         F.count_if("is_overdue").alias("overdue_installments"),
         F.count(F.lit(1)).alias("installments"),

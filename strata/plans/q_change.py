@@ -22,7 +22,7 @@ def _latest(where: str, name: str) -> str:
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e WHERE {where}) WHERE rn = 1)"""
 
 
-SEED_SQL = f"WITH {E}, {_latest(f'ts < TIMESTAMP {CUT!r}', 'd')}\n" + \
+SEED_SQL = f"WITH {E}, {_latest('true', 'd')}\n" + \
     "SELECT user_id, event_type, _hash, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, true AS is_current FROM d"
 
 APPLY_SQL = f"WITH {E}, {_latest(f'ts < TIMESTAMP {CUT!r}', 'd')}, {_latest(f'ts >= TIMESTAMP {CUT!r}', 's')}," + """
@@ -63,8 +63,8 @@ def _apply(t, dim):
 
 @query("scd2_seed", SEED_SQL)
 def scd2_seed(t):
-    """First load from the batch before the cut."""
-    return _seed(t)
+    """First load of the whole table."""
+    return S.scd2_seed(_events(t), "user_id", ["event_type"], "ts", tie_break=["event_id"])
 
 
 @query("scd2_apply", APPLY_SQL)
@@ -141,9 +141,8 @@ SELECT user_id, event_type, ts, event_id FROM (
 @query("apply_changes_scd1", CDC1_SQL)
 def apply_changes_scd1(t):
     """J8 type 1: newest change per key, deletes (``error`` rows) remove it."""
-    spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=1, delete_when=F.col("event_type") == "error")
-    e = t.events.select("user_id", "event_type", "ts", "event_id")
-    return S.apply_changes(None, e, spec)
+    spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=1, delete_when=F.col("event_type") == "error", tie_break=["event_id"])
+    return S.apply_changes(None, _events(t), spec)
 
 
 CDC2_SQL = """
@@ -160,9 +159,43 @@ SELECT user_id, event_type, _hash, effective_from, effective_to, effective_to IS
 def apply_changes_scd2(t):
     """J8 type 2: every change opens a version; a delete closes it."""
     spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=2, delete_when=F.col("event_type") == "error",
-                        tracked=["event_type"])
-    e = t.events.select("user_id", "event_type", "ts")
-    return S.apply_changes(None, e, spec)
+                        tracked=["event_type"], tie_break=["event_id"])
+    return S.apply_changes(None, _events(t), spec)
+
+
+@query("apply_changes_scd2_two_batches", CDC2_SQL)
+def apply_changes_scd2_two_batches(t):
+    """J8 type 2 on an existing target: the feed in two halves gives the
+    versions of the whole feed."""
+    spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=2, delete_when=F.col("event_type") == "error",
+                        tracked=["event_type"], tie_break=["event_id"])
+    first = S.apply_changes(None, _events(t, F.col("ts") < _cut()), spec)
+    return S.apply_changes(first, _events(t, F.col("ts") >= _cut()), spec)
+
+
+@query("apply_changes_scd1_late_update", CDC1_SQL)
+def apply_changes_scd1_late_update(t):
+    """J8 type 1: the newer half arrives first; tombstones keep the older
+    half from bringing deleted keys back."""
+    spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=1, delete_when=F.col("event_type") == "error", tie_break=["event_id"])
+    first = S.apply_changes(None, _events(t, F.col("ts") >= _cut()), spec, keep_tombstones=True)
+    return S.apply_changes(first, _events(t, F.col("ts") < _cut()), spec)
+
+
+@query("scd2_history_null_time", """
+WITH e AS (SELECT CASE WHEN user_id % 10 = 0 THEN NULL ELSE user_id END AS user_id, event_type, event_id,
+                  CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts, sha256(coalesce(event_type, '<null>')) AS _hash FROM events),
+c AS (SELECT *, lag(_hash) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id) AS ph FROM e),
+k AS (SELECT * FROM c WHERE ph IS NULL OR ph <> _hash)
+SELECT user_id, event_type, _hash, ts AS effective_from,
+       lead(ts) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id) AS effective_to,
+       lead(true) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id) IS NULL AS is_current FROM k""")
+def scd2_history_null_time(t):
+    """J6 with unknown times and unknown keys: they come first, or form a
+    key of their own; one current version a key."""
+    e = t.events.select(F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_id"), "event_type", "event_id",
+                        F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts"))
+    return S.scd2_history(e, "user_id", ["event_type"], "ts", tie_break=["event_id"])
 
 
 @query("scd2_customers", """

@@ -146,7 +146,7 @@ def fraud_monthly(t):
 
 BILLING_SQL = with_(PAYMENTS) + f"""
 SELECT month_key, {xsum('amount_due')} AS written,
-       {xsum('coalesce(amount_paid, 0.0)', 4)} AS collected,
+       {xsum('coalesce(amount_paid, 0.0)')} AS collected,
        {xsum('CASE WHEN is_overdue THEN amount_due ELSE 0.0 END')} AS overdue_exposure,
        count(*) FILTER (WHERE is_overdue) AS overdue_installments, count(*) AS installments
 FROM fpay GROUP BY month_key

@@ -140,7 +140,7 @@ def sliding_counts(t):
 @query("weekly_counts", """
 SELECT CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start,
        CAST(time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 7 DAY AS TIMESTAMP) AS window_end,
-       user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+       user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total
 FROM events GROUP BY ALL""")
 def weekly_counts(t):
     """Tumbling 7-day windows per user (aligned to 1970-01-01, as Spark's

@@ -20,16 +20,15 @@ from strata.plans.sql import AGENTS, DIM_CUSTOMER, STAR, PAYMENTS, ratio, with_,
 from strata.plans.star import Star
 
 
-def money(c, scale: int = 2):
-    """Exact re-aggregation of a mart measure with ``scale`` decimals.
-    Earned premium (cents / 12) uses scale 6: its micro-unit fraction is
-    0, 1/3 or 2/3, never a rounding tie."""
+def money(c, scale: int = 6):
+    """Exact re-aggregation of a mart measure. The micro-unit fraction of
+    earned premium (cents / 12) is 0, 1/3 or 2/3, never a rounding tie."""
     from strata.functions.numbers import exact_sum
 
     return exact_sum(c, scale)
 
 
-def rsum(expr: str, scale: int = 2) -> str:
+def rsum(expr: str, scale: int = 6) -> str:
     return xsum(expr, scale)
 
 
@@ -54,14 +53,14 @@ def _lr(t):
 
 
 def _reagg(df, by):
-    out = df.groupBy(*by).agg(money("incurred_losses").alias("losses"), money("earned_premium", 6).alias("earned"))
+    out = df.groupBy(*by).agg(money("incurred_losses").alias("losses"), money("earned_premium").alias("earned"))
     return out.withColumn("loss_ratio", safe_ratio("losses", "earned"))
 
 
 def _reagg_sql(by: str, where: str = "true") -> str:
     return LR_SQL + f"""
-SELECT {by}, {rsum('incurred_losses')} AS losses, {rsum('earned_premium', 6)} AS earned,
-       {ratio(rsum('incurred_losses'), rsum('earned_premium', 6))} AS loss_ratio
+SELECT {by}, {rsum('incurred_losses')} AS losses, {rsum('earned_premium')} AS earned,
+       {ratio(rsum('incurred_losses'), rsum('earned_premium'))} AS loss_ratio
 FROM lr WHERE {where} GROUP BY {by}"""
 
 
@@ -90,21 +89,21 @@ def tile_filtered(t):
 
 
 BL = f"""
-bl AS (SELECT month_key, {xsum('amount_due')} AS written, {xsum('coalesce(amount_paid, 0.0)', 4)} AS collected,
+bl AS (SELECT month_key, {xsum('amount_due')} AS written, {xsum('coalesce(amount_paid, 0.0)')} AS collected,
               {xsum('CASE WHEN is_overdue THEN amount_due ELSE 0.0 END')} AS overdue_exposure,
               count(*) FILTER (WHERE is_overdue) AS overdue_installments, count(*) AS installments
        FROM fpay GROUP BY month_key)"""
 
 
 @query("tile_written_vs_collected", with_(PAYMENTS, BL) + f"""
-SELECT CAST(month_key / 100 AS INTEGER) AS year, {rsum('written')} AS written, {rsum('collected', 4)} AS collected,
-       {ratio(rsum('collected', 4), rsum('written'))} AS collection_rate
+SELECT CAST(month_key / 100 AS INTEGER) AS year, {rsum('written')} AS written, {rsum('collected')} AS collected,
+       {ratio(rsum('collected'), rsum('written'))} AS collection_rate
 FROM bl GROUP BY CAST(month_key / 100 AS INTEGER)""")
 def tile_written_vs_collected(t):
     """Premium written vs collected per year."""
     bl = marts.billing_leakage(Star(t).fact_payments)
     out = bl.groupBy((F.col("month_key") / 100).cast("int").alias("year")).agg(
-        money("written").alias("written"), money("collected", 4).alias("collected"))
+        money("written").alias("written"), money("collected").alias("collected"))
     return out.withColumn("collection_rate", safe_ratio("collected", "written"))
 
 
@@ -201,14 +200,14 @@ def tile_agent_loss_vs_retention(t):
 
 
 @query("tile_performance_by_region", AP_SQL + f"""
-SELECT region, CAST(sum(policies_sold) AS BIGINT) AS policies_sold, {rsum('losses')} AS losses, {rsum('earned_premium', 6)} AS earned,
-       {ratio(rsum('losses'), rsum('earned_premium', 6))} AS loss_ratio
+SELECT region, CAST(sum(policies_sold) AS BIGINT) AS policies_sold, {rsum('losses')} AS losses, {rsum('earned_premium')} AS earned,
+       {ratio(rsum('losses'), rsum('earned_premium'))} AS loss_ratio
 FROM ap GROUP BY region""")
 def tile_performance_by_region(t):
     """Agent performance by region."""
     ap = _ap(t)
     out = ap.groupBy("region").agg(F.sum("policies_sold").alias("policies_sold"), money("losses").alias("losses"),
-                                   money("earned_premium", 6).alias("earned"))
+                                   money("earned_premium").alias("earned"))
     return out.withColumn("loss_ratio", safe_ratio("losses", "earned"))
 
 

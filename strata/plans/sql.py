@@ -2,10 +2,9 @@
 written independently in SQL)."""
 
 
-def xsum(expr: str, scale: int = 2) -> str:
-    """Exact sum of an amount with ``scale`` decimals, as a double."""
-    f = 10 ** scale
-    return f"(CAST(sum(CAST(round(({expr}) * {f}) AS BIGINT)) AS DOUBLE) / {f}.0)"
+def xsum(expr: str, scale: int = 6) -> str:
+    """Exact sum of amounts, added as decimals, as a double."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
 
 def ratio(n: str, d: str) -> str:

@@ -72,13 +72,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; create a scratch one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir`` and that one
-    is always used. The scratch fallback exists for local tests.
+    is always used. The scratch fallback exists for local tests only: on a
+    cluster a machine-local folder would be seen by one machine.
     """
     existing = checkpoint_dir(spark)
     if existing:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(existing)
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch

@@ -3,34 +3,35 @@ micro-batch at a time (``foreachBatch``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.scd import ChangeSpec, apply_changes
+from strata.operators.scd import ChangeSpec, apply_changes, visible
 from strata.sources import sinks
 
 
 def apply_changes_stream(changes: DataFrame, table_root: str, checkpoint: str, spec: ChangeSpec):
     """Each micro-batch is applied to the table's current snapshot with
-    :func:`apply_changes` and written as the next snapshot (pointer swap).
-    A retried batch re-applies the same changes to the same snapshot: the
-    operators are idempotent for a replayed batch (type 1: newest wins;
-    type 2: history rebuilt from all changes), so the result is the same.
-
-    Type 2 keeps the full change history beside the table so versions can
-    be rebuilt from every change seen so far.
+    :func:`apply_changes` and written as the next snapshot (pointer swap);
+    only the keys of the batch are rebuilt. Type 1 snapshots keep tombstones,
+    so an older change in a later batch cannot bring a deleted key back; read
+    the table with :func:`read_table`.
+
+    A retried batch applies the same changes to a snapshot that may hold them
+    already, which changes nothing: type 1 takes the newest change, type 2
+    drops a change that repeats the state it would open.
     """
     spark = changes.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        if spec.scd_type == 1:
-            cur = sinks.read_snapshot(spark, table_root)
-            nxt = apply_changes(cur, batch, spec)
-        else:
-            log_root = table_root.rstrip("/") + "_changes"
-            batch.write.mode("append").parquet(log_root)
-            nxt = apply_changes(None, spark.read.parquet(log_root), spec)
+        nxt = apply_changes(sinks.read_snapshot(spark, table_root), batch, spec, keep_tombstones=True)
         sinks.write_snapshot(spark, nxt, table_root)
 
     q = changes.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()
     q.awaitTermination()
     return q
+
+
+def read_table(spark: SparkSession, table_root: str) -> DataFrame | None:
+    """The current rows of a table kept by :func:`apply_changes_stream`."""
+    cur = sinks.read_snapshot(spark, table_root)
+    return None if cur is None else visible(cur)

@@ -6,7 +6,9 @@ import random
 from pyspark.sql import functions as F
 
 from strata.operators import joins as J
-from strata.operators._util import broadcast_if_bounded
+import pytest
+
+from strata.operators._util import broadcast_dim
 
 
 def test_salted_equals_plain(spark):
@@ -45,12 +47,22 @@ def test_split_fk_and_orphans(spark):
     assert sorted(r.id for r in J.orphans(child, parent, ("fk", "pk")).collect()) == [2, 3]
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "ResolvedHint" in small.join(broadcast_if_bounded(small, 10), "id")._jdf.queryExecution().analyzed().toString() \
-        or "broadcast" in small.join(broadcast_if_bounded(small, 10), "id")._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_bounded(big, 10) is big
+def test_broadcast_hint_only_for_fixed_tables(spark):
+    small, big = spark.range(5), spark.range(100)
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(J.lookup(big, small, "id", bounded=True)) and not hinted(J.lookup(big, small, "id"))
+    assert hinted(big.join(broadcast_dim(small), "id"))
+
+
+def test_salted_join_types(spark):
+    big = spark.createDataFrame([(i % 3, i) for i in range(40)], "k int, v int")
+    small = spark.createDataFrame([(0, "a"), (7, "b")], "k int, n string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = J.salted_join(big, small, "k", 8, how)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, big.join(small, "k", how).collect()), key=repr)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            J.salted_join(big, small, "k", 8, how)
 
 
 def test_fan_out(spark):
