@@ -4,21 +4,64 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
     """A2: ``_source_file`` (from the hidden ``_metadata`` column of file
-    sources) and ``_ingest_ts`` on every row."""
-    return df.withColumn("_source_file", F.col("_metadata.file_path")).withColumn("_ingest_ts", F.current_timestamp())
+    sources, unless the reader gave it) and ``_ingest_ts`` on every row."""
+    if "_source_file" not in df.columns:
+        df = df.withColumn("_source_file", F.col("_metadata.file_path"))
+    return df.withColumn("_ingest_ts", F.current_timestamp())
 
 
 def read_csv_batch(spark: SparkSession, path: str, schema: StructType | str | None = None, **opts) -> DataFrame:
     """A1: CSV with a header. Without a schema types are inferred (one
-    extra pass: only for small static lookups); give a schema otherwise."""
-    r = spark.read.option("header", True).options(**opts)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    extra pass: only for small static lookups); with one, columns are matched
+    by header name and ``_source_file`` is added."""
+    if schema is not None:
+        return read_csv_by_header(spark, csv_files(spark, path), schema, **opts)
+    return spark.read.option("header", True).option("inferSchema", True).options(**opts).csv(path)
+
+
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder (or the file itself)."""
+    return [r.path for r in list_landing(spark, path).select("path").collect()]
+
+
+def as_struct(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
+def read_csv_by_header(spark: SparkSession, paths: list[str], schema: StructType | str, rescued: str | None = None, **opts) -> DataFrame:
+    """CSV files whose columns are told by their headers, not by position:
+    files are grouped by header line and each group is read in its own order.
+    Columns outside the schema come as strings; columns a file lacks are NULL.
+    ``rescued`` keeps the whole line of a malformed row."""
+    schema = as_struct(schema)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    first = (spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+             .where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "n").alias("header")))
+    groups: dict[str, list[str]] = {}
+    for r in first.collect():  # one line a file, of the files of this load
+        groups.setdefault(r.header, []).append(r.file_path)
+    known = {f.name.lower(): f for f in schema.fields}
+    out = None
+    for header, members in sorted(groups.items()):
+        parsed = spark.read.option("header", True).options(**opts).csv(spark.sparkContext.parallelize([header], 1)).columns
+        fields = [StructField(known[c.lower()].name, known[c.lower()].dataType, True) if c.lower() in known else StructField(c, StringType(), True)
+                  for c in parsed]
+        r = spark.read.option("header", True).options(**opts)
+        if rescued:
+            fields.append(StructField(rescued, StringType(), True))
+            r = r.option("columnNameOfCorruptRecord", rescued)
+        part = r.schema(StructType(fields)).csv(members)
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in part.columns]
+        extra = [c for c in part.columns if c not in schema.names]
+        part = part.select("*", *missing, F.col("_metadata.file_path").alias("_source_file")).select(*schema.names, *extra, "_source_file")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -8,15 +8,29 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.pointer import exists, file_system, read_text, replace_text
+from strata.sources.schema import SchemaChanged
+
 
 def write_table(df: DataFrame, path: str, mode: str = "append", overwrite_schema: bool = False,
                 merge_schema: bool = False, partition_by=None, max_records_per_file: int | None = None) -> None:
     """Append or overwrite a parquet table folder.
 
-    ``merge_schema`` only matters to readers (``mergeSchema`` on read);
-    parquet files each keep their own schema, so appending a wider frame is
-    allowed. ``overwrite_schema`` with mode overwrite replaces everything.
+    The columns of an existing table are kept: appending rows with new columns
+    needs ``merge_schema`` (then read with ``mergeSchema``), overwriting with
+    other columns or types needs ``overwrite_schema``. Rows that lack a column
+    of the table read it as NULL. A type conflict on append is refused (see
+    ``schema.conform_to``).
     """
+    if mode in ("append", "overwrite") and exists(df.sparkSession, path):
+        stored = {f.name: f.dataType for f in df.sparkSession.read.option("mergeSchema", True).parquet(path).schema.fields}
+        rows = {f.name: f.dataType for f in df.schema.fields}
+        conflicts = sorted(n for n in rows if n in stored and stored[n] != rows[n])
+        new = sorted(set(rows) - set(stored))
+        if mode == "append" and (conflicts or (new and not merge_schema)):
+            raise SchemaChanged(f"append to {path}: new columns {new}, other types {conflicts}")
+        if mode == "overwrite" and rows != stored and not overwrite_schema:
+            raise SchemaChanged(f"overwrite of {path}: new columns {new}, other types {conflicts}, gone {sorted(set(stored) - set(rows))}")
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -25,43 +39,11 @@ def write_table(df: DataFrame, path: str, mode: str = "append", overwrite_schema
     w.save(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
-    finally:
-        stream.close()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + f".{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
 def move_path(spark: SparkSession, src: str, dst: str) -> None:
     """Move a folder within one file system (a landing arrival); creates
     the parent of ``dst``."""
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
+    fs, s = file_system(spark, src)
+    _, d = file_system(spark, dst)
     fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise IOError(f"could not move {src} to {dst}")
@@ -69,8 +51,8 @@ def move_path(spark: SparkSession, src: str, dst: str) -> None:
 
 def current_snapshot(spark: SparkSession, table_root: str) -> str | None:
     """Path of the table's current snapshot, from its ``_CURRENT`` pointer."""
-    name = _read_text(spark, os.path.join(table_root, "_CURRENT"))
-    return os.path.join(table_root, name) if name else None
+    name = read_text(spark, os.path.join(table_root, "_CURRENT"))
+    return os.path.join(table_root, name.strip()) if name else None
 
 
 def read_snapshot(spark: SparkSession, table_root: str) -> DataFrame | None:
@@ -79,14 +61,16 @@ def read_snapshot(spark: SparkSession, table_root: str) -> DataFrame | None:
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, table_root: str) -> str:
-    """Write the next snapshot ``v=<n+1>`` beside the current one, then
-    swap the small ``_CURRENT`` pointer file. Readers of the old snapshot
-    (including ``df``'s own lineage) are never overwritten in place."""
-    cur = _read_text(spark, os.path.join(table_root, "_CURRENT"))
-    n = int(cur.split("=")[1]) + 1 if cur else 1
-    name = f"v={n}"
+    """Write the next snapshot ``v=<n+1>-<unique>`` beside the current one,
+    then swap the small ``_CURRENT`` pointer file in one atomic rename.
+    Readers of the old snapshot (including ``df``'s own lineage) are never
+    overwritten; a run that died before the swap leaves a folder nobody
+    names, and the next run writes its own."""
+    cur = read_text(spark, os.path.join(table_root, "_CURRENT"))
+    n = int(cur.split("=")[1].split("-")[0]) + 1 if cur else 1
+    name = f"v={n}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(os.path.join(table_root, name))
-    _write_text(spark, os.path.join(table_root, "_CURRENT"), name)
+    replace_text(spark, os.path.join(table_root, "_CURRENT"), name)
     return os.path.join(table_root, name)
 
 
