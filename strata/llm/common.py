@@ -14,6 +14,7 @@ from strata.session import configure, ensure_checkpoint_dir
 
 # Fixed values of the word definitions (see each operator's docstring).
 WHITESPACE = b" \t\n\x0b\x0c\r"
+SPACE_WORD = np.array([b not in WHITESPACE for b in range(256)])  # bytes of words between white space
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)  # A-Z only
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -72,12 +73,14 @@ def batch_words(texts: pa.Array, in_word: np.ndarray) -> tuple[np.ndarray, pa.Di
     bounds = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
     low = _LOWER[np.frombuffer(b"".join(memoryview(t.as_buffer()) for t in texts), np.uint8)]
     inside = in_word[low]
-    first = np.zeros(len(low) + 1, bool)  # a text begins here
-    first[bounds] = True
-    before = np.concatenate([[False], inside[:-1]]) if len(low) else inside
-    starts = np.flatnonzero(inside & (~before | first[:-1]))
+    # a word begins or ends where its neighbour is outside, or in another text
+    edge = np.zeros(len(low) + 1, bool)
+    edge[bounds] = True
+    edge[1:-1] |= inside[1:] != inside[:-1]
+    starts = np.flatnonzero(edge[:-1] & inside)
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(np.flatnonzero(edge[1:] & inside) + 1 - starts, out=offsets[1:])
     packed = low[inside]
-    offsets = np.concatenate([np.cumsum(inside, dtype=np.int64)[starts] - 1, [len(packed)]]).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
     return np.diff(np.searchsorted(starts, bounds)), words.dictionary_encode()
 

@@ -20,6 +20,8 @@ was never written is rejected by the fingerprint (1 in 2^32 passes).
 from __future__ import annotations
 
 import json
+import string
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,16 +32,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import shared_path, text_bytes
+from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, shared_path, text_bytes
 
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 20_000
-CACHE_WORDS = 400_000
+CACHE_PIECES = 300_000
+_PUNCTUATION = set(string.punctuation)
 
 # The pre-tokenizer this module can split by itself, and the
 # letters for which its own split is known to agree.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = regex.compile(r"[\x21-\x7eÀ-ɏ]+")
+_LAST = "ɏ"
+_PLAIN = regex.compile(rf"[\x21-\x7eÀ-{_LAST}]+")
 
 
 def _byte_letters() -> list[str]:
@@ -54,9 +58,10 @@ class Encoder:
     """Ids of whole texts with a ``tokenizers`` file.
 
     For files whose pre-tokenizer splits at white space and by ``_SPLIT``,
-    white space separates independent words, so each distinct word is encoded
-    once and remembered (at most ``CACHE_WORDS``; then the memory starts
-    anew). Other files encode whole texts. Results are the same.
+    white space separates independent words, so each distinct word of a batch
+    is encoded once, from pieces that are remembered (about ``CACHE_PIECES``;
+    then the memory starts anew). Other files encode whole texts. Results are
+    the same.
     """
 
     def __init__(self, path: str):
@@ -65,6 +70,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         spec = json.loads(self.tok.to_str())
         parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
         norms = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers") or []]
@@ -72,14 +78,13 @@ class Encoder:
             [p["type"] for p in parts] == ["Split", "ByteLevel"] and parts[0]["pattern"] == {"Regex": _SPLIT}
             and parts[0]["behavior"] == "Removed" and parts[0]["invert"] and not parts[1]["add_prefix_space"]
             and not parts[1]["use_regex"] and norms == ["NFC", "Replace", "Lowercase"] and not spec.get("post_processor"))
-        self.special = [t["content"].encode().lower() for t in spec["added_tokens"]]
+        self.special = [t["content"].lower() for t in spec["added_tokens"]]
         self.split = regex.compile(_SPLIT)
         self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _plain(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
@@ -88,31 +93,45 @@ class Encoder:
             found = self.pieces[piece] = self._plain([t.id for t in self.tok.model.tokenize(level)])
         return found
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if not _PLAIN.fullmatch(text):
-            return self._plain(self.tok.encode(text, add_special_tokens=False).ids)
-        low = text.lower() if text.isascii() else self.tok.normalizer.normalize_str(text)
-        return b"".join([self._piece(p) for p in self.split.findall(low)])
-
-    def encode(self, text: str | None) -> bytes:
-        """Raw little-endian ids, ``width`` bytes each; NULL is empty."""
-        raw = text_bytes(text)
-        low = raw.lower()
-        if not self.by_word or any(s in low for s in self.special):
-            return self._plain(self.tok.encode(raw.decode(), add_special_tokens=False).ids)
-        words = low.split()
-        memory = self.words
-        if len(memory) > CACHE_WORDS:
-            memory.clear()
+    def _word(self, text: str) -> bytes:
+        body, tail = (text, "") if text.isalpha() else (text[:-1], text[-1:])
+        if body.isalpha() and (not tail or tail in _PUNCTUATION) and (body.isascii() or max(body) <= _LAST):
+            low = body if body.isascii() else body.lower()
+            if len(low) == len(body):  # letters, at most one sign behind them
+                ids = self.pieces.get(low) or self._piece(low)
+                return ids + self._piece(tail) if tail else ids
+        if _PLAIN.fullmatch(text):
+            return b"".join([self._piece(p) for p in self.split.findall(text.lower())])
+        return self._plain(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """Raw little-endian ids of each text, ``width`` bytes an id; NULL is
+        empty."""
+        if not self.by_word:
+            return [self._plain(self.tok.encode(text_bytes(t.as_py()).decode(), add_special_tokens=False).ids) for t in texts]
+        per_text, words = batch_words(texts, SPACE_WORD)
+        if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
-        out = []
-        for w in words:
-            ids = memory.get(w)
-            if ids is None:
-                ids = memory[w] = self._word(w)
-            out.append(ids)
-        return b"".join(out)
+        distinct = words.dictionary.cast(pa.string()).to_numpy(zero_copy_only=False).tolist()
+        odd = [i for i, w in enumerate(distinct) if any(s in w for s in self.special)]
+        known = list(map(self._word, distinct))
+        n_of = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        first_of = np.cumsum(n_of) - n_of
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        word_ends = np.concatenate([[0], np.cumsum(per_text)])
+        found = []
+        for at, n_texts in bounded_runs(per_text, 1 << 18, 1 << 16):
+            mine = codes[word_ends[at]:word_ends[at + n_texts]]
+            n = n_of[mine]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            out = flat[np.repeat(first_of[mine] - ends[:-1], n) + np.arange(ends[-1])]
+            cuts = ends[word_ends[at:at + n_texts + 1] - word_ends[at]].tolist()
+            found += [out[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])]
+        if odd:  # special tokens are matched in the text as it stands
+            for d in np.unique(np.searchsorted(word_ends, np.flatnonzero(np.isin(codes, odd)), "right") - 1).tolist():
+                found[d] = self._plain(self.tok.encode(texts[d].as_py(), add_special_tokens=False).ids)
+        return found
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -237,8 +256,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_i
             return pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, _SHARDS)], schema=_SHARDS)
 
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                blob = enc.encode(text.as_py()) + end
+            for key, ids_of in zip(b.column(0).to_pylist(), enc.encode_batch(b.column(1))):
+                blob = ids_of + end
                 n = len(blob) // enc.width
                 if ids and size + n > SHARD_IDS:
                     yield flush()
