@@ -99,8 +99,8 @@ def quantile_bucket(df: DataFrame, col: str, n: int, tie_break, name: str = "buc
     without a single-task sort: bucket sizes follow ``ntile`` (the first
     ``N mod n`` buckets get one extra row)."""
     ranked = global_row_number(df, [F.col(col).asc_nulls_first()] + [F.col(c).asc() for c in as_list(tie_break)], "_rn")
-    # N as an uncorrelated scalar subquery: evaluated once, no join
-    N = df.agg(F.count(F.lit(1))).scalar()
+    # N from the materialised rank (the input is not evaluated again)
+    N = ranked.agg(F.max("_rn")).scalar()
     r = ranked
     q = F.floor(N / F.lit(n))
     rem = F.pmod(N, F.lit(n))
@@ -119,30 +119,38 @@ def exact_quantiles(df: DataFrame, col: str, probs, name_q: str = "q", name_v: s
 
 
 def exact_quantiles_by(df: DataFrame, group: str, col: str, probs, name_q: str = "q", name_v: str = "value") -> DataFrame:
-    """Exact interpolated quantiles of ``col`` per value of ``group`` with
-    one distributed sort for all groups: rows are ranked over
-    (group, value); per-group counts (one row per group) turn global ranks
-    into group ranks; only the 2 rows per (group, probability) that bracket
-    each position are kept and interpolated."""
-    vals = df.where(F.col(col).isNotNull()).select(F.col(group).alias("_g"), F.col(col).alias("_v"))
-    ranked = global_row_number(vals, [F.col("_g").asc(), F.col("_v").asc()], "_rn")
-    counts = vals.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("_g", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    p = counts.select("_g", "_n", "_off", F.explode(F.array(*[F.lit(float(x)) for x in probs])).alias(name_q))
-    pos = F.col(name_q) * (F.col("_n") - 1)
-    want = p.select("_g", "_off", name_q, F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"),
-                    (pos - F.floor(pos)).alias("_f"))
-    # global positions needed: one or two per (group, probability)
-    need = want.select("_g", (F.col("_off") + F.col("_lo") + 1).alias("_rn")).unionByName(
-        want.select("_g", (F.col("_off") + F.col("_hi") + 1).alias("_rn"))).distinct()
-    picked = ranked.join(need, ["_g", "_rn"], "left_semi")
-    lo = picked.select("_g", F.col("_rn").alias("_rlo"), F.col("_v").alias("_vlo"))
-    hi = picked.select("_g", F.col("_rn").alias("_rhi"), F.col("_v").alias("_vhi"))
-    out = (want.withColumn("_rlo", F.col("_off") + F.col("_lo") + 1).withColumn("_rhi", F.col("_off") + F.col("_hi") + 1)
-           .join(lo, ["_g", "_rlo"]).join(hi, ["_g", "_rhi"]))
-    return out.select(F.col("_g").alias(group), name_q,
-                      (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f")).alias(name_v))
+    """Exact interpolated quantiles of ``col`` per value of ``group``.
+
+    Equal values are counted first (a partial aggregate), so a value that
+    many rows share is one row of the sort. The distinct values are range
+    sorted and stored once with their counts; running counts inside each
+    partition and one total per (partition, group) place every value; the two
+    values around each wanted position are picked and interpolated."""
+    from strata.session import cut_lineage
+
+    counted = (df.where(F.col(col).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(col).alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_c")))
+    stored = cut_lineage(counted.orderBy("_g", "_v").withColumn("_pid", F.spark_partition_id()))
+    inside = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = stored.groupBy("_g", "_pid").agg(F.sum("_c").alias("_n")).select(
+        "_g", "_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    totals = stored.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("q"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos")) for p in probs])
+    totals = totals.select("_g", wanted.alias("_want"))
+    # sizes: partitions + groups rows, and one row per group
+    placed = (stored.withColumn("_end", F.sum("_c").over(inside)).join(F.broadcast(pieces), ["_g", "_pid"])
+              .withColumn("_end", F.col("_end") + F.col("_off")).withColumn("_start", F.col("_end") - F.col("_c"))
+              .join(totals, "_g"))
+    covers = lambda at: (at >= F.col("_start")) & (at < F.col("_end"))
+    near = F.filter("_want", lambda w: covers(F.floor(w["pos"])) | covers(F.ceil(w["pos"])))
+    hit = placed.where(F.size(near) > 0).select("_g", "_v", "_start", "_end", F.inline(near))
+    low, high = F.floor("pos"), F.ceil("pos")
+    out = hit.groupBy("_g", "q").agg(
+        F.max(F.when(covers(low), F.col("_v"))).alias("_lo"), F.max(F.when(covers(high), F.col("_v"))).alias("_hi"),
+        F.first(F.col("pos") - low).alias("_f"))
+    return out.select(F.col("_g").alias(group), F.col("q").alias(name_q),
+                      (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias(name_v))
 
 
 def month_trend(df: DataFrame, month_col: str, measures: dict[str, Column]) -> DataFrame:

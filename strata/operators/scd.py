@@ -214,11 +214,15 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     touched = target.join(ids, on, "left_semi")
-    # a version that no other one follows at its end was closed by a delete
-    ends = neighbors(touched.select(*keys, "effective_from", "effective_to"), keys, ["effective_from"], ["effective_from"])
-    ends = ends.where(F.col("effective_to").isNotNull() & ~F.col("next_effective_from").eqNullSafe(F.col("effective_to")))
-    old = touched.select(*keys, *tracked, F.col("effective_from").alias(seq), F.lit(False).alias(TOMBSTONE)).unionByName(
-        ends.select(*keys, F.col("effective_to").alias(seq), F.lit(True).alias(TOMBSTONE)), allowMissingColumns=True)
+    # every version began with a change; one that no other follows at its end
+    # was closed by a delete
+    spans = neighbors(touched.select(*keys, *tracked, "effective_from", "effective_to"), keys, ["effective_from"], ["effective_from"])
+    closed = F.col("effective_to").isNotNull() & ~F.col("next_effective_from").eqNullSafe(F.col("effective_to"))
+    values = [F.col(c).alias(c) for c in tracked]
+    none = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in tracked]
+    opened = F.struct(*values, F.col("effective_from").alias(seq), F.lit(False).alias(TOMBSTONE))
+    gone = F.struct(*none, F.col("effective_to").alias(seq), F.lit(True).alias(TOMBSTONE))
+    old = spans.select(*keys, F.inline(F.when(closed, F.array(opened, gone)).otherwise(F.array(opened))))
     old = old.withColumn("_side", F.lit(0)).withColumn("_h", F.lit(0).cast("long"))
     out = _versions(old.unionByName(new, allowMissingColumns=True), keys, tracked, seq, ties)
     return target.join(ids, on, "left_anti").select(*out.columns).unionByName(out)

@@ -72,7 +72,9 @@ def neighbors(df: DataFrame, keys, order, cols, unit: str = "day", prefix_prev:
     keys, order, cols = as_list(keys), as_list(order), as_list(cols)
     b = split_pieces(df, keys, order, unit, split)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    by_order = [F.col(o) for o in order]
+    # a total order: the two branches below must agree on rows of equal order
+    b = b.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    by_order = [*[F.col(o) for o in order], F.col("_tie")]
     w = Window.partitionBy(*keys, "_b").orderBy(*by_order)
     inner = (
         b.withColumn("_prev", F.lag(payload, 1).over(w))
@@ -163,5 +165,6 @@ def sessionize(df: DataFrame, keys, ts: str, gap_seconds: int, unit: str = "day"
     t = F.unix_micros(F.col(ts).cast("timestamp"))
     p = F.unix_micros(F.col(f"_prev_{ts}").cast("timestamp"))
     flagged = prev.withColumn("_new", p.isNull() | (t - p > F.lit(int(gap_seconds * 1_000_000)))) \
-        .drop(f"_prev_{ts}", f"_next_{ts}")
-    return running_count(flagged, keys, order, "_new", "session_id", unit, split).drop("_new")
+        .withColumn("_old", ~F.col("_new")).drop(f"_prev_{ts}", f"_next_{ts}")
+    # of events at one time the one that opens the session is counted first
+    return running_count(flagged, keys, order + ["_old"], "_new", "session_id", unit, split).drop("_new", "_old")

@@ -9,7 +9,7 @@ partitioning or task order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import calendar_attributes, date_key, month_key, tenure_years, band
@@ -18,6 +18,8 @@ from strata.functions.numbers import exact_sum, safe_ratio, in_range
 from strata.operators.nested import date_spine, expand_months
 
 TENURE_EDGES = (0, 1, 3, 5, 10)
+CONTACT = ("email", "phone", "city", "postal_code")
+AGE_EDGES = (0, 18, 25, 35, 50, 65)
 TENURE_LABELS = ("<1y", "1-2y", "3-4y", "5-9y", "10y+")
 
 
@@ -46,13 +48,18 @@ def customer_since(policies: DataFrame) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, policies: DataFrame, as_of: str) -> DataFrame:
-    """L2: one row per customer: contact, state, region, segment, first
-    policy date, whole tenure years at ``as_of`` and its band."""
+    """L2: one row per customer: contact columns and age band where the
+    source has them (email, phone, city, postal_code, date_of_birth), state,
+    region, segment, first policy date, whole tenure years at ``as_of`` and
+    its band."""
     since = customer_since(policies)
     out = customers.join(since, "customer_id", "left")
     years = tenure_years("customer_since", as_of)
+    contact = [c for c in CONTACT if c in customers.columns]
+    if "date_of_birth" in customers.columns:
+        contact.append(band(tenure_years("date_of_birth", as_of), AGE_EDGES).alias("age_band"))
     return out.select(
-        "customer_id", "name", "segment", "state", "region", "customer_since",
+        "customer_id", "name", *contact, "segment", "state", "region", "customer_since",
         years.alias("tenure_years"),
         band(years, TENURE_EDGES, TENURE_LABELS).alias("tenure_band"),
     )
@@ -94,17 +101,19 @@ def fact_premium(policies: DataFrame, customers: DataFrame | None = None) -> Dat
 
 
 def fact_claims(claims: DataFrame, dim_pol: DataFrame, perils: DataFrame | None = None) -> DataFrame:
-    """One row per claim with date key, product line, state, customer.
+    """One row per claim with product line, state, customer and peril.
+    ``date_key`` / ``month_key`` follow the loss date; where the claims have a
+    ``claim_date``, ``claim_date_key`` follows that.
 
-    ``perils`` (``part_key, peril_code``) resolves the peril when the claims
-    carry only a part key; marts that do not use the peril leave it out, so
-    their plans hold no peril join at all.
+    ``perils`` (``part_key`` or ``peril_code`` to ``peril_code`` and, if given,
+    ``peril_name``) resolves the peril; marts that do not use the peril leave
+    it out, so their plans hold no peril join at all.
     """
     pol = dim_pol.select("policy_id", "customer_id", "agent_id", "product_line", "state")
     # policy attributes come from the policy dimension (one source of truth)
     claims = claims.drop(*[c for c in ("customer_id", "agent_id", "product_line", "state") if c in claims.columns])
     if perils is not None:
-        claims = claims.join(perils, "part_key", "left")
+        claims = claims.join(perils, "part_key" if "part_key" in perils.columns else "peril_code", "left")
     if "peril_code" not in claims.columns:
         claims = claims.withColumn("peril_code", F.lit(None).cast("string"))
     out = claims.join(pol, "policy_id", "left")
@@ -112,7 +121,9 @@ def fact_claims(claims: DataFrame, dim_pol: DataFrame, perils: DataFrame | None
         "claim_id", "policy_id", "customer_id", "agent_id", "product_line", "state",
         date_key("loss_date").alias("date_key"),
         month_key("loss_date").alias("month_key"),
-        "peril_code", "claim_status", "loss_amount", "paid_amount", "fraud_flag",
+        *([date_key("claim_date").alias("claim_date_key")] if "claim_date" in out.columns else []),
+        "peril_code", *(["peril_name"] if "peril_name" in out.columns else []),
+        "claim_status", "loss_amount", "paid_amount", "fraud_flag",
     )
 
 
@@ -187,27 +198,42 @@ def renewals(policies: DataFrame, grace_days: int = 30) -> DataFrame:
     question) with a carry-in of each day's first start."""
     from strata.operators.sequence import next_value_at_or_after
 
+    carried = [c for c in policies.columns if c not in ("customer_id", "product_line")]
     starts = policies.select("customer_id", "product_line", F.col("effective_date").alias("_t"))
-    asks = policies.select("policy_id", "customer_id", "product_line",
+    asks = policies.select("customer_id", "product_line", *carried,
                            F.date_sub("expiration_date", grace_days).alias("_t"),
                            F.date_add("expiration_date", grace_days).alias("_until"))
     nxt = next_value_at_or_after(asks, starts, ["customer_id", "product_line"], "_t", "_next_start", unit="day")
-    return nxt.select("policy_id", (F.col("_next_start").isNotNull() & (F.col("_next_start") <= F.col("_until"))).alias("renewed"))
+    renewed = F.col("_next_start").isNotNull() & (F.col("_next_start") <= F.col("_until"))
+    return nxt.select(*policies.columns, renewed.alias("renewed"))
 
 
-def agg_agent_performance(dim_pol: DataFrame, fclaims: DataFrame, fpremium: DataFrame, dim_agent: DataFrame,
-                          policies: DataFrame, grace_days: int = 30) -> DataFrame:
+def months_in_force(start: str, end: str) -> Column:
+    """Month starts within ``[start, end]`` (what :func:`fact_premium`
+    explodes to), as a number."""
+    index = lambda d: F.year(d) * 12 + F.month(d)
+    first = index(start) + F.when(F.dayofmonth(start) > 1, 1).otherwise(0)
+    return F.greatest(index(end) - first + 1, F.lit(0))
+
+
+def agg_agent_performance(policies: DataFrame, fclaims: DataFrame, dim_agent: DataFrame, grace_days: int = 30) -> DataFrame:
     """Per current agent: policies sold, retention (renewed / total),
-    loss ratio (claims losses / earned premium of the agent's policies)."""
-    ren = renewals(policies, grace_days)
-    sold = dim_pol.join(ren, "policy_id", "left").groupBy("agent_id").agg(
+    loss ratio (claims losses / earned premium of the agent's policies).
+
+    One pass over the policies gives sold, renewed and earned: the months in
+    force are a number, so nothing is exploded to be summed again."""
+    months = months_in_force("effective_date", "expiration_date")
+    base = policies.select("policy_id", "customer_id", "agent_id", "product_line", "effective_date", "expiration_date",
+                           (F.col("annual_premium") * months).alias("months_premium"))
+    sold = renewals(base, grace_days).groupBy("agent_id").agg(
         F.count(F.lit(1)).alias("policies_sold"),
         F.count_if(F.col("renewed")).alias("renewed"),
-    )
+        F.nullif(F.sum(months), F.lit(0)).alias("months"),
+        (exact_sum("months_premium") / F.lit(12.0)).alias("earned_sum"),
+    ).withColumn("earned", F.when(F.col("months").isNotNull(), F.col("earned_sum")))
     losses = fclaims.groupBy("agent_id").agg(exact_sum("loss_amount").alias("losses"))
-    earned = fpremium.groupBy("agent_id").agg((exact_sum("annual_premium") / F.lit(12.0)).alias("earned"))
     cur = dim_agent.select("agent_id", "agent_name", "state", "region")
-    out = cur.join(sold, "agent_id", "left").join(losses, "agent_id", "left").join(earned, "agent_id", "left")
+    out = cur.join(sold, "agent_id", "left").join(losses, "agent_id", "left")
     return out.select(
         "agent_id", "agent_name", "state", "region",
         F.coalesce("policies_sold", F.lit(0)).alias("policies_sold"),
@@ -239,20 +265,26 @@ def agg_customer_value(dim_cust: DataFrame, policies: DataFrame, fclaims: DataFr
     )
 
 
-def agg_telematics_risk(trips: DataFrame, fclaims: DataFrame, speed_range=(0.0, 300.0),
-                        weights: float = 1.0, per: float = 100.0) -> DataFrame:
-    """Per policy: harsh events per ``per`` distance units over valid
-    rows only (``distance`` within ``speed_range``), and whether the policy
-    had a claim."""
-    valid = trips.where(in_range("distance", *speed_range))
+def agg_telematics_risk(trips: DataFrame, fclaims: DataFrame, flags: dict[str, float] | None = None, distance: str = "distance",
+                        speed: str | None = None, speed_range=(0.0, 300.0), per: float = 100.0) -> DataFrame:
+    """Per policy: weighted harsh events (``flags``: column -> weight)
+    per ``per`` distance units over valid rows only, and whether the policy
+    had a claim. A row is valid if ``speed`` (the distance, for sources
+    without a speed) lies in ``speed_range``."""
+    flags = flags or {"harsh": 1.0}
+    hits = {f: F.count_if(F.col(f)) for f in flags}
+    valid = trips.where(in_range(speed or distance, *speed_range))
     agg = valid.groupBy("policy_id").agg(
         F.count(F.lit(1)).alias("events"),
-        F.count_if(F.col("harsh")).alias("harsh_events"),
-        exact_sum("distance").alias("distance"),
+        *[n.alias(f"_{f}") for f, n in hits.items()],
+        exact_sum(distance).alias("distance"),
     )
-    agg = agg.withColumn("harsh_score", F.lit(per) * safe_ratio(F.lit(weights) * F.col("harsh_events"), F.col("distance")))
+    total, weighted = F.lit(0).cast("long"), F.lit(0.0)
+    for f, w in flags.items():
+        total, weighted = total + F.col(f"_{f}"), weighted + F.lit(float(w)) * F.col(f"_{f}")
+    agg = agg.withColumn("harsh_events", total).withColumn("harsh_score", F.lit(per) * safe_ratio(weighted, "distance"))
     had = fclaims.select("policy_id").distinct().withColumn("had_claim", F.lit(True))
-    out = agg.join(had, "policy_id", "left")
+    out = agg.select("policy_id", "events", "harsh_events", "distance", "harsh_score").join(had, "policy_id", "left")
     return out.withColumn("had_claim", F.coalesce("had_claim", F.lit(False)))
 
 

@@ -132,10 +132,11 @@ def validate_category(t):
     """Values outside a lookup (here the three named priorities that the
     part of the lookup covers) become NULL and are marked for quarantine."""
     o = t.orders.select("o_orderkey", "o_orderpriority")
-    ref = o.select(F.col("o_orderpriority").alias("_ok")).where(
-        F.col("_ok").isin("1-URGENT", "2-HIGH", "3-MEDIUM")).distinct()
-    j = lookup(o, ref, ("o_orderpriority", "_ok"))
-    return j.select("o_orderkey", F.col("_ok").alias("priority"), F.col("_ok").isNull().alias("quarantined"))
+    from strata.operators.projection import validate_category as vc
+
+    ref = o.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")).select(F.col("o_orderpriority").alias("code"))
+    out = vc(o, "o_orderpriority", ref, "code", "quarantined")
+    return out.select("o_orderkey", F.col("o_orderpriority").alias("priority"), "quarantined")
 
 
 @query("cast_types", """
@@ -170,10 +171,20 @@ def row_hash_q(t):
     return c.select("c_custkey", row_hash(["c_name", "c_mktsegment", "c_nationkey", seg2]).alias("_hash"))
 
 
-@query("surrogate_key")
+@query("surrogate_key", """
+SELECT 'customer' AS source, count(*) AS rows, count(DISTINCT c_custkey) AS keys, true AS one_to_one FROM customer
+UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey), true FROM orders
+UNION ALL SELECT 'lineitem', count(*), count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_suppkey)), true FROM lineitem""")
 def surrogate_key_q(t):
-    """64-bit surrogate key (no DuckDB twin: rows-only check)."""
-    return t.customer.select("c_custkey", surrogate_key(["c_custkey"]).alias("customer_sk"))
+    """64-bit surrogate keys are as many as the business keys, and never
+    NULL."""
+    def per(df, name, keys):
+        sk = df.select(*keys, surrogate_key(keys).alias("sk"))
+        return sk.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("rows"), F.count_distinct(*keys).alias("keys"),
+                      ((F.count_distinct("sk") == F.count_distinct(*keys)) & (F.count("sk") == F.count(F.lit(1)))).alias("one_to_one"))
+
+    return per(t.customer, "customer", ["c_custkey"]).unionByName(per(t.orders, "orders", ["o_orderkey"])).unionByName(
+        per(t.lineitem, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]))
 
 
 @query("split_column", "SELECT c_custkey, split_part(c_name, '#', 2) AS name_number, "
@@ -188,15 +199,14 @@ def split_column(t):
 @query("fill_nulls", """
 SELECT c_custkey, coalesce(n, 0) AS n_orders, coalesce(total, 0.0) AS total_price, coalesce(last_status, 'NONE') AS last_status
 FROM customer LEFT JOIN (
-  SELECT o_custkey, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total,
-         max(o_orderstatus) AS last_status
-  FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey) o ON c_custkey = o_custkey""")
+  SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) AS total, max(o_orderstatus) AS last_status
+  FROM orders GROUP BY o_custkey) o ON c_custkey = o_custkey""")
 def fill_nulls(t):
     """Per-column defaults after a left join."""
     from strata.functions.numbers import exact_sum
     from strata.operators.projection import fill_nulls as fn
 
-    o = t.orders.where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")).groupBy("o_custkey").agg(
+    o = t.orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"), exact_sum("o_totalprice").alias("total_price"),
         F.max("o_orderstatus").alias("last_status"))
     j = t.customer.select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").drop("o_custkey")

@@ -19,15 +19,13 @@ def _phone():
 
 
 @query("mask_contacts", f"""
-SELECT doc_id, regexp_replace(regexp_extract(text, '{EMAIL}'), '^.*@', '***@') AS masked_email,
-       regexp_extract(text, '{EMAIL}') AS clear_email
-FROM documents""")
+SELECT doc_id, regexp_replace(e, '^.*@', '***@') AS masked_email, e AS clear_email
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{EMAIL}')) AS e FROM documents)""")
 def mask_contacts(t):
-    """E-mail addresses found in the documents, masked for an
+    """Every e-mail address found in the documents, masked for an
     unprivileged reader and clear for a privileged one."""
     text = F.col("text")
-    found = F.when(text.contains("@"), F.regexp_extract(text, EMAIL, 0)).otherwise(F.lit(""))
-    d = t.documents.select("doc_id", found.alias("email"))
+    d = t.documents.where(text.contains("@")).select("doc_id", F.explode(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0))).alias("email"))
     return d.select("doc_id", mask_email("email", False).alias("masked_email"), mask_email("email", True).alias("clear_email"))
 
 
@@ -67,7 +65,7 @@ def row_filter_admin(t):
 
 
 @query("tag_policy", """
-SELECT c_custkey, sha256(c_name) AS c_name, CAST(NULL AS VARCHAR) AS c_acctbal, c_mktsegment, c_nationkey FROM customer""")
+SELECT c_custkey, sha256(c_name) AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment, c_nationkey FROM customer""")
 def tag_policy(t):
     """P5: two tags, two policies, one select; the finance group would see
     balances in clear, this caller is not in it."""

@@ -34,14 +34,18 @@ SELECT l_returnflag, count(DISTINCT l_partkey) AS n_parts, count(DISTINCT l_orde
 FROM lineitem GROUP BY l_returnflag""")
 def agg_distinct(t):
     """Exact distinct counts."""
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.countDistinct("l_partkey").alias("n_parts"), F.countDistinct("l_orderkey").alias("n_orders"))
+    parts = A.count_distinct(t.lineitem, "l_returnflag", "l_partkey", "n_parts")
+    return parts.join(A.count_distinct(t.lineitem, "l_returnflag", "l_orderkey", "n_orders"), "l_returnflag")
 
 
-@query("agg_approx_distinct")
+@query("agg_approx_distinct", "SELECT l_returnflag, count(DISTINCT l_partkey) AS n_parts, true AS within_bound FROM lineitem GROUP BY l_returnflag")
 def agg_approx_distinct(t):
-    """HyperLogLog estimate (rows-only; tests bound the error)."""
-    return A.approx_distinct(t.lineitem, "l_returnflag", "l_partkey", 0.02, "approx_parts")
+    """HyperLogLog estimate, within three standard errors of the exact
+    distinct count."""
+    about = A.approx_distinct(t.lineitem, "l_returnflag", "l_partkey", 0.02, "approx_parts")
+    exact = A.count_distinct(t.lineitem, "l_returnflag", "l_partkey", "n_parts")
+    return about.join(exact, "l_returnflag").select(
+        "l_returnflag", "n_parts", (F.abs(F.col("approx_parts") - F.col("n_parts")) <= 3 * 0.02 * F.col("n_parts")).alias("within_bound"))
 
 
 @query("agg_conditional", f"""
@@ -104,6 +108,17 @@ def weighted_score(t):
     return A.weighted_score(e, "user_id", {"is_error": 2.0, "is_purchase": 0.5}, "value")
 
 
+@query("weighted_score_milli", """
+SELECT user_id, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS is_error_events,
+       CAST(sum(CAST(value / 1000 AS DECIMAL(38,6))) AS DOUBLE) AS distance,
+       100.0 * ((2.0 * CAST(count(*) FILTER (WHERE event_type = 'error') AS DOUBLE)) / NULLIF(CAST(sum(CAST(value / 1000 AS DECIMAL(38,6))) AS DOUBLE), 0)) AS score
+FROM events GROUP BY user_id""")
+def weighted_score_milli(t):
+    """E10 over distances with five decimals: nothing is cut to cents."""
+    e = t.events.select("user_id", (F.col("value") / 1000).alias("value"), (F.col("event_type") == "error").alias("is_error"))
+    return A.weighted_score(e, "user_id", {"is_error": 2.0}, "value")
+
+
 @query("profile", f"""
 WITH v AS (SELECT 'l_quantity' AS c, l_quantity AS x FROM lineitem UNION ALL
            SELECT 'l_discount', l_discount FROM lineitem UNION ALL SELECT 'l_extendedprice', l_extendedprice FROM lineitem),
@@ -224,39 +239,37 @@ def union_distinct(t):
                             t.supplier.select(F.col("s_nationkey").alias("nationkey")))
 
 
-def _policies_nested(t, chunk: int = 8):
-    """Policies with nested coverage arrays built from the flat lines.
-
-    Arrays are cut into chunks of about ``chunk`` lines (a hash of the line
-    modulo ceil(lines of the order / chunk)), so no group collected into
-    one array is unbounded even for an order holding a large share of the
-    lines; a policy may therefore span several rows, each with its own
-    array, and exploding them yields every line exactly once."""
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey",
-                              "l_extendedprice")
-    per_order = lines.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    pieces = F.ceil(F.col("_n") / F.lit(chunk))
-    lines = lines.join(per_order, "o_orderkey").withColumn(
-        "_chunk", F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey"), pieces))
-    nested = lines.groupBy("o_orderkey", "_chunk").agg(
-        F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("coverage_code"),
-                                F.col("l_extendedprice").alias("limit_amount"))).alias("coverages"))
-    return t.orders.select("o_orderkey").join(nested.drop("_chunk"), "o_orderkey", "left")
-
-
-@query("explode_lines", """
-SELECT l_orderkey AS o_orderkey, l_linenumber AS line, l_partkey AS coverage_code, l_extendedprice AS limit_amount FROM lineitem""")
+_PARTS_SQL = """
+p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus,
+  unnest([{{'part': 'net', 'amount': l_extendedprice * (1 - l_discount)}}, {{'part': 'discount', 'amount': l_extendedprice * l_discount}},
+          {{'part': 'tax', 'amount': l_extendedprice * l_tax}}]) AS x FROM lineitem WHERE l_linestatus = 'F' OR l_tax > 0),
+e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x.part AS part, x.amount AS amount FROM p WHERE x.amount > 0 AND x.part <> 'net' AND l_linestatus = 'O'
+  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x.part, x.amount FROM p WHERE x.amount > 0 AND l_linestatus = 'F')""".replace("{{", "{").replace("}}", "}")
+
+
+def _line_parts(t):
+    """Every line with an array of its own amounts: net, discount and tax of
+    closed lines; discount and tax of open ones that are taxed; NULL for the
+    others. Zero amounts are left out, so an array may be empty."""
+    price = F.col("l_extendedprice")
+    part = lambda name, amount: F.struct(F.lit(name).alias("part"), amount.alias("amount"))
+    net, cut, tax = (part(n, a) for n, a in (("net", price * (1 - F.col("l_discount"))), ("discount", price * F.col("l_discount")),
+                                             ("tax", price * F.col("l_tax"))))
+    parts = F.when(F.col("l_linestatus") == "F", F.array(net, cut, tax)).when(F.col("l_tax") > 0, F.array(cut, tax))
+    return t.lineitem.select(*LINE_KEYS, F.filter(parts, lambda x: x["amount"] > 0).alias("parts"))
+
+
+@query("explode_lines", f"WITH {_PARTS_SQL} SELECT * FROM e")
 def explode_lines(t):
-    """H1: nested coverages (built per policy) exploded back to rows."""
-    return H.explode_lines(_policies_nested(t), "o_orderkey", "coverages")
+    """H1: the amounts of every line, one row each."""
+    return H.explode_lines(_line_parts(t), LINE_KEYS, "parts")
 
 
-@query("explode_outer", """
-SELECT o_orderkey, l_linenumber AS line, l_partkey AS coverage_code, l_extendedprice AS limit_amount
-FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")
+@query("explode_outer", f"""WITH {_PARTS_SQL}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, part, amount FROM lineitem LEFT JOIN e USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
 def explode_outer(t):
-    """H2: policies without coverages are kept with NULL fields."""
-    return H.explode_lines(_policies_nested(t), "o_orderkey", "coverages", keep_empty=True)
+    """H2: lines whose array is empty or NULL are kept with NULL fields."""
+    return H.explode_lines(_line_parts(t), LINE_KEYS, "parts", keep_empty=True)
 
 
 @query("struct_fields", """

@@ -178,7 +178,7 @@ AP_SQL = with_(*STAR, AGENTS, AP)
 
 def _ap(t):
     s = Star(t)
-    return marts.agg_agent_performance(s.dim_policy, s.fact_claims_core, s.fact_premium, s.dim_agent, s.policies)
+    return marts.agg_agent_performance(s.policies, s.fact_claims_core, s.dim_agent)
 
 
 @query("agent_performance", AP_SQL + "SELECT * FROM ap")
@@ -190,7 +190,11 @@ def agent_performance(t):
 @query("tile_top_agents", AP_SQL + "SELECT agent_id, agent_name, policies_sold FROM ap ORDER BY policies_sold DESC, agent_id LIMIT 10")
 def tile_top_agents(t):
     """Top 10 agents by policies sold (top-k report)."""
-    return top_n(_ap(t).select("agent_id", "agent_name", "policies_sold"), "policies_sold", 10, "agent_id")
+    s = Star(t)
+    sold = s.policies.groupBy("agent_id").agg(F.count(F.lit(1)).alias("policies_sold"))
+    out = s.dim_agent.select("agent_id", "agent_name").join(sold, "agent_id", "left").select(
+        "agent_id", "agent_name", F.coalesce("policies_sold", F.lit(0)).alias("policies_sold"))
+    return top_n(out, "policies_sold", 10, "agent_id")
 
 
 @query("tile_agent_loss_vs_retention", AP_SQL + "SELECT agent_id, retention, loss_ratio FROM ap")

@@ -60,4 +60,5 @@ def load_all() -> None:
         q_tiles,
         q_stream,
         q_protect,
+        q_source,
     )

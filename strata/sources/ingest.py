@@ -128,7 +128,7 @@ def stream_to_table(stream: DataFrame, target: str, checkpoint: str, fmt: str =
 
 
 def ingest_csv_stream(spark: SparkSession, src: str, target: str, checkpoint: str, schema, **opts):
-    """A3: incremental CSV ingestion."""
+    """A3: incremental CSV ingestion (options as in :func:`file_stream`)."""
     return stream_to_table(file_stream(spark, src, "csv", schema, **opts), target, checkpoint)
 
 

@@ -79,7 +79,7 @@ def fail_on_expectations(rules):
     return check
 
 
-def session_counts_batch(df: DataFrame, ts: str, gap_seconds: int, by, unit: str = "day") -> DataFrame:
+def session_counts_batch(df: DataFrame, ts: str, gap_seconds: int, by, unit: str = "day", split: str = "bucket") -> DataFrame:
     """Batch sessions with the same result as ``session_window``: start =
     first event, end = last event + gap, n = events. Sessionised per
     (key, day) with carries across days, then one partial aggregate per
@@ -87,7 +87,7 @@ def session_counts_batch(df: DataFrame, ts: str, gap_seconds: int, by, unit: str
     from strata.operators.sequence import sessionize
 
     keys = as_list(by)
-    s = sessionize(df, keys, ts, gap_seconds, unit)
+    s = sessionize(df, keys, ts, gap_seconds, unit, split=split)
     t = F.col(ts).cast("timestamp")
     return s.groupBy(*keys, "session_id").agg(
         F.min(t).alias("session_start"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from strata.operators import scd as S
+from strata.session import cut_lineage
 
 T = ["name", "city"]
 
@@ -113,3 +114,32 @@ def test_upsert_and_cdc(spark):
     spec = S.ChangeSpec(keys=["id"], sequence_by="updated_at", scd_type=1, delete_when=F.col("op") == "D")
     out = {r.id: r.name for r in S.apply_changes(target.withColumn("op", F.lit("U")), feed, spec).collect()}
     assert out == {1: "a2", 2: "b"}
+
+
+def test_cdc_type2_extends_the_target(spark):
+    feed = lambda rows: spark.createDataFrame(rows, "id int, name string, op string, t timestamp")
+    spec = S.ChangeSpec(keys=["id"], sequence_by="t", scd_type=2, delete_when=F.col("op") == "D", tracked=["name"])
+    rows = [(1, "a", "U", ts(1)), (1, "b", "U", ts(3)), (1, None, "D", ts(5)), (1, "c", "U", ts(8)), (2, "x", "U", ts(2)), (2, "y", "U", ts(6)),
+            (3, "only", "U", ts(4)), (None, "n", "U", ts(1)), (None, "m", "U", ts(7))]
+    show = lambda df: sorted(((r.id, r.name, r.effective_from, r.effective_to, r.is_current) for r in df.collect()), key=repr)
+    whole = show(S.apply_changes(None, feed(rows), spec))
+    assert (1, "b", ts(3), ts(5), False) in whole and (3, "only", ts(4), None, True) in whole
+    for cut in (2, 6):
+        first = cut_lineage(S.apply_changes(None, feed([r for r in rows if r[3] < ts(cut)]), spec))
+        second = cut_lineage(S.apply_changes(first, feed([r for r in rows if r[3] >= ts(cut)]), spec))
+        assert show(second) == whole
+        assert show(S.apply_changes(second, feed([r for r in rows if r[3] >= ts(cut)]), spec)) == whole  # replayed
+    # a late change finds its place between the versions
+    late = [r for r in rows if r[3] != ts(3)]
+    assert show(S.apply_changes(cut_lineage(S.apply_changes(None, feed(late), spec)), feed([rows[1]]), spec)) == whole
+
+
+def test_cdc_type1_tombstones_and_null_times(spark):
+    feed = lambda rows: spark.createDataFrame(rows, "id int, name string, op string, t timestamp")
+    spec = S.ChangeSpec(keys=["id"], sequence_by="t", scd_type=1, delete_when=F.col("op") == "D")
+    first = S.apply_changes(None, feed([(1, "a", "D", ts(3)), (2, "b", "U", ts(3))]), spec, keep_tombstones=True)
+    second = S.apply_changes(first, feed([(1, "old", "U", ts(2)), (2, "old", "U", None)]), spec, keep_tombstones=True)
+    assert [(r.id, r.name) for r in S.visible(second).collect()] == [(2, "b")]
+    dim = S.scd2_seed(src(spark, [(1, "a", "x", None)]), "id", T, "updated_at")
+    nxt = S.scd2_apply(dim, src(spark, [(1, "b", "x", ts(2))]), "id", T, "updated_at")
+    assert sorted((r.name, r.is_current) for r in nxt.collect()) == [("a", False), ("b", True)]

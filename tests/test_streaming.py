@@ -117,8 +117,7 @@ def test_apply_changes_stream_equals_batch(spark, tmp):
     """J8 stream: two arrivals of CDC rows folded batch by batch equal the
     batch operator over all rows."""
     from strata.operators.scd import ChangeSpec, apply_changes
-    from strata.sources.sinks import read_snapshot
-    from strata.streaming.cdc import apply_changes_stream
+    from strata.streaming.cdc import apply_changes_stream, read_table
 
     src = os.path.join(tmp, "cdc")
     t0 = dt.datetime(2024, 1, 1)
@@ -131,7 +130,7 @@ def test_apply_changes_stream_equals_batch(spark, tmp):
         spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, f"b{i}"))
         stream = file_stream(spark, os.path.join(src, "b*"), "parquet", schema).drop("_source_file", "_ingest_ts")
         apply_changes_stream(stream, os.path.join(tmp, "t1"), os.path.join(tmp, "ck1"), spec)
-    got = sorted((r.id, r.name) for r in read_snapshot(spark, os.path.join(tmp, "t1")).collect())
+    got = sorted((r.id, r.name) for r in read_table(spark, os.path.join(tmp, "t1")).collect())
     want = sorted((r.id, r.name) for r in apply_changes(None, spark.createDataFrame(a1 + a2, schema), spec).collect())
     assert got == want == [(1, "a2"), (2, "b")]
 
