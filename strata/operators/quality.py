@@ -124,6 +124,18 @@ def scorecard_row(df: DataFrame, table_name: str, rules, run_ts) -> DataFrame:
     )
 
 
+def scorecard_of_flagged(flagged: DataFrame, table_name: str, rules, run_ts) -> DataFrame:
+    """K6 from rows that :func:`flag_rules` marked and that were stored
+    once: the same row as :func:`scorecard_row`, without evaluating the rules
+    again."""
+    names = [n for n, _ in _rules(rules)]
+    bad = F.size("_dq_failed_rules") > 0
+    per_rule = F.create_map(*[x for n in names for x in (F.lit(n), F.count_if(F.array_contains("_dq_failed_rules", n)))]) \
+        if names else F.create_map().cast("map<string,bigint>")
+    return flagged.agg(F.lit(table_name).alias("table_name"), F.count_if(~bad).alias("passed"), F.count_if(bad).alias("quarantined"),
+                       per_rule.alias("per_rule"), F.lit(run_ts).cast("timestamp").alias("run_ts"))
+
+
 def scorecard_rules(scorecard: DataFrame) -> DataFrame:
     """Long form of the per-rule map: (table_name, run_ts, rule, failed)."""
     return scorecard.select("table_name", "run_ts", F.explode("per_rule").alias("rule", "failed"))

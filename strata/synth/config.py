@@ -1,7 +1,6 @@
 """Generator knobs.
 
-Fixed values: defect rates and business rates of the dirty insurance data
-(the same values as the reference data set).
+Fixed values: defect rates and business rates of the dirty insurance data.
 """
 
 from __future__ import annotations
@@ -31,10 +30,12 @@ AGENT_ACTIVE_SHARE = 0.85
 POLICY_STATUS_WEIGHTS = {"ACTIVE": 0.72, "CANCELLED": 0.12, "LAPSED": 0.10, "PENDING": 0.06}
 PAYMENT_FREQUENCY_WEIGHTS = {"ANNUAL": 0.25, "SEMI_ANNUAL": 0.20, "QUARTERLY": 0.20, "MONTHLY": 0.35}
 INSTALLMENTS = {"ANNUAL": 1, "SEMI_ANNUAL": 2, "QUARTERLY": 4, "MONTHLY": 12}
+CLAIM_STATES = ["OPEN", "CLOSED", "DENIED", "IN_REVIEW", "REOPENED", "WITHDRAWN"]
 CLAIM_STATUS_WEIGHTS = {"OPEN": 0.30, "CLOSED": 0.45, "DENIED": 0.12, "IN_REVIEW": 0.13}
 PREMIUM_NORMAL = {"AUTO": (1200.0, 350.0), "PROPERTY": (1600.0, 600.0)}
 PREMIUM_FLOOR = 150.0
 REGION_ZIP1 = {"Northeast": "0", "South": "3", "Midwest": "5", "West": "9"}
+# The dirty spellings that cleaning has to deal with.
 INVALID_STATES = ["ca", "tx", "Ny", " FL", "XX", "ZZ", "Calif", "N/A", "99", "us"]
 POLICY_STATUS_TYPOS = ["active", "Active ", "ACTIVEE", "cancelled", "LAPSE", "pend", "Pening", "Actv"]
 CLAIM_STATUS_TYPOS = ["open", "Closed ", "denied", "in review", "CLOSE", "opn", "Reviewing"]

@@ -44,6 +44,19 @@ def manifest(spark: SparkSession, path: str, frames: dict[str, DataFrame], extra
     return out
 
 
+def land_reference(spark: SparkSession, root: str) -> None:
+    """The lookup files ``<root>/reference/<name>/`` (CSV): states with their
+    region, perils, claim states, regions by first postal digit."""
+    tables = {
+        "ref_us_states": ("state_code string, region string", [(s, r) for r, states in C.REGION_STATES.items() for s in states]),
+        "ref_peril_codes": ("peril_code string, peril_name string, product_line string",
+                            [(p, p.title(), line) for line, codes in (("AUTO", C.AUTO_PERILS), ("PROPERTY", C.PROPERTY_PERILS)) for p in codes]),
+        "ref_claim_status": ("status_code string", [(s,) for s in C.CLAIM_STATES]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").option("header", True).csv(os.path.join(root, "reference", name))
+
+
 def generate_initial(spark: SparkSession, root: str, cfg: C.GenConfig | None = None) -> dict:
     """Generate every source with its defects and land it under
     ``<root>/<source>/``; returns the manifest."""
@@ -64,6 +77,7 @@ def generate_initial(spark: SparkSession, root: str, cfg: C.GenConfig | None = N
     }
     for name, df in frames.items():
         land(df, os.path.join(root, name), FORMATS[name], ROWS_PER_FILE[name])
+    land_reference(spark, root)
     return manifest(spark, root, {"customers": cust, "agents": agt, "policies": pol, "claims": clm, "telematics": evt},
                     {"seed": cfg.seed})
 

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.synth import config as C
@@ -61,7 +62,7 @@ def test_drift_column_only_in_drift_batch(spark, tmp):
 
 
 def test_medallion_run(spark, tmp):
-    from strata.plans.medallion import run
+    from strata.plans.medallion import GateFailed, run
 
     landing, root = os.path.join(tmp, "landing"), os.path.join(tmp, "lake")
     m = generate_initial(spark, landing, CFG)
@@ -76,8 +77,17 @@ def test_medallion_run(spark, tmp):
     assert r1.tables["gold.dim_date"].count() == 3652
     fp = r1.tables["gold.fact_premium"]
     assert fp.count() == fp.select("policy_id", "month_key").distinct().count()
-    # a second run over the same landing loads nothing new
-    r2 = run(spark, landing, root, "2026-04-02 00:00:00")
+    assert len([t for t in r1.tables if t.startswith("gold.")]) == 15
+    assert r1.tables["gold.dim_customer"].where("age_band IS NOT NULL AND region IS NOT NULL").count() > 0
+    assert r1.tables["gold.fact_claims"].where("peril_name IS NOT NULL AND claim_date_key IS NOT NULL").count() > 0
+    assert r1.tables["gold.agg_telematics_risk"].where("harsh_score > 0").count() > 0
+    rec = {x.table_name: x for x in r1.reconciliation.collect()}
+    assert all(x.reconciled for x in rec.values()) and rec["customers"].deduplicated > 0
+    # a failed gate raises and leaves the published gold as it was
+    with pytest.raises(GateFailed):
+        run(spark, landing, root, "2026-04-01 12:00:00", max_quarantine_rate=0.0)
+    # a second run over the same landing (as a URI) loads nothing new
+    r2 = run(spark, "file://" + landing, "file://" + root, "2026-04-02 00:00:00")
     assert all(v == 0 for v in r2.loaded_files.values())
     # a delta with agent changes opens new SCD2 versions
     generate_delta(spark, landing, 2, CFG, agents=20)
