@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session defaults; Arrow batches are bounded by bytes as well as rows,
     so a batch of very long texts stays small."""
     configure(spark)
-    spark.conf.set(ARROW_BYTES, str(16 << 20))
+    spark.conf.set(ARROW_BYTES, str(8 << 20))
     return spark
 
 
@@ -48,10 +51,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_within(df: DataFrame, n_rows: int, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the measured row count is within the bound;
-    beyond it the join is an ordinary shuffle join with the same result."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast hint only when the measured size of the (stored) rows is
+    within the bound; beyond it the join is an ordinary shuffle join with the
+    same result. Strings count their bytes, and every value 16 more."""
+    size = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        value = F.array_join(F.col(name), " ") if kind.startswith("array") else F.col(name).cast("string")
+        count = F.size(name) if kind.startswith("array") else F.lit(1)
+        size = size + F.coalesce(F.octet_length(value), F.lit(0)) + 16 * count
+    measured = df.agg(F.sum(size)).head()[0] or 0
+    return F.broadcast(df) if measured <= max_bytes else df
+
+
+def frees_memory(run: Callable) -> Callable:
+    """A ``mapInArrow`` function that gives the memory of its batches back to
+    the system when the task ends: Python workers live on, and what their
+    allocators keep would add up over the stages of a job."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # not glibc
+            pass
+
+    return wrapped
 
 
 def text_bytes(text: str | None) -> bytes:

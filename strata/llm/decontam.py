@@ -21,14 +21,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut, materialize
+from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut, frees_memory, materialize
 
 # Word bytes: digits, letters and all of non-ASCII UTF-8.
 _IN_WORD = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
 
 SEGMENT_BYTES = 8 << 20
-MAX_BROADCAST_TERMS = 1_000_000
-MAX_BROADCAST_WINDOWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
 INDEX = "seg long, term string, tf int, postings binary, doc_ids array<long>, n_words array<int>"
 _INDEX_ARROW = pa.schema([("seg", pa.int64()), ("term", pa.string()), ("tf", pa.int32()), ("postings", pa.binary()),
                           ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32()))])
@@ -71,7 +70,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield from _segment(seg, part.column(0), part.column(1), gap)
                 seg += 1
 
-    return materialize(src.mapInArrow(run, INDEX), "postings")
+    return materialize(src.mapInArrow(frees_memory(run), INDEX), "postings")
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 10) -> DataFrame:
@@ -174,14 +173,14 @@ def search(index: DataFrame, windows: DataFrame, window: int = 10, gap: int = 16
     window_items = cut(windows.select(F.xxhash64(F.concat_ws(" ", "terms")).alias("wid"), "terms", "item_id"))
     distinct = window_items.select("wid", "terms").distinct()
     terms = cut(distinct.select(F.explode("terms").alias("term")).distinct())
-    terms = broadcast_within(terms, terms.count(), MAX_BROADCAST_TERMS)
+    terms = broadcast_within(terms, MAX_BROADCAST_BYTES)
     postings = index.where("term IS NOT NULL").join(terms, "term", "left_semi")
     stats = postings.groupBy("term").agg(F.sum(F.col("tf").cast("long")).alias("total"))
     rarest = (distinct.select("wid", "terms", F.posexplode("terms").alias("off", "term")).join(stats, "term")
               .groupBy("wid").agg(F.min(F.struct("total", "off", "term")).alias("r"), F.first("terms").alias("terms"))
               .select("wid", "terms", F.col("r.off").alias("off"), F.col("r.term").alias("term")))
     rarest = cut(rarest)
-    by_term = broadcast_within(rarest, rarest.count(), MAX_BROADCAST_WINDOWS)
+    by_term = broadcast_within(rarest, MAX_BROADCAST_BYTES)
     candidates = (index.where("term IS NOT NULL").select("seg", "term", "postings").join(by_term, "term")
                   .select("seg", "wid", "terms", "off", "postings"))
     directory = index.where("term IS NULL").select("seg", "term", "postings", "n_words")

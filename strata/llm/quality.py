@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strata.llm.common import WHITESPACE, text_bytes
+from strata.llm.common import WHITESPACE, frees_memory, text_bytes
 
 # Multiplier of the rolling polynomial hash (odd, 64 bits).
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -148,7 +148,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cols = [pa.array(c) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], [id_col, *names])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(frees_memory(run), schema)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: RepetitionRules | None = None) -> DataFrame:
@@ -162,4 +162,4 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: RepetitionRules |
             kept = pa.array([measure_text(t.as_py(), rules)[6] for t in b.column(at)], pa.bool_())
             yield b.filter(kept)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frees_memory(run), docs.schema)

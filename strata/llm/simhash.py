@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, cut, text_bytes
+from strata.llm.common import ascii_lower, cut, frees_memory, text_bytes
 from strata.llm.components import connected_components
 
 SEED = 42
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64())], ["id", "fp"])
 
-    return src.mapInArrow(run, "id long, fp long")
+    return src.mapInArrow(frees_memory(run), "id long, fp long")
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, shared_path, text_bytes
+from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, frees_memory, shared_path, text_bytes
 
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 20_000
@@ -271,7 +271,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_i
         if ids:
             yield flush()
 
-    shards = ordered.mapInArrow(run, _SHARDS_SQL)
+    shards = ordered.mapInArrow(frees_memory(run), _SHARDS_SQL)
     shards.write.option("compression", "zstd").parquet(f"{root}/payload")
     written = spark.read.schema(_SHARDS_SQL).parquet(f"{root}/payload")
 

@@ -119,8 +119,7 @@ def test_contamination(spark, ready, edge):
 def test_contamination_over_broadcast_bounds(spark, ready, edge, monkeypatch):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = rows(decontam.contamination(edge, items), ["doc_id", "n_hit", "items_sha256", "n_near_items"])
-    monkeypatch.setattr(decontam, "MAX_BROADCAST_TERMS", 0)
-    monkeypatch.setattr(decontam, "MAX_BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_BYTES", 0)
     assert rows(decontam.contamination(edge, items), ["doc_id", "n_hit", "items_sha256", "n_near_items"]) == want
 
 
