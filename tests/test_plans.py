@@ -55,3 +55,13 @@ def test_no_cartesian_products(spark):
             continue
         p = plan(spark, name)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_ordered_work_reads_its_input_once(spark):
+    """Both branches of ``neighbors`` share one exchange: what ran has one
+    scan of the events per evaluation of the input."""
+    for name, most in (("scd2_history", 1), ("version_at", 1), ("join_as_of", 4), ("agent_performance", 6)):
+        df = E.queries()[name](spark, SF)
+        df.collect()
+        ran = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert ran.count("FileScan") <= most, (name, ran.count("FileScan"))
