@@ -240,11 +240,12 @@ def union_distinct(t):
 
 
 _PARTS_SQL = """
-p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus,
-  unnest([{{'part': 'net', 'amount': l_extendedprice * (1 - l_discount)}}, {{'part': 'discount', 'amount': l_extendedprice * l_discount}},
-          {{'part': 'tax', 'amount': l_extendedprice * l_tax}}]) AS x FROM lineitem WHERE l_linestatus = 'F' OR l_tax > 0),
-e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x.part AS part, x.amount AS amount FROM p WHERE x.amount > 0 AND x.part <> 'net' AND l_linestatus = 'O'
-  UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, x.part, x.amount FROM p WHERE x.amount > 0 AND l_linestatus = 'F')""".replace("{{", "{").replace("}}", "}")
+li AS (SELECT *, row_number() OVER () AS rid FROM lineitem),
+p AS (SELECT rid, l_linestatus,
+  unnest([{'part': 'net', 'amount': l_extendedprice * (1 - l_discount)}, {'part': 'discount', 'amount': l_extendedprice * l_discount},
+          {'part': 'tax', 'amount': l_extendedprice * l_tax}]) AS x FROM li WHERE l_linestatus = 'F' OR l_tax > 0),
+e AS (SELECT rid, x.part AS part, x.amount AS amount FROM p WHERE x.amount > 0 AND (l_linestatus = 'F' OR x.part <> 'net'))"""
+_PARTS_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, part, amount"
 
 
 def _line_parts(t):
@@ -259,14 +260,13 @@ def _line_parts(t):
     return t.lineitem.select(*LINE_KEYS, F.filter(parts, lambda x: x["amount"] > 0).alias("parts"))
 
 
-@query("explode_lines", f"WITH {_PARTS_SQL} SELECT * FROM e")
+@query("explode_lines", f"WITH {_PARTS_SQL} SELECT {_PARTS_COLS} FROM li JOIN e USING (rid)")
 def explode_lines(t):
     """H1: the amounts of every line, one row each."""
     return H.explode_lines(_line_parts(t), LINE_KEYS, "parts")
 
 
-@query("explode_outer", f"""WITH {_PARTS_SQL}
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, part, amount FROM lineitem LEFT JOIN e USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
+@query("explode_outer", f"WITH {_PARTS_SQL} SELECT {_PARTS_COLS} FROM li LEFT JOIN e USING (rid)")
 def explode_outer(t):
     """H2: lines whose array is empty or NULL are kept with NULL fields."""
     return H.explode_lines(_line_parts(t), LINE_KEYS, "parts", keep_empty=True)
