@@ -119,3 +119,20 @@ def test_sql_functions_match_column_functions(spark):
     r = spark.sql("SELECT mask_email('jane@x.com', false) a, mask_email('jane@x.com', true) b, "
                   "mask_phone('(312) 555-0142', false) c, safe_ratio(1.0, 0.0) d, date_key(DATE'2024-05-04') e").first()
     assert tuple(r) == ("***@x.com", "jane@x.com", "XXX-XXX-0142", None, 20240504)
+
+
+def test_money_shapes_and_mask_types(spark):
+    from strata.functions.masks import mask_hash, mask_null, mask_text
+    from strata.functions.numbers import exact_sum, parse_money
+
+    shapes = {"$1234,56": 1234.56, "1.234,56": None, "$-1,234.50": -1234.5, "12,34,567": None, "1,234": 1234.0, "-5": -5.0, "1e3": 1000.0, "$": None}
+    df = spark.createDataFrame([(k,) for k in shapes], "s string")
+    assert {r.s: r.m for r in df.select("s", parse_money("s").alias("m")).collect()} == shapes
+    d = spark.createDataFrame([(1.5, True), (None, False)], "x double, p boolean")
+    for privileged in (True, False, F.col("p")):
+        out = d.select(mask_null("x", privileged).alias("n"), mask_hash("x", privileged).alias("h"), mask_text("x", privileged).alias("t"))
+        assert [t for _, t in out.dtypes] == ["double", "string", "string"]
+    # nothing is cut to cents and nothing overflows
+    small = spark.range(1000).select(F.lit(0.004).alias("x")).agg(exact_sum("x").alias("s")).head().s
+    large = spark.range(1000).select(F.lit(9.9e14).alias("x")).agg(exact_sum("x").alias("s")).head().s
+    assert (small, large) == (4.0, 9.9e17)
