@@ -26,7 +26,7 @@ from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut,
 # Word bytes: digits, letters and all of non-ASCII UTF-8.
 _IN_WORD = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
 
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 12 << 20  # above the batch size: a batch is a segment, unless one text is longer
 MAX_BROADCAST_BYTES = 32 << 20
 INDEX = "seg long, term string, tf int, postings binary, doc_ids array<long>, n_words array<int>"
 _INDEX_ARROW = pa.schema([("seg", pa.int64()), ("term", pa.string()), ("tf", pa.int32()), ("postings", pa.binary()),
