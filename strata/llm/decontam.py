@@ -42,7 +42,7 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array, gap: int) -> Iterator[pa.
     codes = words.indices.to_numpy(zero_copy_only=False)
     if not len(codes):
         return
-    pos = np.arange(len(codes), dtype=np.int32) + np.repeat(np.arange(len(per_text), dtype=np.int32) * gap, per_text)
+    pos = np.arange(len(codes), dtype=np.int32) + np.repeat(np.arange(1, len(per_text) + 1, dtype=np.int32) * gap, per_text)
     tf = np.bincount(codes, minlength=len(words.dictionary))
     blob = pos[np.argsort(codes, kind="stable")]
     at = np.concatenate([[0], np.cumsum(tf) * 4]).astype(np.int32)
@@ -55,8 +55,9 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array, gap: int) -> Iterator[pa.
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gap: int = 16) -> DataFrame:
     """The stored positional index of ``docs`` (``INDEX`` columns). A row
     with a NULL term is a segment's directory: its documents in order with
-    their word counts. Document k of a segment starts at position (words of
-    the documents before it) + k * gap, so no window crosses documents."""
+    their word counts. Document k of a segment (from 0) starts at position
+    (words of the documents before it) + (k + 1) * gap, so no window crosses
+    documents or begins before position 0."""
     src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +109,7 @@ def _intersect(left: pa.Table, right: pa.Table, window: int, gap: int, slop: int
     is_dir = pa.compute.is_null(right["term"])
     directory = right.filter(is_dir)
     n_words = np.array(directory["n_words"][0].as_py(), np.int64)
-    base = np.concatenate([[0], np.cumsum(n_words)[:-1]]) + np.arange(len(n_words)) * gap
+    base = np.concatenate([[0], np.cumsum(n_words)[:-1]]) + np.arange(1, len(n_words) + 1) * gap
     size = int(n_words.sum()) + (len(n_words) + 2) * gap
     lists = right.filter(pa.compute.invert(is_dir)).combine_chunks()
     vocab = {t: i for i, t in enumerate(lists["term"].to_pylist())}
@@ -131,7 +132,7 @@ def _intersect(left: pa.Table, right: pa.Table, window: int, gap: int, slop: int
         used = want[:, k] != -3
         here = np.zeros(len(row), bool)
         for d in (0, *(s * j for j in range(1, slop + 1) for s in (1, -1))):
-            here |= term_at[np.clip(start + k + d, 0, size - 1)] == want[:, k]
+            here |= term_at[start + k + d] == want[:, k]
             if d == 0:
                 ok &= here | ~used
         close += here & used

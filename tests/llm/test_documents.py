@@ -133,6 +133,17 @@ def test_proximity(spark, ready, frame):
     assert (got[3]["contaminated"], got[3]["n_near_items"]) == (False, 0)
 
 
+def test_doubled_first_word_is_no_match_before_the_segment(spark, ready, frame):
+    words = bf.ITEM.split()[:9]
+    item = " ".join([words[0], *words])
+    text = " ".join([*words, words[0], *[w + "x" for w in words], "other"])  # begins at the second of the doubled words
+    other = " ".join([w + "x" for w in words] + ["other"])
+    docs, items = frame([(1, text)]).coalesce(1), [(1, item), (2, other)]
+    got = rows(decontam.contamination(docs, spark.createDataFrame(items, "item_id long, text string")),
+               ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+    assert got == [(1, *bf.contamination(text, items))]
+
+
 # -- licences ---------------------------------------------------------------
 
 def test_licences_on_edge_rows(edge):
