@@ -4,9 +4,10 @@ The index is document-partitioned: every segment (a bounded run of documents
 inside one task) stores, for each of its terms, the posting list of token
 positions, plus one directory row with its documents. Hot terms are therefore
 split over all segments and building needs no shuffle. Benchmark windows are
-looked up by their rarest term; its postings, moved back by the term's offset,
-are the candidate starts, and inside each segment they are intersected with
-the offset-adjusted postings of the other terms. Exact phrases and proximity
+looked up by their rarest terms, one more than a proximity match may miss;
+their postings, moved back by the term's offset and by up to the allowed
+displacement, are the candidate starts, and inside each segment they are
+intersected with the postings of the other terms. Exact phrases and proximity
 matches (most terms within a few positions of their place) come out.
 """
 
@@ -28,6 +29,7 @@ _IN_WORD = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)]
 
 SEGMENT_BYTES = 12 << 20  # above the batch size: a batch is a segment, unless one text is longer
 MAX_BROADCAST_BYTES = 32 << 20
+CANDIDATES = 1 << 20  # looked at together
 INDEX = "seg long, term string, tf int, postings binary, doc_ids array<long>, n_words array<int>"
 _INDEX_ARROW = pa.schema([("seg", pa.int64()), ("term", pa.string()), ("tf", pa.int32()), ("postings", pa.binary()),
                           ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32()))])
@@ -117,42 +119,62 @@ def _intersect(left: pa.Table, right: pa.Table, window: int, gap: int, slop: int
     for i, p in enumerate(lists["postings"].to_pylist()):
         term_at[np.frombuffer(p, "<i4")] = i
 
-    terms = np.full((left.num_rows, window), -3, np.int32)
-    for i, row in enumerate(left["terms"].to_pylist()):
+    left = left.sort_by("wid")
+    wid_of, first, w_of = np.unique(left["wid"].to_numpy(), return_index=True, return_inverse=True)
+    terms = np.full((len(wid_of), window), -3, np.int32)
+    for i, row in enumerate(left["terms"].take(pa.array(first)).to_pylist()):
         terms[i, :len(row)] = [vocab.get(t, -2) for t in row]
-    found = [np.frombuffer(p, "<i4") for p in left["postings"].to_pylist()]
-    offsets = left["off"].to_numpy()
-    row = np.repeat(np.arange(left.num_rows), [len(p) for p in found])
-    start = np.concatenate(found).astype(np.int64) - offsets[row]
     lens = (terms != -3).sum(axis=1)
-    want = terms[row]
-    ok = np.ones(len(row), bool)
-    close = np.zeros(len(row), np.int32)
-    for k in range(window):
-        used = want[:, k] != -3
-        here = np.zeros(len(row), bool)
-        for d in (0, *(s * j for j in range(1, slop + 1) for s in (1, -1))):
-            here |= term_at[start + k + d] == want[:, k]
-            if d == 0:
-                ok &= here | ~used
-        close += here & used
-    doc = np.searchsorted(base, start + offsets[row], "right") - 1  # by the rarest term: always inside
-    wid = left["wid"].to_numpy()[row]
-    near = ~ok & (close >= np.ceil(near_share * lens[row]))
+    need = np.ceil(near_share * lens).astype(np.int64)
+    shifts = np.arange(-slop, slop + 1)
+    offsets = left["off"].to_numpy()
+    n_found = pa.compute.binary_length(left["postings"]).to_numpy() // 4 * len(shifts)
+    ok_w, ok_start, near_w, near_doc = [], [], [], []
+    # the probes of a window stay together, so every start of it is looked at once
+    per_window = np.add.reduceat(n_found, first)
+    last = np.append(first[1:], left.num_rows)
+    for w0, n in bounded_runs(per_window, CANDIDATES, len(wid_of)):
+        lo, hi = first[w0], last[w0 + n - 1]
+        part = [np.frombuffer(p, "<i4").astype(np.int64) for p in left["postings"].slice(lo, hi - lo).to_pylist()]
+        probe = np.repeat(np.arange(lo, hi), [len(p) for p in part])
+        at = np.concatenate(part)
+        key = (w_of[probe] * size + at - offsets[probe])[:, None] + shifts
+        key, where = np.unique(key, return_index=True)
+        at = at[where // len(shifts)]  # a probe's place: always inside the document
+        w, start = key // size, key % size
+        exact, close = np.ones(len(key), bool), np.zeros(len(key), np.int64)
+        for k in range(window):
+            want = terms[w, k]
+            used = want != -3
+            here = term_at[start + k] == want
+            exact &= here | ~used
+            for d in shifts[shifts != 0]:
+                here |= term_at[start + k + d] == want
+            close += here & used
+            alive = close + np.maximum(lens[w] - k - 1, 0) >= need[w]
+            alive |= exact
+            if not alive.all():
+                w, start, at, exact, close = w[alive], start[alive], at[alive], exact[alive], close[alive]
+        ok_w.append(w[exact])
+        ok_start.append(start[exact])
+        near_w.append(w[~exact])
+        near_doc.append(np.searchsorted(base, at[~exact], "right") - 1)
+    ok_w, ok_start, near_w, near_doc = map(np.concatenate, (ok_w, ok_start, near_w, near_doc))
+    ok_doc = np.searchsorted(base, ok_start, "right") - 1
 
     cover = np.zeros(size + 1, np.int32)
-    np.add.at(cover, start[ok], 1)
-    np.subtract.at(cover, start[ok] + lens[row[ok]], 1)
+    np.add.at(cover, ok_start, 1)
+    np.subtract.at(cover, ok_start + lens[ok_w], 1)
     hit = np.flatnonzero(np.cumsum(cover) > 0)
     n_hit = np.bincount(np.searchsorted(base, hit, "right") - 1, minlength=len(base))
 
-    def by_doc(mask: np.ndarray) -> dict[int, list[int]]:
+    def by_doc(doc: np.ndarray, w: np.ndarray) -> dict[int, list[int]]:
         out: dict[int, list[int]] = {}
-        for d, w in np.unique(np.stack([doc[mask], wid[mask]], axis=1), axis=0).tolist():
-            out.setdefault(d, []).append(w)
+        for d, i in np.unique(np.stack([doc, wid_of[w]], axis=1), axis=0).tolist():
+            out.setdefault(d, []).append(i)
         return out
 
-    exact, around = by_doc(ok), by_doc(near)
+    exact, around = by_doc(ok_doc, ok_w), by_doc(near_doc, near_w)
     docs = sorted({*exact, *around})
     if not docs:
         return empty
@@ -166,20 +188,23 @@ def search(index: DataFrame, windows: DataFrame, window: int = 10, gap: int = 16
            near_share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(matches, window_items). ``matches``: per document with a match its
     segment, ordinal, number of hit words, ids of the windows found as exact
-    phrases and of those found only in proximity (at least ``near_share`` of
-    the terms within ``slop`` positions of their place around an occurrence
-    of the rarest term). ``window_items``: (wid, item_id)."""
-    if gap < window + slop:
-        raise ValueError("gap must be at least window + slop")
+    phrases and of those found in proximity (at least ``near_share`` of the
+    terms within ``slop`` positions of their place, for some start; any of
+    the others may be missing). ``window_items``: (wid, item_id)."""
+    if gap < window + 2 * slop:
+        raise ValueError("gap must be at least window + 2 * slop")
     window_items = cut(windows.select(F.xxhash64(F.concat_ws(" ", "terms")).alias("wid"), "terms", "item_id"))
     distinct = window_items.select("wid", "terms").distinct()
     terms = cut(distinct.select(F.explode("terms").alias("term")).distinct())
     terms = broadcast_within(terms, MAX_BROADCAST_BYTES)
     postings = index.where("term IS NOT NULL").join(terms, "term", "left_semi")
     stats = postings.groupBy("term").agg(F.sum(F.col("tf").cast("long")).alias("total"))
-    rarest = (distinct.select("wid", "terms", F.posexplode("terms").alias("off", "term")).join(stats, "term")
-              .groupBy("wid").agg(F.min(F.struct("total", "off", "term")).alias("r"), F.first("terms").alias("terms"))
-              .select("wid", "terms", F.col("r.off").alias("off"), F.col("r.term").alias("term")))
+    # absent terms are the rarest: they use up a probe and find nothing
+    counted = F.struct(F.coalesce("total", F.lit(0)).alias("total"), "off", "term")
+    probes = F.size("terms") - F.ceil(F.lit(near_share) * F.size("terms")).cast("int") + 1
+    rarest = (distinct.select("wid", "terms", F.posexplode("terms").alias("off", "term")).join(stats, "term", "left")
+              .groupBy("wid").agg(F.array_sort(F.collect_list(counted)).alias("r"), F.first("terms").alias("terms"))
+              .select("wid", "terms", F.inline(F.slice("r", F.lit(1), probes))).where("total > 0").drop("total"))
     rarest = cut(rarest)
     by_term = broadcast_within(rarest, MAX_BROADCAST_BYTES)
     candidates = (index.where("term IS NOT NULL").select("seg", "term", "postings").join(by_term, "term")

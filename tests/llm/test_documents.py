@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on edge rows and on the
 given tables."""
 
+import math
 import random
 import zlib
 
@@ -133,6 +134,41 @@ def test_proximity(spark, ready, frame):
     assert (got[3]["contaminated"], got[3]["n_near_items"]) == (False, 0)
 
 
+def test_proximity_with_the_rarest_words_changed(spark, ready, frame):
+    words = bf.ITEM.split()[:10]
+    items = [(1, " ".join(words))]
+    texts = [(100 + i, " ".join(words[j] for j in range(10) if j not in (3, 7))) for i in range(5)]  # words 3 and 7 are the rarest
+    for n, gone in enumerate([(3,), (7,), (3, 7), (2, 3, 7)]):
+        texts.append((n, " ".join("edited" if j in gone else w for j, w in enumerate(words))))
+    texts += [(10, " ".join(words[3:4] + ["seldom"] + words[7:8]))]
+    got = {r["doc_id"]: r for r in decontam.contamination(frame(texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [got[n]["n_near_items"] for n in range(4)] == [1, 1, 1, 0] and got[10]["n_near_items"] == 0
+    assert not any(r["contaminated"] for r in got.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_proximity_against_every_start(spark, ready, frame, seed):
+    rng = np.random.default_rng(seed)
+    draw = lambda n: [f"w{i}" for i in rng.integers(0, 14, n)]
+    items = [(i, draw(int(rng.integers(1, 14)))) for i in range(12)]
+    texts = [(i, draw(int(rng.integers(0, 40)))) for i in range(25)]
+    want = {}
+    for t, w in texts:
+        near, exact = set(), set()
+        for i, v in items:
+            n = min(10, len(v))
+            for g in (v[j:j + n] for j in range(len(v) - n + 1)):
+                for s in range(-14, len(w) + 3):
+                    close = sum(any(0 <= s + k + d < len(w) and w[s + k + d] == x for d in range(-2, 3)) for k, x in enumerate(g))
+                    near |= {i} if close >= math.ceil(0.8 * n) else set()
+                    exact |= {i} if s >= 0 and w[s:s + n] == g else set()
+        want[t] = (len(exact), len(near - exact))
+    got = decontam.contamination(frame([(t, " ".join(w)) for t, w in texts]),
+                                 spark.createDataFrame([(i, " ".join(v)) for i, v in items], "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_items"], r["n_near_items"]) for r in got} == want
+    assert any(n for _, n in want.values())
+
+
 def test_doubled_first_word_is_no_match_before_the_segment(spark, ready, frame):
     words = bf.ITEM.split()[:9]
     item = " ".join([words[0], *words])
