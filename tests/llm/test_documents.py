@@ -305,6 +305,22 @@ def test_held_out_perplexity_beats_the_base(spark, ready):
     assert np.allclose(both.score_x, both.score_y, rtol=1e-9)
 
 
+def test_occurrences_of_a_hot_word_are_spread(spark, ready, frame, monkeypatch):
+    docs = frame([(i, "the " * 40 + bf.prose(6, i)) for i in range(60)]).repartition(12)
+    want = pitman_yor.score_documents(docs).toPandas()
+    monkeypatch.setattr(pitman_yor, "GROUP_BYTES", 500)
+    entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 4).localCheckpoint()
+    asked, models = pitman_yor._scoring_groups(entries, pitman_yor.train(entries).counts)
+    sizes = asked.groupBy("bucket", "salt").count().toPandas()
+    hot = asked.selectExpr("bucket", "octet_length(occ) n").groupBy("bucket").sum("n").toPandas().set_index("bucket")["sum(n)"].idxmax()
+    assert asked.count() == entries.where("bucket >= 0").count()
+    assert sizes[sizes.bucket == hot]["count"].max() <= 0.6 * sizes[sizes.bucket == hot]["count"].sum()
+    assert models.groupBy("bucket", "salt").count().where("count > 1").count() == 0
+    got = pitman_yor.score_documents(docs).toPandas()
+    both = want.merge(got, on="doc_id")
+    assert len(both) == 60 and np.allclose(both.score_x, both.score_y, rtol=1e-9) and (both.n_known_x == both.n_known_y).all()
+
+
 def test_probabilities_add_up(spark, ready, frame):
     docs = frame([(i, bf.prose(30 + i, i)) for i in range(40)])
     entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 1)
