@@ -165,7 +165,7 @@ def token_feed(docs: DataFrame) -> list[tuple[str, DataFrame]]:
     the next tokenizer version where that differs, and exact copies of an
     earlier document are taken down."""
     counts = materialize(docs.select(
-        "doc_id", "source", "lang", F.md5("text").alias("h"),
+        "doc_id", "source", "lang", F.coalesce(F.md5("text"), F.lit("")).alias("h"),  # NULL texts are copies of one another
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_SPACE_WORD)).cast("long").alias("v1"),
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_PIECE_WORD)).cast("long").alias("v2")), "token-counts")
     keys = [F.col("source"), F.col("lang")]

@@ -228,3 +228,9 @@ def test_query_matches_sql(spark, ready, name):
     assert sorted(df.columns) == names
     got = sorted((tuple(norm(x) for x in r) for r in df.select(*names).collect()), key=repr)
     assert got == want and got
+
+
+def test_null_texts_are_copies_of_one_another(spark, ready, frame):
+    docs = frame([(1, None), (4, ""), (2, "a b"), (7, None), (5, ""), (3, "a b"), (9, None)])
+    got = queries.op1(lambda name: docs).select("source", "tokenizer", "n_docs", "n_tokens").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, "words-1", 1, 0), ("a", "words-1", 1, 0), ("b", "words-1", 1, 2)], key=repr)
