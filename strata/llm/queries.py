@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, licenses, mixing, pitman_yor, quality, rollup, simhash, tokenids, warc
+from strata.llm import audit, chat, decontam, licenses, mixing, pitman_yor, quality, rollup, simhash, tokenids, urlfilter, warc, whitening
 from strata.llm.common import cut, materialize, prepare, shared_path
 
 # DuckDB: lower-case A-Z only, and the word pattern of digits, letters, non-ASCII
@@ -301,3 +301,64 @@ def op7(table) -> DataFrame:
     """Every tool call of the conversations, linked, ordered, validated and
     written as canonical JSON."""
     return chat.link_calls(*tool_turns(table("conversations")), CHAT_TOOLS)
+
+
+# Production rules (host, path, verdict), and the words that list a host.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+SPAM_WORDS = ("pills", "casino", "viagra", "poker", "loans")
+THIN_HTML = 700  # characters
+
+
+@query("op11_url_filters", f"""
+WITH u AS (SELECT page_id, length(coalesce(html, '')) AS n, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+a AS (SELECT page_id, n, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(h, p, v) AS (VALUES {", ".join(map(str, URL_RULES))}),
+fit AS (SELECT host, path, arg_max(h || p, length(h || p) * 1000 + length(h)) AS rule, arg_max(v, length(h || p) * 1000 + length(h)) AS v
+  FROM (SELECT DISTINCT host, path FROM a) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL),
+thin AS (SELECT host, path, max(n) < {THIN_HTML} AS thin FROM a GROUP BY ALL)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN v WHEN spam OR thin THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NOT NULL THEN 'rule' WHEN spam THEN 'host' WHEN thin THEN 'page' ELSE 'none' END AS reason
+FROM (SELECT a.*, rule, v, thin, regexp_matches(host, '{"|".join(SPAM_WORDS)}') AS spam FROM a JOIN thin USING (host, path) LEFT JOIN fit USING (host, path))""")
+def op11(table) -> DataFrame:
+    """Verdict on every page's URL: rules, then hosts with a spam word in
+    their name, then addresses that only ever served a thin page."""
+    pages = table("pages")
+    rules = pages.sparkSession.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    sized = urlfilter.addresses(pages.select("page_id", "url", F.length(F.coalesce("html", F.lit(""))).alias("n_html")), "page_id", "url", "n_html")
+    sized = cut(sized.groupBy("host", "path").agg(F.max("n_html").alias("n_html")))
+    hosts = sized.where(F.col("host").rlike("|".join(SPAM_WORDS))).select("host").distinct()
+    return urlfilter.filter_urls(pages, rules, hosts, sized.where(F.col("n_html") < THIN_HTML).select("host", "path"))
+
+
+@query("op12_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+  || CASE WHEN coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) THEN 'E' ELSE '' END AS fails FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+c(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM c a, c b, c, c d, c e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, i AS step, substr(filter_order, i, 1) AS filter, substr(filter_order, 1, i - 1) AS prior FROM o, range(1, 6) r(i)),
+x AS (SELECT m.*, s.*, contains(fails, filter) AS it, translate(fails, prior, '') <> fails AS gone FROM m, s),
+g AS (SELECT part, filter_order, step, filter, CAST(sum(CASE WHEN NOT it AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN it AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN it AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN fails = filter THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN it AND NOT gone AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN it AND NOT gone AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM g""")
+def op12(table) -> DataFrame:
+    """What each of five filters does at each step of each order, by language."""
+    return audit.audit(table("documents"), table("labels"))
+
+
+@query("op13_embedding_whitening")
+def op13(table) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.by_component(whitening.whiten(table("embeddings")))
