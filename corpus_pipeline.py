@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is
 written as Parquet into the shared folder and read again as the next stage's
 ``docs``. All stages but the last return the columns of ``documents``.
+
+Every decision is taken by row. NULL, empty and very short texts go in the
+first stage; rows without an id, and rows that share one, are judged like any
+other and have their own row in the result; of equal texts one row stays; an
+empty table gives no rows; more columns, of any name, travel along.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontam, mixing, quality, simhash, tokenids
-from strata.llm.common import materialize, prepare
+from strata.llm.common import materialize, prepare, stored_order
 from strata.llm.queries import MIX_BLOCK, MIX_OTHER, MIX_SHARES, token_digest, tokenizer_file
 
 
@@ -35,19 +40,17 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: the written files follow one
-    another by slot. The order is a function of the documents, so the next
-    stage gets the same one."""
+    another by slot."""
     prepare(spark)
     return mixing.mixed(docs, MIX_SHARES, MIX_OTHER, MIX_BLOCK)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in mix order, read back through the key index: doc_id,
-    start, n_tokens, ids_crc32."""
+    """Token ids in the stored order of ``docs`` (that of the mix), read back
+    through the key index: doc_id, start, n_tokens, ids_crc32."""
     prepare(spark)
-    ranked = mixing.mix_order(docs, MIX_SHARES, MIX_OTHER, MIX_BLOCK)
-    store = tokenids.write(ranked, tokenizer_file("word_bpe_49k.json"), order_by=mixing.ORDER)
-    return token_digest(store, docs.select("doc_id"))
+    ordered, order = stored_order(docs)
+    return token_digest(tokenids.write(ordered, tokenizer_file("word_bpe_49k.json"), order_by=order), docs)
 
 
 STAGES = [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import inspect
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -64,6 +65,14 @@ def broadcast_within(df: DataFrame, max_bytes: int) -> DataFrame:
     return F.broadcast(df) if measured <= max_bytes else df
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def frees_memory(run: Callable) -> Callable:
     """A ``mapInArrow`` function that gives the memory of its batches back to
     the system when the task ends: Python workers live on, and what their
@@ -72,15 +81,62 @@ def frees_memory(run: Callable) -> Callable:
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # not glibc
-            pass
+        _give_back()
 
     return wrapped
 
 
+def frees_after(run: Callable) -> Callable:
+    """The same for a function on the rows of a group, or of two groups."""
+
+    def one(t: pa.Table) -> pa.Table:
+        out = run(t)
+        _give_back()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        _give_back()
+        return out
+
+    return one if len(inspect.signature(run).parameters) == 1 else two
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with two more columns that tell its rows apart, also equal
+    ones, and are the same in every read: hash of the file, place in the file.
+    A frame that is not a plain read of files is stored first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = materialize(docs, "rows")
+    names = fresh_names(docs, "row_file", "row_index")
+    meta = docs.metadataColumn("_metadata")
+    return docs.select("*", F.xxhash64(meta["file_path"]).alias(names[0]), meta["row_index"].alias(names[1])), names
+
+
+def stored_order(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with three more columns that sort its rows as they are stored:
+    number of the part file, path, place in the file. A frame that is not a
+    plain read of files is stored first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = materialize(docs, "rows")
+    names = fresh_names(docs, "row_part", "row_path", "row_index")
+    meta = docs.metadataColumn("_metadata")
+    part = F.try_to_number(F.nullif(F.regexp_extract(meta["file_name"], r"part-(\d{1,9})", 1), F.lit("")), F.lit("999999999")).cast("long")
+    return docs.select("*", part.alias(names[0]), meta["file_path"].alias(names[1]), meta["row_index"].alias(names[2])), names
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8 bytes of a text; NULL is the empty text."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

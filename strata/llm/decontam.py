@@ -22,24 +22,26 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut, frees_memory, materialize
+from strata.llm.common import batch_words, bounded_runs, broadcast_within, cut, frees_after, frees_memory, materialize, row_keys
 
 # Word bytes: digits, letters and all of non-ASCII UTF-8.
 _IN_WORD = np.array([chr(b).isalnum() if b < 0x80 else True for b in range(256)])
 
 SEGMENT_BYTES = 12 << 20  # above the batch size: a batch is a segment, unless one text is longer
 MAX_BROADCAST_BYTES = 32 << 20
-CANDIDATES = 1 << 20  # looked at together
-INDEX = "seg long, term string, tf int, postings binary, doc_ids array<long>, n_words array<int>"
+CANDIDATES = 1 << 18  # looked at together
+# ids: of the documents of a segment, by column
+_KEYS = "ids array<array<long>>"
+INDEX = f"seg long, term string, tf int, postings binary, {_KEYS}, n_words array<int>"
 _INDEX_ARROW = pa.schema([("seg", pa.int64()), ("term", pa.string()), ("tf", pa.int32()), ("postings", pa.binary()),
-                          ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32()))])
+                          ("ids", pa.list_(pa.list_(pa.int64()))), ("n_words", pa.list_(pa.int32()))])
 
 
-def _segment(seg: int, ids: pa.Array, texts: pa.Array, gap: int) -> Iterator[pa.RecordBatch]:
+def _segment(seg: int, ids: list[pa.Array], texts: pa.Array, gap: int) -> Iterator[pa.RecordBatch]:
     per_text, words = batch_words(texts, _IN_WORD)
     yield pa.RecordBatch.from_arrays(
         [pa.array([seg], pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-         pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([per_text.tolist()], pa.list_(pa.int32()))],
+         pa.array([[c.to_pylist() for c in ids]], _INDEX_ARROW.field("ids").type), pa.array([per_text.tolist()], pa.list_(pa.int32()))],
         schema=_INDEX_ARROW)
     codes = words.indices.to_numpy(zero_copy_only=False)
     if not len(codes):
@@ -51,26 +53,26 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array, gap: int) -> Iterator[pa.
     postings = pa.Array.from_buffers(pa.binary(), len(tf), [None, pa.py_buffer(at), pa.py_buffer(blob)])
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(tf), seg)), words.dictionary.cast(pa.string()), pa.array(tf, pa.int32()), postings,
-         pa.nulls(len(tf), pa.list_(pa.int64())), pa.nulls(len(tf), pa.list_(pa.int32()))], schema=_INDEX_ARROW)
+         pa.nulls(len(tf), _INDEX_ARROW.field("ids").type), pa.nulls(len(tf), pa.list_(pa.int32()))], schema=_INDEX_ARROW)
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gap: int = 16) -> DataFrame:
+def build_index(docs: DataFrame, keys: list[str], text_col: str = "text", gap: int = 16) -> DataFrame:
     """The stored positional index of ``docs`` (``INDEX`` columns). A row
     with a NULL term is a segment's directory: its documents in order with
-    their word counts. Document k of a segment (from 0) starts at position
+    the columns ``keys`` (longs) and their word counts. Document k of a segment (from 0) starts at position
     (words of the documents before it) + (k + 1) * gap, so no window crosses
     documents or begins before position 0."""
-    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    src = docs.select(*[docs[k].cast("long").alias(f"k{i}") for i, k in enumerate(keys)], docs[text_col].cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         seg = TaskContext.get().partitionId() << 32
         for b in batches:
-            sizes = pa.compute.binary_length(b.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+            sizes = pa.compute.binary_length(b.columns[-1]).fill_null(0).to_numpy(zero_copy_only=False)
             for first, n in bounded_runs(sizes, SEGMENT_BYTES, 1 << 16):
                 part = b.slice(first, n)
-                yield from _segment(seg, part.column(0), part.column(1), gap)
+                yield from _segment(seg, part.columns[:-1], part.columns[-1], gap)
                 seg += 1
 
     return materialize(src.mapInArrow(frees_memory(run), INDEX), "postings")
@@ -115,9 +117,10 @@ def _intersect(left: pa.Table, right: pa.Table, window: int, gap: int, slop: int
     size = int(n_words.sum()) + (len(n_words) + 2) * gap
     lists = right.filter(pa.compute.invert(is_dir)).combine_chunks()
     vocab = {t: i for i, t in enumerate(lists["term"].to_pylist())}
+    places = [np.frombuffer(p.as_buffer(), "<i4") for p in lists["postings"]]
     term_at = np.full(size, -1, np.int32)  # the postings, addressed by position
-    for i, p in enumerate(lists["postings"].to_pylist()):
-        term_at[np.frombuffer(p, "<i4")] = i
+    for i, p in enumerate(places):
+        term_at[p] = i
 
     left = left.sort_by("wid")
     wid_of, first, w_of = np.unique(left["wid"].to_numpy(), return_index=True, return_inverse=True)
@@ -128,16 +131,17 @@ def _intersect(left: pa.Table, right: pa.Table, window: int, gap: int, slop: int
     need = np.ceil(near_share * lens).astype(np.int64)
     shifts = np.arange(-slop, slop + 1)
     offsets = left["off"].to_numpy()
-    n_found = pa.compute.binary_length(left["postings"]).to_numpy() // 4 * len(shifts)
+    looked_up = terms[w_of, offsets]
+    n_found = np.array([len(p) for p in places])[looked_up] * len(shifts)
     ok_w, ok_start, near_w, near_doc = [], [], [], []
     # the probes of a window stay together, so every start of it is looked at once
     per_window = np.add.reduceat(n_found, first)
     last = np.append(first[1:], left.num_rows)
     for w0, n in bounded_runs(per_window, CANDIDATES, len(wid_of)):
         lo, hi = first[w0], last[w0 + n - 1]
-        part = [np.frombuffer(p, "<i4").astype(np.int64) for p in left["postings"].slice(lo, hi - lo).to_pylist()]
+        part = [places[t] for t in looked_up[lo:hi]]
         probe = np.repeat(np.arange(lo, hi), [len(p) for p in part])
-        at = np.concatenate(part)
+        at = np.concatenate(part).astype(np.int64)
         key = (w_of[probe] * size + at - offsets[probe])[:, None] + shifts
         key, where = np.unique(key, return_index=True)
         at = at[where // len(shifts)]  # a probe's place: always inside the document
@@ -207,8 +211,8 @@ def search(index: DataFrame, windows: DataFrame, window: int = 10, gap: int = 16
               .select("wid", "terms", F.inline(F.slice("r", F.lit(1), probes))).where("total > 0").drop("total"))
     rarest = cut(rarest)
     by_term = broadcast_within(rarest, MAX_BROADCAST_BYTES)
-    candidates = (index.where("term IS NOT NULL").select("seg", "term", "postings").join(by_term, "term")
-                  .select("seg", "wid", "terms", "off", "postings"))
+    # the postings of every benchmark term reach the segment once, in lists
+    candidates = index.where("term IS NOT NULL").select("seg", "term").join(by_term, "term").select("seg", "wid", "terms", "off")
     directory = index.where("term IS NULL").select("seg", "term", "postings", "n_words")
     lists = postings.select("seg", "term", "postings", F.lit(None).cast("array<int>").alias("n_words"))
 
@@ -216,7 +220,7 @@ def search(index: DataFrame, windows: DataFrame, window: int = 10, gap: int = 16
         return _intersect(left, right, window, gap, slop, near_share)
 
     right = directory.unionAll(lists).toDF("seg", "term", "postings", "n_words")
-    matches = candidates.groupBy("seg").cogroup(right.groupBy("seg")).applyInArrow(per_segment, MATCHES)
+    matches = candidates.groupBy("seg").cogroup(right.groupBy("seg")).applyInArrow(frees_after(per_segment), MATCHES)
     return cut(matches), window_items.select("wid", "item_id")
 
 
@@ -232,7 +236,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     rows give repeated results; an empty benchmark leaves every document
     clean; an empty table gives no rows; other columns are not read.
     """
-    index = build_index(docs, id_col, text_col)
+    index = build_index(docs, [id_col], text_col)
     matches, window_items = search(index, item_windows(items, item_col, item_text_col, window), window)
 
     def items_of(col: str, out: str) -> DataFrame:
@@ -241,20 +245,31 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     hits = (matches.select("seg", "ord", "n_hit").join(items_of("wids", "items"), ["seg", "ord"], "left")
             .join(items_of("near", "near_items"), ["seg", "ord"], "left"))
-    everyone = index.where("term IS NULL").select("seg", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ord", "d"))
+    everyone = index.where("term IS NULL").select("seg", F.posexplode(F.arrays_zip(F.col("ids")[0].alias("id"), "n_words")).alias("ord", "d"))
     none = F.array().cast("array<string>")
     items_col, near_col = F.coalesce("items", none), F.coalesce("near_items", none)
     return everyone.join(hits, ["seg", "ord"], "left").select(
-        F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").cast("long").alias("n_words"),
+        F.col("d.id").alias("doc_id"), F.col("d.n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_col).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_col, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.size(F.array_except(near_col, items_col)).cast("long").alias("n_near_items"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      window: int = 10) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window; rows with a NULL id
-    stay (their ids cannot be matched)."""
-    bad = contamination(docs, items, id_col, text_col, window=window).where("contaminated").select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(cut(bad), F.col("__bad_id") == docs[id_col].cast("long"), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", window: int = 10) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window.
+
+    The decision is taken by row, whatever its id: contaminated rows go also
+    when their id is NULL, and clean rows stay also when another row of their
+    id goes. NULL and empty texts stay; all copies of a contaminated text go;
+    other columns may have any name; an empty table stays empty, an empty
+    benchmark keeps all.
+    """
+    docs, keys = row_keys(docs)
+    index = build_index(docs, keys, text_col)
+    matches, _ = search(index, item_windows(items, item_col, item_text_col, window), window, slop=0, near_share=1.0)
+    hit = matches.where("n_hit > 0").select("seg", "ord")
+    everyone = index.where("term IS NULL").select("seg", F.posexplode(F.arrays_zip(F.col("ids")[0].alias("f"), F.col("ids")[1].alias("r"))).alias("ord", "d"))
+    bad = everyone.join(hit, ["seg", "ord"], "left_semi").select(F.col("d.f").alias(keys[0]), F.col("d.r").alias(keys[1]))
+    return docs.join(materialize(bad, "contaminated"), keys, "left_anti").drop(*keys)

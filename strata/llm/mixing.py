@@ -19,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import fresh_names, materialize, row_keys
 
 MAX_PERIOD = 100_000
-ORDER = ["__mix_slot", "__mix_before"]
 
 
 def period_schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
@@ -45,10 +44,11 @@ def period_schedule(shares: list[int]) -> list[tuple[int, int, int, int, int]]:
 
 
 def schedule(docs: DataFrame, shares: dict[str, int], other_share: int, block_size: int, id_col: str = "doc_id",
-             source_col: str = "source", text_col: str | None = "text") -> DataFrame:
+             source_col: str = "source", text_col: str | None = "text", carry: list[str] | None = None) -> DataFrame:
     """One row per input row: doc_id, source, size, before (size of the
-    source's rows before it), block, release, deadline, slot. Ordering by
-    (slot, before, doc_id) interleaves the sources.
+    source's rows before it), block, release, deadline, slot, and the columns
+    named in ``carry``. Ordering by (slot, before, doc_id) interleaves the
+    sources.
 
     ``size`` is the number of characters of the text (NULL: 0), or 1 a row
     without ``text_col``. Sources not named in ``shares``, and NULL, form one
@@ -59,6 +59,7 @@ def schedule(docs: DataFrame, shares: dict[str, int], other_share: int, block_si
     totals meet.
     """
     spark = docs.sparkSession
+    carry = carry or []
     names = sorted(shares)
     weights = [shares[n] for n in names] + [other_share]
     n_other, total = len(names), sum(weights)
@@ -69,10 +70,13 @@ def schedule(docs: DataFrame, shares: dict[str, int], other_share: int, block_si
         cls = F.coalesce(F.try_element_at(known, source), F.lit(n_other))
     size = F.lit(1) if text_col is None else F.coalesce(F.length(docs[text_col].cast("string")), F.lit(0))
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), source.alias("source"), cls.alias("cls"),
-                         size.cast("long").alias("size"))
+                         size.cast("long").alias("size"), *[docs[c].alias(f"c{i}") for i, c in enumerate(carry)])
+    narrow = materialize(narrow, "mix-sizes")  # the texts are read once for their sizes
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = narrow.repartitionByRange(n_parts, "cls", "doc_id", "size").sortWithinPartitions("cls", "doc_id", "size")
 
+    columns = [*narrow.columns, "pid", "before"]
+
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -87,10 +91,11 @@ def schedule(docs: DataFrame, shares: dict[str, int], other_share: int, block_si
                 seen += s
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([pid] * b.num_rows, pa.int32()), pa.array(before, pa.int64())],
-                ["doc_id", "source", "cls", "size", "pid", "before"])
+                columns)
 
     # the pieces are stored once: offsets and rows must see the same ranges
-    pieces = cut(ranged.mapInArrow(running, "doc_id long, source string, cls int, size long, pid int, before long"))
+    kinds = ", ".join(f"{c} {k}" for c, k in narrow.dtypes)
+    pieces = materialize(ranged.mapInArrow(running, f"{kinds}, pid int, before long"), "mix-pieces")
     by_class = Window.partitionBy("cls").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (pieces.groupBy("cls", "pid").agg(F.sum("size").alias("total"))
                .select("cls", "pid", F.coalesce(F.sum("total").over(by_class), F.lit(0)).alias("offset")))
@@ -100,29 +105,33 @@ def schedule(docs: DataFrame, shares: dict[str, int], other_share: int, block_si
     before = F.col("offset") + F.col("before")
     share_of = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), F.col("cls") + 1)
     placed = (pieces.join(offsets, ["cls", "pid"])
-              .select("doc_id", "source", "cls", "size", before.alias("before"), share_of.alias("share"))
+              .select("doc_id", "source", "cls", "size", before.alias("before"), share_of.alias("share"), *narrow.columns[4:])
               .withColumn("block", F.expr(f"before div {int(block_size)}"))
               .withColumns({"k": F.expr("block % share"), "turn": F.expr(f"(block div share) * {total}")}))
     return placed.join(F.broadcast(period), ["cls", "k"]).select(
         "doc_id", "source", "size", "before", "block", (F.col("turn") + F.col("r")).alias("release"),
-        (F.col("turn") + F.col("d")).alias("deadline"), (F.col("turn") + F.col("s")).alias("slot"))
-
-
-def mix_order(docs: DataFrame, shares: dict[str, int], other_share: int, block_size: int, id_col: str = "doc_id",
-              source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` with columns ``__mix_slot``, ``__mix_before``: one place per distinct
-    id (rows of the same id share it)."""
-    placed = schedule(docs, shares, other_share, block_size, id_col, source_col, text_col)
-    first = placed.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.min(F.struct("slot", "before")).alias("p")).select(
-        "__mix_id", F.col("p.slot").alias("__mix_slot"), F.col("p.before").alias("__mix_before"))
-    return docs.join(cut(first), docs[id_col].cast("long").eqNullSafe(F.col("__mix_id")), "left").drop("__mix_id")
+        (F.col("turn") + F.col("d")).alias("deadline"), (F.col("turn") + F.col("s")).alias("slot"),
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])
 
 
 def mixed(docs: DataFrame, shares: dict[str, int], other_share: int, block_size: int, id_col: str = "doc_id",
           source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, range-partitioned and sorted in mix
-    order, so the written files follow one another in that order."""
-    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [*ORDER, id_col]
-    ranked = mix_order(docs, shares, other_share, block_size, id_col, source_col, text_col)
-    return ranked.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).drop(*ORDER)
+    """All rows and columns of ``docs`` in mix order: the partitions follow
+    one another by (slot, size before, id), so do the written files.
+
+    Every row has its own place, also rows that share an id or have none, and
+    equal rows follow one another. NULL texts have size 0; sources as in
+    ``schedule``; other columns may have any name; an empty table stays empty.
+    The places are cut into partitions of equal size while they are narrow, so
+    the texts move once and no sample of them is taken.
+    """
+    spark = docs.sparkSession
+    docs, keys = row_keys(docs)
+    order = fresh_names(docs, "mix_slot", "mix_before", "mix_part")
+    placed = schedule(docs, shares, other_share, block_size, id_col, source_col, text_col, keys)
+    placed = placed.select(*keys, F.col("slot").alias(order[0]), F.col("before").alias(order[1]), F.col("doc_id").alias("id"))
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = placed.repartitionByRange(n_parts, *order[:2], "id", *keys)
+    placed = materialize(ranged.withColumn(order[2], F.spark_partition_id()).drop("id"), "mix-places")
+    out = docs.join(placed, keys).repartitionById(n_parts, order[2])
+    return out.sortWithinPartitions(*order[:2], id_col, *keys).drop(*order, *keys)

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import WHITESPACE, frees_memory, text_bytes
@@ -152,14 +153,20 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: RepetitionRules | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns unchanged. The
-    texts are judged in the same pass; no join back is needed."""
+    """The rows of ``docs`` that the rules keep, all columns unchanged. Only
+    the text goes to Python and only the verdict comes back.
+
+    NULL, empty and short texts go (fewer than 20 words); each row is judged
+    alone, so ties, repeated rows and NULL ids play no part; any other columns
+    may have any name; an empty table stays empty.
+    """
     rules = rules or RepetitionRules()
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = pa.array([measure_text(t.as_py(), rules)[6] for t in b.column(at)], pa.bool_())
-            yield b.filter(kept)
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def verdicts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for b in batches:
+                yield pa.array([measure_text(t.as_py(), rules)[6] for t in b], pa.bool_())
+
+        return frees_memory(verdicts)(texts)
 
-    return docs.mapInArrow(frees_memory(run), docs.schema)
+    return docs.where(F.arrow_udf(judge, "boolean")(docs[text_col].cast("string")))

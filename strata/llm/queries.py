@@ -96,16 +96,16 @@ def op8(table) -> DataFrame:
     return mixing.schedule(table("documents"), MIX_SHARES, MIX_OTHER, MIX_BLOCK)
 
 
-def token_digest(store: tokenids.Store, keys: DataFrame) -> DataFrame:
-    """Start, length and CRC-32 of the ids read back for ``keys``."""
-    return tokenids.fetch(store, keys).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+def token_digest(store: tokenids.Store, docs: DataFrame) -> DataFrame:
+    """Start, length and CRC-32 of the ids read back for every row of ``docs``."""
+    return tokenids.fetch(store, tokenids.all_keys(docs), occurrence_col="occurrence").select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @query("op10_token_ids")
 def op10(table) -> DataFrame:
     """Every document's ids, written and read back through the index."""
     docs = table("documents")
-    return token_digest(tokenids.write(docs, tokenizer_file("word_bpe_49k.json")), docs.select("doc_id"))
+    return token_digest(tokenids.write(docs, tokenizer_file("word_bpe_49k.json")), docs)
 
 
 def _license_sql() -> str:
@@ -333,7 +333,8 @@ def op11(table) -> DataFrame:
 
 @query("op12_filter_audit", r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-
+]+') AS ws FROM d),
 l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
   CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END

@@ -22,10 +22,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, cut, frees_memory, text_bytes
+from strata.llm.common import ascii_lower, cut, frees_memory, materialize, row_keys, text_bytes
 from strata.llm.components import connected_components
 
 SEED = 42
@@ -51,19 +51,20 @@ def fingerprint(words: list[bytes], shingle: int = 3) -> int:
     return int(np.packbits(2 * count > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp long): the fingerprint of every whole text, A-Z lower-cased,
+def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3, **keys: Column) -> DataFrame:
+    """(keys, fp long): the fingerprint of every whole text, A-Z lower-cased,
     words are runs without white space, shingles counted with repeats. NULL
-    texts have no words."""
-    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    texts have no words. ``keys`` (long columns) are passed on."""
+    src = docs.select(*[c.cast("long").alias(k) for k, c in keys.items()], docs[text_col].cast("string").alias("text"))
+    names = [*keys, "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = [fingerprint(ascii_lower(text_bytes(t.as_py())).split(), shingle) for t in b.column(1)]
+            fp = [fingerprint(ascii_lower(text_bytes(t.as_py())).split(), shingle) for t in b.columns[-1]]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64())], ["id", "fp"])
+                [*b.columns[:-1], pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64())], names)
 
-    return src.mapInArrow(frees_memory(run), "id long, fp long")
+    return src.mapInArrow(frees_memory(run), ", ".join(f"{n} long" for n in names))
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -123,22 +124,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated rows give repeated results; an empty table gives no rows; other
     columns are not read.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, shingle))
-    nodes = cut(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("node")))
-    labels = connected_components(links(nodes, radius, pair_limit))
-    named = cut(nodes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
+    fps = cut(fingerprints(docs, text_col, shingle, id=docs[id_col]))
+    nodes = cut(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("first")))
+    named = nodes.join(groups(nodes.select("fp"), radius, pair_limit), "fp")
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = cut(named.join(least, "root").select("fp", "component_id"))
     return fps.join(named, "fp", "left").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def groups(fps: DataFrame, radius: int = 2, pair_limit: int = 32) -> DataFrame:
+    """(fp, root) for different fingerprints ``fps`` (fp): root is the same
+    for those that links within ``radius`` bits connect."""
+    labels = connected_components(links(fps.select(F.col("fp").alias("node"), "fp"), radius, pair_limit))
+    return fps.join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("root"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group; rows
-    with a NULL id are kept. A repeated id keeps one of its rows."""
-    found = cut(near_duplicates(docs, id_col, text_col, shingle, radius))
-    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__keep_id")).agg(F.count(F.lit(1)).alias("__copies"))
-    keep = cut(keep)
-    same = F.col("__keep_id") == docs[id_col].cast("long")
-    once = docs.join(keep.where("__copies = 1"), same, "left_semi")
-    again = docs.join(keep.where("__copies > 1"), same, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.where(docs[id_col].isNull()))
+    """One row of each near-duplicate group of ``docs``: that of the smallest
+    id (NULL ids after all others); of several such rows one.
+
+    The decision is taken by row, so rows that share an id but not a text are
+    judged apart, and rows with a NULL id are grouped like any other. Texts
+    without a word (also NULL) are one group; other columns may have any name;
+    an empty table stays empty.
+    """
+    docs, keys = row_keys(docs)
+    fps = cut(fingerprints(docs, text_col, shingle, id=docs[id_col], f=docs[keys[0]], r=docs[keys[1]]))
+    rank = F.struct(F.col("id").isNull().alias("last"), "id", "f", "r")
+    nodes = cut(fps.groupBy("fp").agg(F.min(rank).alias("best")))
+    best = nodes.join(groups(nodes.select("fp"), radius), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    keep = materialize(best.select(F.col("best.f").alias(keys[0]), F.col("best.r").alias(keys[1])), "simhash-keep")
+    return docs.join(keep, keys, "left_semi").drop(*keys)

@@ -11,6 +11,8 @@ committed writers, so a lost executor leaves no half shard):
   (a cascade of bit maps: keys alone at their place stay, the rest go to the
   next level; the rank of the bit is the slot), and per slot a stored 32-bit
   fingerprint of the key, the shard, the offset in the shard and the length.
+  A key is an id and an occurrence: 0 for the first document with that id in
+  the write order, 1 for the second; documents without an id count too.
 
 A key is found by hashing: bucket, slot, fingerprint check, then one slice of
 one payload; its cost does not depend on the number of documents. A key that
@@ -29,10 +31,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, frees_memory, shared_path, text_bytes
+from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, cut, frees_after, frees_memory, shared_path, text_bytes
 
 SHARD_IDS = 1 << 20
 BUCKET_KEYS = 20_000
@@ -146,7 +148,10 @@ def encoder(path: str) -> Encoder:
 
 # -- minimal perfect hash ---------------------------------------------------
 
-def _mix(keys: np.ndarray, salt: int) -> np.ndarray:
+def _mix(keys: np.ndarray, salt: int, more: np.ndarray | None = None) -> np.ndarray:
+    """Hash of 64-bit keys, or of pairs; every salt hashes anew."""
+    if more is not None:
+        keys = keys.astype(np.uint64) ^ _mix(more, salt ^ 0x5BD1E995)
     x = keys.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & 0xFFFFFFFFFFFFFFFF)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -156,13 +161,14 @@ def _mix(keys: np.ndarray, salt: int) -> np.ndarray:
 _FINGER = 1 << 20  # a salt no level uses
 
 
-def mph_build(keys: np.ndarray) -> tuple[bytes, bytes]:
-    """(level sizes, bits) of a minimal perfect hash of different 64-bit
-    keys; both empty for no keys."""
-    sizes, maps, left, level = [], [], keys, 0
+def mph_build(keys: np.ndarray, more: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """(level sizes, bits) of a minimal perfect hash of different 64-bit keys
+    (or pairs of ``keys`` and ``more``); both empty for no keys."""
+    more = np.zeros(len(keys), np.uint64) if more is None else more
+    sizes, maps, left, level = [], [], np.arange(len(keys)), 0
     while len(left):
         m = max(8, -(-2 * len(left) // 8) * 8)
-        at = (_mix(left, level) % np.uint64(m)).astype(np.int64)
+        at = (_mix(keys[left], level, more[left]) % np.uint64(m)).astype(np.int64)
         alone = np.bincount(at, minlength=m) == 1
         sizes.append(m)
         maps.append(np.packbits(alone, bitorder="little"))
@@ -170,9 +176,10 @@ def mph_build(keys: np.ndarray) -> tuple[bytes, bytes]:
     return np.array(sizes, "<u4").tobytes(), b"".join(x.tobytes() for x in maps)
 
 
-def mph_slots(keys: np.ndarray, sizes: bytes, bits: bytes) -> np.ndarray:
+def mph_slots(keys: np.ndarray, sizes: bytes, bits: bytes, more: np.ndarray | None = None) -> np.ndarray:
     """The slot of each key, 0 .. n - 1 without gaps for the built keys; -1
     for a key that no level holds (never a built one)."""
+    more = np.zeros(len(keys), np.uint64) if more is None else more
     out = np.full(len(keys), -1, np.int64)
     left = np.arange(len(keys))
     below = at_byte = 0
@@ -181,7 +188,7 @@ def mph_slots(keys: np.ndarray, sizes: bytes, bits: bytes) -> np.ndarray:
             break
         flags = np.unpackbits(np.frombuffer(bits, np.uint8, m // 8, at_byte), bitorder="little")
         rank = np.cumsum(flags, dtype=np.int64)
-        at = (_mix(keys[left], level) % np.uint64(m)).astype(np.int64)
+        at = (_mix(keys[left], level, more[left]) % np.uint64(m)).astype(np.int64)
         here = flags[at] == 1
         out[left[here]] = below + rank[at[here]] - 1
         left = left[~here]
@@ -190,9 +197,9 @@ def mph_slots(keys: np.ndarray, sizes: bytes, bits: bytes) -> np.ndarray:
     return out
 
 
-def finger(keys: np.ndarray) -> np.ndarray:
+def finger(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
     """Stored 32-bit fingerprints."""
-    return (_mix(keys, _FINGER) >> np.uint64(32)).astype("<u4")
+    return (_mix(keys, _FINGER, more) >> np.uint64(32)).astype("<u4")
 
 
 # -- writing ----------------------------------------------------------------
@@ -230,8 +237,9 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_i
     the key index.
 
     NULL and empty texts are the end id alone. Rows with a NULL id are written
-    (first, in id order) but have no key; of rows with the same id all are
-    written, the index points to the first one. An empty table gives empty
+    first in id order. Of rows with the same id, or without one, all are
+    written and have a key: the id and their occurrence in the write order
+    (rows with equal order columns go by text). An empty table gives empty
     tables. Only the id, the text and the order columns are read.
     """
     spark = docs.sparkSession
@@ -284,65 +292,109 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_i
 
     n_docs = written.agg(F.sum(F.size("doc_ids"))).head()[0] or 0
     buckets = max(1, -(-n_docs // BUCKET_KEYS))
-    entries = (written.select("shard", F.inline(F.arrays_zip("doc_ids", "offsets", "lengths"))).where("doc_ids IS NOT NULL")
-               .groupBy("doc_ids").agg(F.min(F.struct("shard", "offsets", "lengths")).alias("e"))
-               .select(F.pmod(F.xxhash64("doc_ids"), F.lit(buckets)).alias("bucket"), F.col("doc_ids").alias("key"), "e.*"))
+    entries = _occurrences(written.select("shard", F.inline(F.arrays_zip("doc_ids", "offsets", "lengths"))).withColumnRenamed("doc_ids", "id"))
+    entries = entries.select(*_key("id", "occurrence", buckets), "shard", "offsets", "lengths")
     schema = "bucket long, buckets long, sizes binary, bits binary, fingers binary, shards binary, offsets binary, lengths binary"
 
     def build(t: pa.Table) -> pa.Table:
-        key = t["key"].to_numpy().view(np.uint64)
-        sizes, bits = mph_build(key)
-        place = np.argsort(mph_slots(key, sizes, bits))
-        cols = [finger(key)[place].tobytes()] + [t[c].to_numpy()[place].astype("<i8").tobytes() for c in ("shard", "offsets", "lengths")]
+        key, more = (t[c].to_numpy().view(np.uint64) for c in ("key", "more"))
+        sizes, bits = mph_build(key, more)
+        place = np.argsort(mph_slots(key, sizes, bits, more))
+        cols = [finger(key, more)[place].tobytes()] + [t[c].to_numpy()[place].astype("<i8").tobytes() for c in ("shard", "offsets", "lengths")]
         values = [t["bucket"][0].as_py(), buckets, sizes, bits, *cols]
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
         return pa.table([pa.array([v], k) for v, k in zip(values, kinds)],
                         names=["bucket", "buckets", "sizes", "bits", "fingers", "shards", "offsets", "lengths"])
 
-    entries.groupBy("bucket").applyInArrow(build, schema).write.parquet(f"{root}/index")
+    entries.groupBy("bucket").applyInArrow(frees_after(build), schema).write.parquet(f"{root}/index")
     return open_store(spark, root)
 
 
+def _occurrences(entries: DataFrame) -> DataFrame:
+    """``entries`` (id, shard, offsets, ...) with the occurrence of their id.
+    Repeated ids (NULL among them) are numbered inside each shard and then
+    moved on by the counts of the shards before, so a hot one is spread."""
+    repeated = cut(entries.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"))
+    if repeated.isEmpty():
+        return entries.withColumn("occurrence", F.lit(0).cast("long"))
+    ids = repeated.select(F.col("id").alias("again"))
+    same = F.col("id").eqNullSafe(F.col("again"))
+    once = entries.join(ids, same, "left_anti").withColumn("occurrence", F.lit(0).cast("long"))
+    many = cut(entries.join(ids, same, "left_semi"))
+    earlier = Window.partitionBy("id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    per_shard = many.groupBy("id", "shard").agg(F.count(F.lit(1)).alias("n"))
+    per_shard = per_shard.select(F.col("id").alias("again"), F.col("shard").alias("in_shard"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    local = F.row_number().over(Window.partitionBy("id", "shard").orderBy("offsets")) - 1
+    many = many.withColumn("local", local).join(per_shard, same & (F.col("shard") == F.col("in_shard")))
+    return once.unionByName(many.withColumn("occurrence", (F.col("base") + F.col("local")).cast("long")).select(*once.columns))
+
+
+def _key(id_col: str, occurrence: str, buckets: int) -> list[Column]:
+    """(bucket, key, more): a pair of longs tells id and occurrence; a NULL
+    id takes the negative numbers."""
+    key = F.coalesce(id_col, F.lit(0).cast("long"))
+    more = F.when(F.col(id_col).isNull(), -1 - F.col(occurrence)).otherwise(F.col(occurrence))
+    return [F.pmod(F.xxhash64(key, more), F.lit(buckets)).alias("bucket"), key.alias("key"), more.alias("more")]
+
+
 # -- reading ----------------------------------------------------------------
 
-def locate(store: Store, keys: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """(doc_id, shard, offset, length) of the keys that the index holds;
-    unknown and NULL keys give no row, repeated keys repeated rows."""
+def all_keys(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, occurrence): one key for every row of ``docs``. Long runs of
+    a repeated id are counted out in pieces."""
+    piece = 1 << 16
+    counts = docs.groupBy(docs[id_col].cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
+    starts = counts.select("doc_id", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(piece))).alias("at"))
+    return starts.select("doc_id", F.explode(F.sequence("at", F.least(F.col("at") + piece, "n") - 1)).alias("occurrence"))
+
+
+def locate(store: Store, keys: DataFrame, key_col: str = "doc_id", occurrence_col: str | None = None) -> DataFrame:
+    """(doc_id, occurrence, copies, shard, offset, length) of the keys that
+    the index holds; ``copies`` tells how often a key was asked for. Unknown
+    keys give no row. Without ``occurrence_col`` the first document of each
+    id is meant, and NULL keys give no row."""
     buckets = (store.index.agg(F.max("buckets")).head() or [None])[0] or 1
-    wanted = keys.select(keys[key_col].cast("long").alias("key")).where("key IS NOT NULL")
-    wanted = wanted.select("key", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    occurrence = F.lit(0).cast("long") if occurrence_col is None else keys[occurrence_col].cast("long")
+    wanted = keys.select(keys[key_col].cast("long").alias("id"), occurrence.alias("occurrence"))
+    if occurrence_col is None:
+        wanted = wanted.where("id IS NOT NULL")
+    wanted = wanted.groupBy("id", "occurrence").agg(F.count(F.lit(1)).alias("copies"))
+    wanted = wanted.select("id", "occurrence", "copies", *_key("id", "occurrence", buckets))
+    names = ["doc_id", "occurrence", "copies", "shard", "offset", "length"]
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["doc_id", "shard", "offset", "length"]
         if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 4, names=names)
-        key = left["key"].to_numpy().view(np.uint64)
+            return pa.table([pa.array([], pa.int64())] * 6, names=names)
+        key, more = (left[c].to_numpy().view(np.uint64) for c in ("key", "more"))
         row = {c: right[c][0].as_py() for c in ("sizes", "bits", "fingers", "shards", "offsets", "lengths")}
-        slot = mph_slots(key, row["sizes"], row["bits"])
-        known = (slot >= 0) & (np.frombuffer(row["fingers"], "<u4")[slot] == finger(key))
+        slot = mph_slots(key, row["sizes"], row["bits"], more)
+        known = (slot >= 0) & (np.frombuffer(row["fingers"], "<u4")[slot] == finger(key, more))
         at = slot[known]
-        return pa.table([pa.array(key[known].view(np.int64)), *[pa.array(np.frombuffer(row[c], "<i8")[at]) for c in ("shards", "offsets", "lengths")]],
-                        names=names)
+        asked = left.filter(pa.array(known))
+        return pa.table([*[asked[c].combine_chunks() for c in ("id", "occurrence", "copies")],
+                         *[pa.array(np.frombuffer(row[c], "<i8")[at]) for c in ("shards", "offsets", "lengths")]], names=names)
 
     return wanted.groupBy("bucket").cogroup(store.index.groupBy("bucket")).applyInArrow(
-        find, "doc_id long, shard long, offset long, length long")
+        frees_after(find), ", ".join(f"{c} long" for c in names))
 
 
-def fetch(store: Store, keys: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """(doc_id, start, n_tokens, ids) for the keys that the index holds:
-    ids are little-endian unsigned 32-bit integers, read from the payload
-    shards; start counts the ids of all documents before."""
-    places = locate(store, keys, key_col).join(
-        store.directory.select("shard", "start"), "shard").select("doc_id", "shard", "offset", "length", "start")
+def fetch(store: Store, keys: DataFrame, key_col: str = "doc_id", occurrence_col: str | None = None) -> DataFrame:
+    """(doc_id, occurrence, start, n_tokens, ids) for the keys that the index
+    holds, a key asked for twice twice: ids are little-endian unsigned 32-bit
+    integers, read from the payload shards; start counts the ids of all
+    documents before."""
+    places = locate(store, keys, key_col, occurrence_col).join(
+        store.directory.select("shard", "start"), "shard").select("doc_id", "occurrence", "copies", "shard", "offset", "length", "start")
+    names = ["doc_id", "occurrence", "copies", "start", "n_tokens", "ids"]
 
     def cut_out(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
             payload = np.frombuffer(right["payload"][0].as_buffer(), f"<u{right['width'][0].as_py()}")
             off, n = left["offset"].to_numpy(), left["length"].to_numpy()
             ids = pa.array([payload[o:o + k].astype("<u4").tobytes() for o, k in zip(off.tolist(), n.tolist())], pa.binary())
-            return pa.table([left["doc_id"], pa.array(left["start"].to_numpy() + off), left["length"], ids],
-                            names=["doc_id", "start", "n_tokens", "ids"])
-        return pa.table([pa.array([], pa.int64())] * 3 + [pa.array([], pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+            return pa.table([left["doc_id"], left["occurrence"], left["copies"], pa.array(left["start"].to_numpy() + off), left["length"], ids], names=names)
+        return pa.table([pa.array([], pa.int64())] * 5 + [pa.array([], pa.binary())], names=names)
 
-    return places.groupBy("shard").cogroup(store.payload.groupBy("shard")).applyInArrow(
-        cut_out, "doc_id long, start long, n_tokens long, ids binary")
+    found = places.groupBy("shard").cogroup(store.payload.groupBy("shard")).applyInArrow(
+        frees_after(cut_out), "doc_id long, occurrence long, copies long, start long, n_tokens long, ids binary")
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copy", "copies")

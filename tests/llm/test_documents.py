@@ -98,8 +98,19 @@ def test_keep_one(edge):
     kept = simhash.keep_one(edge)
     assert kept.columns == edge.columns
     docs = pairs(edge)
-    groups = bf.components([(i, bf.fingerprint(t)) for i, t in docs if i is not None])
-    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([i for i in groups if groups[i] == i] + [None, None], key=repr)
+    last = 10 ** 6  # NULL ids are grouped like any other, after all of them
+    groups = bf.components([(last if i is None else i, bf.fingerprint(t)) for i, t in docs])
+    want = [None if i == last else i for i in groups if groups[i] == i]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_rows_that_share_an_id_are_judged_apart(spark, ready, frame):
+    one, two, three = bf.prose(60, 1), bf.prose(60, 30), bf.ITEM + " " + bf.prose(40, 60)
+    docs = frame([(1, one), (1, two), (1, one), (None, two), (None, three), (None, bf.prose(50, 80)), (2, three), (2, one)])
+    kept = rows(simhash.keep_one(docs), ["doc_id", "text"])
+    assert kept == sorted([(1, one), (1, two), (2, three), (None, bf.prose(50, 80))], key=repr)
+    clean = rows(decontam.drop_contaminated(docs, spark.createDataFrame(ITEMS, "item_id long, text string")), ["doc_id", "text"])
+    assert clean == sorted(((i, t) for i, t in pairs(docs) if t != three), key=repr)
 
 
 # -- decontamination --------------------------------------------------------
