@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +29,17 @@ _SYMBOLS = b"#*$%&|<>"
 @dataclass(frozen=True)
 class RepetitionRules:
     """Limits of the verdict. Coverage counts the characters of words inside
-    the second and later occurrences of an n-gram, each word once. The limits
-    leave room for one repeated heading in a short page; junk repeats most of
-    itself."""
+    the second and later occurrences of an n-gram, each word once. Repeats of
+    fewer than ``min_repeat_chars`` characters in all do not count: one
+    repeated heading says nothing about a short page."""
 
     min_words: int = 20
     max_repeat_percent: int = 30  # words in 8-word windows found twice or more
-    max_dup_line_share: float = 0.50  # of lines with a word
-    max_dup_line_chars: float = 0.30  # of the bytes of lines with a word
+    max_dup_line_share: float = 0.30  # of lines with a word
+    max_dup_line_chars: float = 0.20  # of the bytes of lines with a word
     max_coverage: dict[int, float] = field(
-        default_factory=lambda: {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20})
+        default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10})
+    min_repeat_chars: int = 100
 
 
 BASE_WINDOW = 8
@@ -102,7 +104,7 @@ def measure_text(text: str | None, rules: RepetitionRules) -> tuple:
     over = False
     lens = None
     lengths = sorted({*rules.max_coverage, BASE_WINDOW})
-    h1 = np.fromiter(map(hash, words), np.int64, n).view(np.uint64)
+    h1 = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
     h, at = h1, 1
     for length in lengths:
         if n < length:
@@ -118,11 +120,13 @@ def measure_text(text: str | None, rules: RepetitionRules) -> tuple:
         if length in rules.max_coverage:
             if lens is None:
                 lens = np.fromiter((len(w) if w.isascii() else len(w.decode("utf-8", "surrogatepass")) for w in words), np.int64, n)
-            share = int(lens[_covered(np.flatnonzero(kind == 2), length, n)].sum()) / word_chars
+            repeated = int(lens[_covered(np.flatnonzero(kind == 2), length, n)].sum())
+            share = repeated / word_chars
             worst = max(worst, share)
-            over |= share > rules.max_coverage[length]
+            over |= share > rules.max_coverage[length] and repeated >= rules.min_repeat_chars
     base_failed = n < rules.min_words or 100 * n_repeat > rules.max_repeat_percent * n
-    bad = over or dup_line_share > rules.max_dup_line_share or dup_line_chars > rules.max_dup_line_chars
+    lines_over = dup_line_share > rules.max_dup_line_share or dup_line_chars > rules.max_dup_line_chars
+    bad = over or (lines_over and dup_line_bytes >= rules.min_repeat_chars)
     return (n, word_chars, n_symbols, n_dup_lines, n_repeat, base_failed, not (base_failed or bad),
             dup_line_share, dup_line_chars, worst)
 

@@ -102,6 +102,21 @@ def coverage(text: str | None, n: int) -> float:
     return sum(len(w[i].decode()) for i in hit) / max(1, sum(len(x.decode()) for x in w))
 
 
+def keeps(text: str | None) -> bool:
+    """Verdict of the repetition rules with their default limits."""
+    t = text or ""
+    n, chars, _, dup, _, failed = quality(t)
+    if failed:
+        return False
+    lines = [x for x in t.split("\n") if space_words(x)]
+    again = sum(len(x.encode()) for k, x in enumerate(lines) if x in lines[:k])
+    whole = sum(len(x.encode()) for x in lines)
+    if "\n" in t and again >= 100 and (dup > 0.30 * len(lines) or again > 0.20 * whole):
+        return False
+    return not any(round(coverage(t, k) * chars) >= 100 and coverage(t, k) > limit for k, limit in
+                   {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}.items())
+
+
 def contamination(text: str | None, items: list[tuple]) -> tuple:
     w = piece_words(text)
     hit, found = set(), set()

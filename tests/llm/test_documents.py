@@ -49,11 +49,21 @@ def test_quality_verdict_and_filter(edge):
             assert m[9] == pytest.approx(max(bf.coverage(t, n) for n in limits))
     kept = quality.keep_good(edge)
     assert kept.columns == edge.columns
-    want = [i for i, t in bf.edge_texts() if quality.measure_text(t, quality.RepetitionRules())[6]]
+    want = [i for i, t in bf.edge_texts() if bf.keeps(t)]
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(want, key=repr)
     assert 17 not in want and 5 in want
 
 
+def test_quality_verdict_on_repeats(frame, given_docs):
+    heading = bf.prose(8, 50)
+    page = "\n".join([heading, bf.prose(50, 2), heading, bf.prose(30, 33)])  # one short heading twice: stays
+    long = "\n".join([bf.prose(25, 60), bf.prose(60, 2), bf.prose(25, 60), bf.prose(60, 33)])  # a passage of 25 words twice: goes
+    docs = frame([(1, page), (2, long), (3, bf.prose(90, 5))]).select("doc_id", "text").union(given_docs.select("doc_id", "text"))
+    got = sorted((r["doc_id"], r["kept"]) for r in quality.measure(docs).collect())
+    assert got == sorted((i, bf.keeps(t)) for i, t in pairs(docs))
+    assert {(1, True), (2, False), (3, True)} <= set(got)
+
+
 # -- simhash ----------------------------------------------------------------
 
 @given(st.integers(0, 2 ** 64 - 1), st.sets(st.integers(0, 63), max_size=2))
@@ -245,9 +255,20 @@ def test_schedule_of_documents(edge):
 
 
 def test_mixed_keeps_rows_in_order(edge):
-    out = mixing.mixed(edge, {"a": 1}, 1, 64)
-    assert out.columns == edge.columns
-    assert rows(out, ["doc_id", "text"]) == rows(edge, ["doc_id", "text"])
+    clash = edge.withColumnsRenamed({"slot": "mix_slot", "block": "row_index", "before": "__mix_slot"})
+    out = mixing.mixed(clash, {"a": 1}, 1, 64)
+    assert out.columns == clash.columns
+    got = [(r["doc_id"], r["source"], r["text"]) for r in out.collect()]  # partitions in order
+    assert sorted(got, key=repr) == rows(edge, ["doc_id", "source", "text"])
+    slot = {(c, k): s for c, k, _, _, s in mixing.period_schedule([1, 1])}
+    before, places = [0, 0], []
+    for i, s, t in sorted(got, key=lambda r: (r[1] != "a", r[0] is not None, r[0] or 0, len(r[2] or ""))):
+        c = int(s != "a")
+        places.append((slot[(c, 0)] + before[c] // 64 * 2, before[c], i, len(t or "")))
+        before[c] += len(t or "")
+    want = [(i, n) for _, _, i, n in sorted(places, key=lambda p: (p[0], p[1], p[2] is not None, p[2] or 0))]
+    assert sorted(want[:5], key=repr) == sorted(((i, len(t or "")) for i, _, t in got[:5]), key=repr)
+    assert [i for i, n in want if n] == [i for i, _, t in got if t]
 
 
 # -- token ids --------------------------------------------------------------
@@ -288,6 +309,9 @@ def test_token_store_round_trip(spark, edge, monkeypatch, shard):
         if i is not None and i not in want:
             want[i] = (start, len(ids), np.array(ids, "<u4").tobytes())
         start += len(ids)
+    everyone = tokenids.fetch(store, tokenids.all_keys(edge), occurrence_col="occurrence").collect()
+    assert sorted(((r["doc_id"], bytes(r["ids"])) for r in everyone), key=repr) == sorted(((i, np.array(encode(t), "<u4").tobytes()) for i, t in data), key=repr)
+    assert sorted(r["start"] for r in everyone) == np.cumsum([0] + [len(encode(t)) for _, t in data])[:-1].tolist()
     keys = spark.createDataFrame([(i,) for i in [*want, 777, None, 5]], "doc_id long")
     got = tokenids.fetch(store, keys).collect()
     assert {r["doc_id"]: (r["start"], r["n_tokens"], bytes(r["ids"])) for r in got} == want
@@ -320,7 +344,7 @@ def test_occurrences_of_a_hot_word_are_spread(spark, ready, frame, monkeypatch):
     docs = frame([(i, "the " * 40 + bf.prose(6, i)) for i in range(60)]).repartition(12)
     want = pitman_yor.score_documents(docs).toPandas()
     monkeypatch.setattr(pitman_yor, "GROUP_BYTES", 500)
-    entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 4).localCheckpoint()
+    entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 4)
     asked, models = pitman_yor._scoring_groups(entries, pitman_yor.train(entries).counts)
     sizes = asked.groupBy("bucket", "salt").count().toPandas()
     hot = asked.selectExpr("bucket", "octet_length(occ) n").groupBy("bucket").sum("n").toPandas().set_index("bucket")["sum(n)"].idxmax()
@@ -377,7 +401,7 @@ def test_pipeline_against_brute_force(spark, ready):
     got = corpus_pipeline.run(spark, SF).toPandas().sort_values("doc_id").reset_index(drop=True)
     docs = pd.read_parquet(f"{SF}/documents.parquet").sort_values("doc_id")
     items = [tuple(r) for r in pd.read_parquet(f"{SF}/benchmark.parquet")[["item_id", "text"]].values]
-    docs = docs[[quality.measure_text(t, quality.RepetitionRules())[6] for t in docs.text]]
+    docs = docs[[bf.keeps(t) for t in docs.text]]
     group = bf.components([(i, bf.fingerprint(t)) for i, t in zip(docs.doc_id, docs.text)])
     docs = docs[[group[i] == i for i in docs.doc_id]]
     docs = docs[[not bf.contamination(t, items)[-1] for t in docs.text]]
