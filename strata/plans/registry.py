@@ -61,4 +61,5 @@ def load_all() -> None:
         q_stream,
         q_protect,
         q_source,
+        q_increment,
     )
