@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,10 +17,17 @@ DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy")
 def parse_date(c, formats=DATE_FORMATS) -> Column:
     """The first format that parses wins; otherwise NULL (never raises).
 
-    Impossible dates such as ``2020-02-30`` are NULL.
+    Impossible dates such as ``2020-02-30`` are NULL. Only text of a format's
+    shape is parsed with it: a failed parse costs an exception a value.
     """
     s = F.trim(as_col(c).cast("string"))
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in formats])
+
+    def parsed(f: str) -> Column:
+        day = F.to_date(F.try_to_timestamp(s, F.lit(f)))
+        digits = re.sub("yyyy|MM|dd", lambda m: rf"\d{{{len(m[0])}}}", f)
+        return day if re.search("[A-Za-z]", digits.replace(r"\d", "")) else F.when(s.rlike(f"^{digits}$"), day)
+
+    return F.coalesce(*map(parsed, formats))
 
 
 def parse_timestamp(c, fmt: str | None = None) -> Column:

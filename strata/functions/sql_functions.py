@@ -8,6 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from strata.functions.numbers import DECIMAL_COMMA, GROUPED, PLAIN
+
+
+def _money(v: str) -> str:
+    """The shapes of ``numbers.parse_money``, from the same patterns."""
+    def shape(p: str) -> str:
+        return p.replace("\\", "\\\\")
+
+    return (f"try_cast(CASE WHEN {v} RLIKE '{shape(PLAIN)}' THEN {v} WHEN {v} RLIKE '{shape(DECIMAL_COMMA)}' THEN replace({v}, ',', '.') "
+            f"WHEN {v} RLIKE '{shape(GROUPED)}' THEN replace({v}, ',', '') END AS DOUBLE)")
+
+
 # name -> (parameters, return type, body)
 SQL_FUNCTIONS = {
     "mask_email": ("v STRING, privileged BOOLEAN", "STRING",
@@ -24,10 +36,7 @@ SQL_FUNCTIONS = {
     "parse_bool": ("v STRING", "BOOLEAN",
                    "CASE WHEN lower(trim(v)) IN ('true', 'y', '1', 'yes') THEN true "
                    "WHEN lower(trim(v)) IN ('false', 'n', '0', 'no') THEN false END"),
-    "parse_money": ("v STRING", "DOUBLE",
-                    "CASE WHEN trim(v) RLIKE '^-?[0-9]+,[0-9]{1,2}$' "
-                    "THEN try_cast(regexp_replace(trim(v), ',', '.') AS DOUBLE) "
-                    "ELSE try_cast(regexp_replace(trim(v), '[$,\\\\s]', '') AS DOUBLE) END"),
+    "parse_money": ("v STRING", "DOUBLE", _money("regexp_replace(v, '[$\\\\s]', '')")),
     "is_overdue": ("status STRING", "BOOLEAN", "status IN ('LATE', 'MISSED')"),
 }
 

@@ -166,12 +166,12 @@ def join_as_of(facts: DataFrame, versions: DataFrame, key, ts: str,
     version of the nearest earlier piece, found on a per-(key, piece) summary
     (one row per occupied piece), so a hot key is spread over many tasks and
     no row is replicated per piece it spans. Facts with
-    no version in force get NULL attributes (left semantics).
+    no version in force, or with a NULL key, get NULL attributes (left semantics).
     """
     keys = as_list(key)
     attrs = as_list(attrs) or [c for c in versions.columns if c not in keys + [valid_from, valid_to]]
     packed = F.struct(F.col("_t").alias("vf"), F.col("_vt").alias("vt"), *[F.col(a).alias(a) for a in attrs])
-    v = versions.select(*keys, F.col(valid_from).cast("timestamp").alias("_t"),
+    v = versions.dropna(subset=keys).select(*keys, F.col(valid_from).cast("timestamp").alias("_t"),
                         F.col(valid_to).cast("timestamp").alias("_vt"), *attrs)
     v = v.select(*keys, "_t", F.lit(0).alias("_kind"), packed.alias("_ver"))
     ver_type = v.schema["_ver"].dataType

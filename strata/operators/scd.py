@@ -161,12 +161,15 @@ class ChangeSpec:
     tie_break: list | None = None  # order of changes with equal sequence_by
 
 
-TOMBSTONE = "_deleted"
+TOMBSTONE, REPEAT, TIE = "_deleted", "_repeat", "_tie"
 
 
 def visible(table: DataFrame) -> DataFrame:
-    """A type 1 table kept with tombstones, without them."""
-    return table.where(~F.col(TOMBSTONE)).drop(TOMBSTONE) if TOMBSTONE in table.columns else table
+    """A table kept with tombstones (type 2: and with repeats), without
+    what only later batches need."""
+    for flag in (TOMBSTONE, REPEAT):
+        table = table.where(~F.col(flag)).drop(flag) if flag in table.columns else table
+    return table.drop(*[c for c in table.columns if c.startswith(TIE)])
 
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec, keep_tombstones: bool = False) -> DataFrame:
@@ -183,8 +186,11 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec
     without a change pass through; of the others the change times are read
     back from the versions (a version's start, and its end where none follows)
     and the new changes are put in their place, also those that are older
-    than the current version. (A repeat of a value that was dropped when it
-    arrived is not known any more to a change that comes in before it.)
+    than the current version. A repeat of a value opens no version, and a plain
+    table forgets it. With ``keep_tombstones`` every change stays as a row,
+    deletes flagged ``_deleted`` and repeats ``_repeat``: store that form when
+    changes may come late, and any split of the feed into batches gives the
+    same versions (see :func:`visible`).
 
     Changes with equal ``sequence_by`` are ordered by ``tie_break``, then by a
     hash of the row, so the result does not depend on task order.
@@ -204,6 +210,8 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec
         latest = latest_per_key(ch, keys, [seq], rest + ["_side", "_h"]).select(*cols, F.col("_is_delete").alias(TOMBSTONE))
         return latest if keep_tombstones else visible(latest)
     tracked = as_list(spec.tracked) or [c for c in changes.columns if c not in keys + [seq] + rest]
+    if keep_tombstones:
+        return _all_changes(target, ch.withColumn(TOMBSTONE, F.col("_is_delete")), keys, tracked, seq, rest)
     ties = ["_side", *rest, "_h"]
     new = ch.select(*keys, *tracked, seq, F.col("_is_delete").alias(TOMBSTONE), F.lit(1).alias("_side"), *[c for c in rest if c not in tracked],
                     F.xxhash64(*[F.col(c).cast("string") for c in tracked]).alias("_h"))
@@ -228,6 +236,32 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: ChangeSpec
     return target.join(ids, on, "left_anti").select(*out.columns).unionByName(out)
 
 
+def _all_changes(target: DataFrame | None, changes: DataFrame, keys, tracked, seq: str, rest) -> DataFrame:
+    """Type 2 in the stored form: old and new changes of the touched keys
+    ordered anew, every one kept; order does not depend on the batch."""
+    tie_cols = [f"{TIE}{i}" for i in range(len(rest))]
+    plain = [*keys, *tracked, "effective_from", TOMBSTONE, *tie_cols]
+    every = changes.select(*keys, *tracked, F.col(seq).alias("effective_from"), TOMBSTONE, *[F.col(c).alias(t) for c, t in zip(rest, tie_cols)])
+    rest_of_table = None
+    if target is not None:
+        ids = every.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+        on = F.lit(True)
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        every = every.unionByName(target.join(ids, on, "left_semi").select(*plain))
+        rest_of_table = target.join(ids, on, "left_anti")
+    every = every.dropDuplicates().withColumn("_hash", row_hash(tracked + [TOMBSTONE]))
+    order = ["effective_from", *tie_cols, "_hash"]
+    seen = neighbors(every, keys, order, ["_hash"]).withColumn(REPEAT, F.coalesce(F.col("prev__hash") == F.col("_hash"), F.lit(False)))
+    seen = seen.drop("prev__hash", "next__hash")
+    opened = neighbors(seen.where(~F.col(REPEAT)).withColumn("_any", F.lit(True)), keys, order, ["effective_from", "_any"], prefix_next="_nx_")
+    opened = opened.withColumns({"effective_to": F.col("_nx_effective_from"), "is_current": F.col("_nx__any").isNull()})
+    again = seen.where(F.col(REPEAT)).withColumns({"effective_to": F.lit(None).cast(every.schema["effective_from"].dataType), "is_current": F.lit(False)})
+    cols = [*keys, *tracked, "_hash", "effective_from", "effective_to", "is_current", TOMBSTONE, REPEAT, *tie_cols]
+    out = opened.select(*cols).unionByName(again.select(*cols))
+    return out if rest_of_table is None else rest_of_table.select(*cols).unionByName(out)
+
+
 def _versions(changes: DataFrame, keys, tracked, seq: str, ties) -> DataFrame:
     """Type 2 versions of a change feed: a delete is a change to the
     "deleted" state, whose version is dropped afterwards."""

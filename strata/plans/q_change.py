@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import scd as S
 from strata.plans.registry import query
+from strata.session import cut_lineage
 
 CUT = "2024-01-15 00:00:00"
 AT = "2024-01-20 12:00:00"
@@ -173,6 +174,17 @@ def apply_changes_scd2_two_batches(t):
     return S.apply_changes(first, _events(t, F.col("ts") >= _cut()), spec)
 
 
+@query("apply_changes_scd2_late_repeat", CDC2_SQL)
+def apply_changes_scd2_late_repeat(t):
+    """J8 type 2: a third of the changes comes late, between changes that
+    repeated the value before them; the stored form knows them all."""
+    spec = S.ChangeSpec(keys=["user_id"], sequence_by="ts", scd_type=2, delete_when=F.col("event_type") == "error",
+                        tracked=["event_type"], tie_break=["event_id"])
+    late = F.col("event_id") % 3 == 1
+    first = cut_lineage(S.apply_changes(None, _events(t, ~late), spec, keep_tombstones=True))
+    return S.visible(S.apply_changes(first, _events(t, late), spec, keep_tombstones=True))
+
+
 @query("apply_changes_scd1_late_update", CDC1_SQL)
 def apply_changes_scd1_late_update(t):
     """J8 type 1: the newer half arrives first; tombstones keep the older

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from strata.operators import layout
+from strata.operators import layout, skipping
+from strata.operators.skipping import IndexedTable
 from strata.plans.registry import query
 from strata.plans.sql import AGENTS, NATIONS, with_
 from strata.plans.star import Star
@@ -132,13 +133,16 @@ def write_table_merge(t):
     return files.read_files(t.spark, f"{root}/t", "parquet", mergeSchema=True).select("c_custkey", "c_name", "c_acctbal")
 
 
-@query("list_landing", "SELECT CAST(3 AS BIGINT) AS files, true AS all_filled")
+@query("list_landing", "SELECT true AS all_listed, true AS all_filled")
 def list_landing(t):
-    """The inventory of a landed table, without reading its contents."""
+    """The inventory of a landed table names every file that holds its
+    rows, without reading their contents."""
     root = run_dir(t.spark, "landing")
-    t.events.repartition(3).write.parquet(f"{root}/land")
-    inv = files.list_landing(t.spark, f"{root}/land", "*.parquet")
-    return inv.agg(F.count(F.lit(1)).alias("files"), F.bool_and(F.col("length") > 0).alias("all_filled"))
+    t.events.write.option("maxRecordsPerFile", 5000).parquet(f"{root}/land")
+    inv = files.list_landing(t.spark, f"{root}/land", "*.parquet").select("length", F.regexp_extract("path", "[^/]+$", 0).alias("name"))
+    held = t.spark.read.parquet(f"{root}/land").select(F.col("_metadata.file_name").alias("name")).distinct().withColumn("held", F.lit(True))
+    both = inv.join(held, "name", "full")
+    return both.agg(F.bool_and(F.col("length").isNotNull() & F.col("held")).alias("all_listed"), F.bool_and(F.col("length") > 0).alias("all_filled"))
 
 
 @query("schema_drift", """
@@ -172,14 +176,47 @@ def stream_expectations(t):
     return counts.agg(F.sum("r").alias("rows"), F.sum("p").alias("passed"), F.sum("f").alias("failed"))
 
 
-@query("compact_files", "SELECT CAST(1 AS BIGINT) AS files, count(*) AS rows FROM orders")
+@query("compact_files", """
+SELECT true AS fewer_files, true AS large_files_kept, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders""")
 def compact_files(t):
-    """Q1: many small files rewritten as few, same rows."""
-    root = run_dir(t.spark, "compact")
-    t.orders.repartition(12).write.parquet(f"{root}/small")
-    layout.compact(t.spark, f"{root}/small", f"{root}/large", target_bytes=1 << 40)
-    n = files.list_landing(t.spark, f"{root}/large", "*.parquet").agg(F.count(F.lit(1)).alias("files"))
-    return n.withColumn("rows", t.spark.read.parquet(f"{root}/large").agg(F.count(F.lit(1))).scalar())
+    """Q1: small files packed together, large ones left as they are, same
+    rows."""
+    table = IndexedTable(t.spark, f"{run_dir(t.spark, 'compact')}/t")
+    small = F.pmod(F.xxhash64("o_orderkey"), F.lit(4)) == 0
+    table.append(t.orders.where(~small).coalesce(2))
+    table.append(t.orders.where(small).repartition(24))
+    before = table.index().select("file", "length").collect()  # 26 paths
+    large = max(r["length"] for r in before)
+    table.compact(target_bytes=large, small_bytes=large // 2)
+    after = {r["file"] for r in table.index().select("file").collect()}
+    kept = {r["file"] for r in before if r["length"] >= large // 2} <= after
+    return table.read().agg(F.lit(len(after) < len(before)).alias("fewer_files"), F.lit(kept).alias("large_files_kept"), F.count(F.lit(1)).alias("rows"),
+                            F.sum("o_orderkey").alias("key_sum"))
+
+
+@query("cluster_two_keys", "SELECT true AS first_key_skips, true AS second_key_skips, count(*) AS rows FROM orders")
+def cluster_two_keys(t):
+    """Q2: files along a Hilbert curve over date and customer: a range of
+    either key alone opens at most half of them."""
+    table = IndexedTable(t.spark, f"{run_dir(t.spark, 'curve')}/t", ranges=["o_orderdate", "o_custkey"])
+    table.append(skipping.curve_by(t.orders, ["o_orderdate", "o_custkey"], 16))
+    top = t.orders.agg(F.max("o_custkey")).head()[0]
+    first = table.files(between={"o_orderdate": ("1996-01-01", "1996-01-31")}).agg(F.count(F.lit(1))).scalar()
+    second = table.files(between={"o_custkey": (top // 2, top // 2 + top // 50)}).agg(F.count(F.lit(1))).scalar()
+    total = table.index().agg(F.count(F.lit(1))).scalar()
+    return table.read().agg((first * 2 <= total).alias("first_key_skips"), (second * 2 <= total).alias("second_key_skips"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("skip_index_lookup", """
+SELECT o_orderkey, o_custkey, o_totalprice, true AS few_files FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)""")
+def skip_index_lookup(t):
+    """Q2: a point lookup opens the files that the stored Bloom filters leave
+    (minima and maxima leave all of them: the rows are in no order)."""
+    table = IndexedTable(t.spark, f"{run_dir(t.spark, 'bloom')}/t", ranges=["o_orderkey"], lookups=["o_orderkey"])
+    table.append(t.orders.repartition(16, "o_custkey"))
+    key = {"o_orderkey": t.orders.agg(F.max("o_orderkey")).head()[0]}
+    few = table.files(key).agg(F.count(F.lit(1)) * 4).scalar() <= table.index().agg(F.count(F.lit(1))).scalar()
+    return table.read(key).select("o_orderkey", "o_custkey", "o_totalprice", few.alias("few_files"))
 
 
 @query("cluster_files", "SELECT true AS skips_files, count(*) AS rows FROM orders")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.scd import ChangeSpec, apply_changes, visible
 from strata.sources import sinks
+from strata.sources.keyed import KeyedTable
 
 
 def apply_changes_stream(changes: DataFrame, table_root: str, checkpoint: str, spec: ChangeSpec):
@@ -31,6 +32,23 @@ def apply_changes_stream(changes: DataFrame, table_root: str, checkpoint: str, s
     return q
 
 
+def apply_changes_keyed(changes: DataFrame, table: KeyedTable, checkpoint: str, spec: ChangeSpec):
+    """The same into a :class:`KeyedTable`: a micro-batch reads and writes
+    the buckets of its keys, all others keep their files. Type 1 rows carry
+    ``_deleted`` (tombstones). A retried batch changes nothing, as above."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read for its buckets and for the merge; stored by the stream's source
+        try:
+            table.update(batch, lambda old, new: apply_changes(old, new, spec, keep_tombstones=True))
+        finally:
+            batch.unpersist()
+
+    q = changes.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()
+    q.awaitTermination()
+    return q
+
+
 def read_table(spark: SparkSession, table_root: str) -> DataFrame | None:
     """The current rows of a table kept by :func:`apply_changes_stream`."""
     cur = sinks.read_snapshot(spark, table_root)
