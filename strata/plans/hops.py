@@ -116,7 +116,7 @@ class Silver:
         """The stored rows of committed batches later than ``after``, as they
         were judged when they arrived."""
         folders = [self._path(hop, self._commit(hop, b)[0]) for b in self.batches(hop) if b > after]
-        return self.spark.read.parquet(*folders) if folders else None
+        return self.spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
 
     def _append(self, hop: Hop, batch: DataFrame, batch_id: int) -> None:
         if batch_id in self.batches(hop):

@@ -63,6 +63,7 @@ class KeptMarts:
         if batch <= state["batch"]:
             return
         manifests = {n: state["bases"].get(n, {}) for n in self.base}
+        changes = {n: self._stored(df, f"changes-{n}") for n, df in changes.items()}  # each is read several times
         old, delta, after = {}, {}, dict(manifests)
         for n, table in self.base.items():
             old[n] = table.rows(manifests[n])

@@ -2,11 +2,13 @@
 the insurance sources (as produced by ``strata.synth``).
 
 Bronze loads are ledgered (``copy_into``: a re-run adds nothing), lookups are
-read from their files. Silver cleans with the B operators; each cleaned and
-flagged table is written once, and passed rows, quarantine and scorecard are
-all derived from it. Gold is computed from silver, and published only when
-the quality gate passes. Every table is a snapshot behind a pointer under
-``<root>/<layer>/<name>``; paths may be any Hadoop URI.
+read from their files. Silver cleans with the B operators, incrementally
+(:mod:`strata.plans.hops`): a run reads the bronze rows that are new, judges
+again what they touch, and passed rows, quarantine and scorecard are views of
+the result (:func:`silver` is the same in one pass over everything). Gold is
+computed from silver, and published only when the quality gate passes. Other
+tables are snapshots behind pointers under ``<root>/<layer>/<name>``; paths may
+be any Hadoop URI.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from strata.operators.projection import validate_category
 from strata.operators.ranking import latest_per_key
 from strata.operators.scd import scd2_apply, scd2_seed
 from strata.plans import marts
+from strata.plans.hops import Hop, Parent
+from strata.plans.hops import Silver as HopStore
 from strata.sources import files, ingest, sinks
-from strata.sources.pointer import exists
+from strata.sources.pointer import exists, read_text, replace_text
 from strata.synth.land import FORMATS
 
 CUSTOMER_SCHEMA = ("customer_id string, first_name string, last_name string, email string, phone string, "
@@ -182,17 +186,117 @@ def silver(spark: SparkSession, root: str, run_ts: str) -> tuple[dict, DataFrame
         "state", F.upper(F.trim("status")).alias("status"),
         F.col("commission_rate").try_cast("double").alias("commission_rate"),
         parse_timestamp("updated_at").alias("updated_at"))
-    tracked = ["first_name", "last_name", "email", "branch", "region", "state", "status", "commission_rate"]
+    tracked = AGENT_TRACKED
     prev = sinks.read_snapshot(spark, _path(root, "silver", "dim_agent"))
     w.tables["dim_agent"] = scd2_seed(a, "agent_id", tracked, "updated_at") if prev is None else \
         scd2_apply(prev, a, "agent_id", tracked, "updated_at")
 
-    scorecard = _union(w.cards)
-    # what de-duplication removed is the difference, shown and not negative
-    counts = _union(w.counts).join(scorecard.select("table_name", "passed", "quarantined"), "table_name").withColumn(
+    return w.tables, *_reconciled(w.cards, w.counts, run_ts)
+
+
+def silver_hops(spark: SparkSession, root: str) -> dict[str, Hop]:
+    """The incremental form of :func:`silver`: its cleaning and rules, one
+    hop a table, parents first."""
+    states = sinks.read_snapshot(spark, _path(root, "bronze", "ref_us_states"))
+    status = [r.status_code for r in sinks.read_snapshot(spark, _path(root, "bronze", "ref_claim_status")).select("status_code").collect()]
+    loads = "/_load=*"
+
+    def customers(df: DataFrame, *carry: str) -> DataFrame:
+        c = df.select(
+            "customer_id", normalize_text("first_name", "title").alias("first_name"),
+            normalize_text("last_name", "title").alias("last_name"), F.lower(F.trim("email")).alias("email"), "phone",
+            normalize_text("city", "title").alias("city"), F.upper(F.trim("state")).alias("state"), "postal_code",
+            parse_date("date_of_birth").alias("date_of_birth"), parse_date("customer_since").alias("customer_since"),
+            "segment", parse_timestamp("updated_at").alias("updated_at"), "_source_file", "_ingest_ts", *carry)
+        return validate_category(c, "state", states, "state_code", "_bad_state").drop("_bad_state")
+
+    def policies(df: DataFrame, *carry: str) -> DataFrame:
+        return df.select(
+            "policy_id", "customer_id", "agent_id", "product_line", map_category("status", POLICY_STATUS_FIXES, POLICY_STATES).alias("status"),
+            parse_date("effective_date").alias("effective_date"), parse_date("expiration_date").alias("expiration_date"),
+            parse_money("annual_premium").alias("annual_premium"), F.col("sum_insured").cast("double").alias("sum_insured"),
+            "payment_frequency", "coverages", "vehicle", "property", *carry)
+
+    def claims(df: DataFrame, *carry: str) -> DataFrame:
+        amounts = [F.col(c).cast("double").alias(c) for c in ("reported_amount", "loss_amount", "paid_amount")]
+        return df.select(
+            "claim_id", "policy_id", "customer_id", parse_date("loss_date").alias("loss_date"), parse_date("claim_date").alias("claim_date"),
+            "peril_code", map_category("claim_status", CLAIM_STATUS_FIXES, status).alias("claim_status"), *amounts,
+            parse_bool("fraud_flag").alias("fraud_flag"), *carry)
+
+    def payments(df: DataFrame, *carry: str) -> DataFrame:
+        return df.select("payment_id", "policy_id", "installment_no", F.to_date("due_date").alias("due_date"),
+                         F.to_date("paid_date").alias("paid_date"), "amount_due", "amount_paid", "status", *carry)
+
+    def telematics(df: DataFrame, *carry: str) -> DataFrame:
+        return df.withColumn("event_ts", parse_timestamp("event_ts"))
+
+    def agents(df: DataFrame, *carry: str) -> DataFrame:
+        return df.select(
+            "agent_id", normalize_text("first_name", "title").alias("first_name"), normalize_text("last_name", "title").alias("last_name"),
+            "email", normalize_text("branch", "title").alias("branch"), F.initcap(F.trim("region")).alias("region"), "state",
+            F.upper(F.trim("status")).alias("status"), F.col("commission_rate").try_cast("double").alias("commission_rate"),
+            parse_timestamp("updated_at").alias("updated_at"), *carry)
+
+    out = {}
+    out["customers"] = Hop("customers", customers, [
+        ("email_present", F.col("email").isNotNull()), ("state_valid", F.col("state").isNotNull()),
+        ("dob_parsed", F.col("date_of_birth").isNotNull())], folders=loads, newest=("customer_id", "updated_at"))
+    out["policies"] = Hop("policies", policies, [
+        ("customer_exists", F.col("_fk_ok")), ("status_valid", F.col("status").isNotNull()),
+        ("premium_non_negative", F.col("annual_premium") >= 0), ("effective_parsed", F.col("effective_date").isNotNull())],
+        folders=loads, parents=[Parent(out["customers"], "customer_id", "_fk_ok")])
+    out["claims"] = Hop("claims", claims, [
+        ("policy_exists", F.col("sum_insured").isNotNull()), ("status_valid", F.col("claim_status").isNotNull()),
+        ("loss_within_limit", F.col("loss_amount") <= F.col("sum_insured")), ("fraud_flag_parsed", F.col("fraud_flag").isNotNull())],
+        folders=loads, parents=[Parent(out["policies"], "policy_id", "_policy_ok", ("sum_insured",))], distinct=True)
+    out["payments"] = Hop("payments", payments, [("amount_non_negative", F.col("amount_due") >= 0)], folders=loads)
+    out["telematics"] = Hop("telematics", telematics, [
+        ("speed_valid", F.col("speed_kmh").between(0, 300)), ("time_parsed", F.col("event_ts").isNotNull())],
+        folders=loads, newest=("event_id", "_ingest_ts"))
+    out["agents"] = Hop("agents", agents, [], folders=loads)
+    return {n: h for n, h in out.items() if exists(spark, _path(root, "bronze", n))}
+
+
+AGENT_TRACKED = ["first_name", "last_name", "email", "branch", "region", "state", "status", "commission_rate"]
+
+
+def silver_incremental(spark: SparkSession, root: str, run_ts: str) -> tuple[dict, DataFrame, DataFrame]:
+    """(tables, scorecard, reconciliation) after taking in what is new in
+    bronze. ``dim_agent`` is the next snapshot (published here), the other
+    tables are views."""
+    store = HopStore(spark, f"{root.rstrip('/')}/bronze", f"{root.rstrip('/')}/hops")
+    hops = silver_hops(spark, root)
+    tables, cards, counts = {}, [], []
+    for name, hop in hops.items():
+        store.run(hop)
+        if name == "agents":
+            continue
+        tables[name], tables[f"{name}_quarantine"] = store.passed(hop), store.quarantined(hop)
+        cards.append(K.scorecard_of_flagged(store.view(hop), name, hop.rules, run_ts))
+        counts.append(spark.createDataFrame([(name, store.ingested(hop))], "table_name string, ingested long"))
+    tables["policy_coverages"] = explode_lines(tables["policies"], "policy_id", "coverages")
+    tables["policies"] = tables["policies"].drop("coverages")
+
+    # agents: only the new rows meet the current dimension; doing it twice changes nothing
+    mark = _path(root, "silver", "_agents_taken")
+    taken = int(read_text(spark, mark) or -1)
+    new, dim = store.log(hops["agents"], taken), sinks.read_snapshot(spark, _path(root, "silver", "dim_agent"))
+    if new is not None:
+        dim = scd2_seed(new, "agent_id", AGENT_TRACKED, "updated_at") if dim is None else scd2_apply(dim, new, "agent_id", AGENT_TRACKED, "updated_at")
+        sinks.write_snapshot(spark, dim, _path(root, "silver", "dim_agent"))
+        replace_text(spark, mark, str(store.batches(hops["agents"])[-1]))
+    tables["dim_agent"] = sinks.read_snapshot(spark, _path(root, "silver", "dim_agent"))
+    return tables, *_reconciled(cards, counts, run_ts)
+
+
+def _reconciled(cards: list[DataFrame], counts: list[DataFrame], run_ts: str) -> tuple[DataFrame, DataFrame]:
+    """Scorecard, and counts: what de-duplication removed is the difference,
+    shown and not negative."""
+    scorecard = _union(cards)
+    rows = _union(counts).join(scorecard.select("table_name", "passed", "quarantined"), "table_name").withColumn(
         "deduplicated", F.col("ingested") - F.col("passed") - F.col("quarantined"))
-    counts = counts.withColumn("reconciled", F.col("deduplicated") >= 0).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
-    return w.tables, scorecard, counts
+    return scorecard, rows.withColumn("reconciled", F.col("deduplicated") >= 0).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
 
 
 def gate(scorecard: DataFrame, reconciliation: DataFrame, max_quarantine_rate: float = 0.5) -> DataFrame:
@@ -243,8 +347,7 @@ def run(spark: SparkSession, landing: str, root: str, run_ts: str, max_quarantin
     reconciliation rows are appended in every run; a failed gate raises
     :class:`GateFailed` and leaves the published gold as it was."""
     res = RunResult(loaded_files=bronze(spark, landing, root))
-    tables, scorecard, counts = silver(spark, root, run_ts)
-    s = _publish(spark, root, "silver", tables)
+    s, scorecard, counts = silver_incremental(spark, root, run_ts)
     scorecard.write.mode("append").parquet(_path(root, "ops", "dq_scorecard"))
     counts.write.mode("append").parquet(_path(root, "ops", "reconciliation"))
     res.scorecard = spark.read.parquet(_path(root, "ops", "dq_scorecard"))
