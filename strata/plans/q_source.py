@@ -199,7 +199,7 @@ def cluster_two_keys(t):
     """Q2: files along a Hilbert curve over date and customer: a range of
     either key alone opens at most half of them."""
     table = IndexedTable(t.spark, f"{run_dir(t.spark, 'curve')}/t", ranges=["o_orderdate", "o_custkey"])
-    table.append(skipping.curve_by(t.orders, ["o_orderdate", "o_custkey"], 16))
+    table.append(skipping.curve_by(t.orders, ["o_orderdate", "o_custkey"], 64))
     top = t.orders.agg(F.max("o_custkey")).head()[0]
     first = table.files(between={"o_orderdate": ("1996-01-01", "1996-01-31")}).agg(F.count(F.lit(1))).scalar()
     second = table.files(between={"o_custkey": (top // 2, top // 2 + top // 50)}).agg(F.count(F.lit(1))).scalar()

@@ -22,15 +22,19 @@ EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 def _slices(t, replays: bool = False, dirty: bool = False):
     """The events in arrival order (event id) cut into FILES slices;
-    replays of 'click' events arrive one slice after their original."""
+    replays of 'click' events arrive with their original, those of the last
+    hour before a cut in the next slice, so inside a two-hour watermark."""
     e = t.events.select(*EVENT_COLS)
     if dirty:
         e = e.withColumn("value", F.when(F.pmod("event_id", F.lit(50)) == 0, -F.col("value")).otherwise(F.col("value")))
     top = t.events.agg(F.max("event_id") + 1).scalar()
     e = e.withColumn("_file", F.floor(F.col("event_id") * FILES / top).cast("int"))
     if replays:
-        r = e.where(F.col("event_type") == "click").withColumn("_file", F.least(F.col("_file") + 1, F.lit(FILES - 1)))
-        e = e.unionByName(r)
+        ends = e.groupBy("_file").agg(F.max("ts").alias("_end"))  # one row a slice
+        r = e.where(F.col("event_type") == "click").join(F.broadcast(ends), "_file")
+        soon = F.col("ts") >= F.col("_end") - F.make_interval(hours=F.lit(1))
+        r = r.withColumn("_file", F.least(F.col("_file") + F.when(soon, 1).otherwise(0), F.lit(FILES - 1))).drop("_end")
+        e = e.unionByName(r.select(*e.columns))
     return e
 
 
@@ -151,3 +155,37 @@ def weekly_counts(t):
     out = e.groupBy(F.window("ts", "7 days").alias("w"), "user_id").agg(
         F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", "n", "total")
+
+
+LATE_FEED = """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 40 = 7 THEN ts - INTERVAL 5 DAY ELSE ts END AS ts, event_type,
+    CAST(floor(event_id * 3.0 / (SELECT max(event_id) + 1 FROM events)) AS INTEGER) AS slice FROM events),
+m AS (SELECT slice, max(ts) AS top FROM e GROUP BY slice),
+w AS (SELECT a.slice, max(b.top) AS top FROM m a LEFT JOIN m b ON b.slice < a.slice GROUP BY a.slice),
+l AS (SELECT e.*, coalesce(ts < top - INTERVAL 2 HOUR, false) AS late FROM e JOIN w USING (slice))
+SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_type, CASE WHEN late THEN 'late' ELSE 'kept' END AS outcome, true AS adds_up FROM l
+UNION ALL SELECT event_id, CAST(ts AS TIMESTAMP), event_type, 'late', true FROM l WHERE late AND event_type = 'click'"""
+
+
+@query("stream_late_quarantine", LATE_FEED)
+def stream_late_quarantine(t):
+    """S4/S2 in a running stream: late events land in a quarantine table,
+    replays of clicks are dropped, and kept + late + duplicates = sent."""
+    from strata.sources.sinks import move_path
+    from strata.streaming.quarantine import LateQuarantine
+
+    e = t.events.select("event_id", F.when(F.col("event_id") % 40 == 7, F.col("ts") - F.make_interval(days=F.lit(5))).otherwise(F.col("ts")).alias("ts"), "event_type")
+    top = t.events.agg(F.max("event_id") + 1).scalar()
+    e = e.withColumn("_file", F.floor(F.col("event_id") * FILES / top).cast("int"))
+    e = e.unionByName(e.where("event_type = 'click'"))
+    root = run_dir(t.spark, "late-quarantine")
+    e.write.partitionBy("_file").parquet(f"{root}/staging")
+    stream = S.event_time(file_stream(t.spark, f"{root}/input/part=*", "parquet", e.drop("_file").schema).drop("_source_file", "_ingest_ts"), "ts")
+    q = LateQuarantine(t.spark, f"{root}/t", "ts", "event_id", 2 * 3600)
+    for i in range(FILES):
+        move_path(t.spark, f"{root}/staging/_file={i}", f"{root}/input/part={i:04d}")
+        q.run(stream, f"{root}/ck")
+    n = q.counts()
+    adds = n["kept"] + n["late"] + n["duplicates"] == n["sent"] and F.lit(n["sent"]) == e.agg(F.count(F.lit(1))).scalar()
+    out = q.kept().withColumn("outcome", F.lit("kept")).unionByName(q.late().withColumn("outcome", F.lit("late")))
+    return out.withColumn("adds_up", adds if not isinstance(adds, bool) else F.lit(adds))
