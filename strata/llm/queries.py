@@ -239,11 +239,12 @@ def captures(pages: DataFrame) -> DataFrame:
 
 _CANON = """
 WITH raw AS (SELECT page_id, length(html) % 3 AS k, md5(html) AS tag, 'day ' || CAST(page_id // 2 AS VARCHAR) AS day,
-  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages),
-cut AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^.*@', ''), '^www[0-9]*\\.', ''), ':(80|443)$', '')
+  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u,
+  CASE lower(regexp_extract(trim(url), '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) WHEN 'http' THEN ':80$' WHEN 'https' THEN ':443$' ELSE '^$' END AS port FROM pages),
+cut AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^.*@', ''), '^www[0-9]*\\.', ''), port, '')
   || regexp_replace(regexp_extract(regexp_extract(u, '^[^/?]*(.*)$', 1), '^[^?]*'), '/+$', '') AS hp,
   array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?]*\\?(.*)$', 1), '&'),
-    lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|jsessionid|phpsessid)(=|$)'))), '&') AS q FROM raw),
+    lambda p: p <> '' AND NOT regexp_matches(lower(p), '^(utm_[a-z]+|fbclid|gclid|sessionid|jsessionid|phpsessid)(=|$)'))), '&') AS q FROM raw),
 p AS (SELECT page_id, k, tag, day, hp || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS url FROM cut)"""
 
 

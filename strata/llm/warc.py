@@ -23,20 +23,46 @@ from strata.llm.common import cut, materialize
 # The header fields that a 304 response may carry and update.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary", "last-modified", "age")
 # Query parameters that never select content.
-TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid|jsessionid|phpsessid)(=|$)"
+TRACKING = r"^(utm_[a-z]+|fbclid|gclid|sessionid|jsessionid|phpsessid)(=|$)"
+# Codes of the characters that mean the same escaped or not.
+UNRESERVED = "^(2D|2E|5F|7E|3[0-9]|4[1-9A-F]|5[0-9A]|6[1-9A-F]|7[0-9A])$"
+
+
+def _percent(text: Column) -> Column:
+    """Escapes of unreserved characters undone, others in upper case."""
+    def piece(x: Column, i: Column) -> Column:
+        code, rest = F.upper(F.substring(x, 1, 2)), F.substring(x, 3, 1 << 30)
+        return (F.when(i == 0, x).when(code.rlike(UNRESERVED), F.concat(F.char(F.conv(code, 16, 10).cast("int")), rest))
+                .when(code.rlike("^[0-9A-F]{2}$"), F.concat(F.lit("%"), code, rest)).otherwise(F.concat(F.lit("%"), x)))
+
+    return F.array_join(F.transform(F.split(text, "%"), piece), "")
+
+
+def _no_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments resolved."""
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, s: Column) -> Column:
+        back = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(done)
+        return F.when(s == ".", done).when(s == "..", back).otherwise(F.array_append(done, s))
+
+    return F.array_join(F.aggregate(F.split(path, "/"), none, step), "/")
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme, user, "www.", default port, fragment, tracking parameters and
-    trailing slashes dropped, host lower-cased, parameters sorted. NULL and
-    blank URLs are NULL."""
+    """Scheme, user, "www.", the scheme's default port, fragment, tracking
+    parameters and trailing slashes dropped, host lower-cased, dot segments and
+    needless escapes resolved, parameters sorted. NULL and blank URLs are
+    NULL."""
     bare = F.regexp_replace(F.trim(url.cast("string")), r"#.*$", "")
+    scheme = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     bare = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(bare, r"^[^/?]*", 0))
     rest = F.regexp_extract(bare, r"^[^/?]*(.*)$", 1)
-    host = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"^www[0-9]*\.", ""), r":(80|443)$", "")
-    path = F.regexp_replace(F.regexp_extract(rest, r"^[^?]*", 0), r"/+$", "")
-    query = F.filter(F.split(F.regexp_extract(rest, r"^[^?]*\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(p).rlike(TRACKING))
+    host = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"^www[0-9]*\.", "")
+    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
+    path = F.regexp_replace(_no_dots(_percent(F.regexp_extract(rest, r"^[^?]*", 0))), r"/+$", "")
+    query = F.filter(F.split(_percent(F.regexp_extract(rest, r"^[^?]*\?(.*)$", 1)), "&"), lambda p: (p != "") & ~F.lower(p).rlike(TRACKING))
     query = F.array_join(F.array_sort(query), "&")
     out = F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(out != "", out)

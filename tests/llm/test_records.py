@@ -82,8 +82,9 @@ def test_publish_once(spark, tmp):
 
 @pytest.mark.parametrize("url,want", [
     ("HTTP://User@WWW.Example.COM:80/A/b/?utm_source=x&b=2&a=1#frag", "example.com/A/b?a=1&b=2"),
-    ("https://www2.example.com:443/?ref=1", "example.com"), ("example.com", "example.com"), (None, None), ("  ", None), ("#x", None),
-    ("https://m.example.org/p.html?page=2&REF=x", "m.example.org/p.html?page=2"), ("http://e.org/a?b=1&&b=1", "e.org/a?b=1&b=1"),
+    ("https://www2.example.com:443/?ref=1", "example.com?ref=1"), ("http://e.org:443/", "e.org:443"), ("https://e.org:80", "e.org:80"), ("example.com", "example.com"),
+    ("http://e.org/%7eme/a%2fb/%zz/./c/../d/../../x%", "e.org/~me/a%2Fb/x%"), ("http://e.org/../a/..", "e.org"), ("http://e.org/a?q=%41%26", "e.org/a?q=A%26"), (None, None), ("  ", None), ("#x", None),
+    ("https://m.example.org/p.html?page=2&REF=x", "m.example.org/p.html?REF=x&page=2"), ("http://e.org/a?b=1&&b=1", "e.org/a?b=1&b=1"),
 ])
 def test_canonical_url(spark, url, want):
     df = spark.createDataFrame([(url,)], "u string").select(warc.canonical_url(F.col("u")).alias("c"))
