@@ -7,6 +7,7 @@ target holds.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -16,6 +17,7 @@ from strata.plans.registry import query
 from strata.plans.sql import AGENTS, NATIONS, with_
 from strata.plans.star import Star
 from strata.sources import files, ingest, schema, sinks
+from strata.sources.json_split import read_json_array_split
 from strata.streaming import ops
 from strata.streaming.runs import run_dir
 
@@ -94,6 +96,25 @@ def read_json_array(t):
     return files.read_json_array(t.spark, f"{root}/land", "p_partkey bigint, p_name string, p_brand string").select("p_partkey", "p_name", "p_brand")
 
 
+@query("read_json_array_split", "SELECT event_id, user_id, props FROM events")
+def read_json_array_split_q(t):
+    """A4: large arrays (one a partition of the events, whose ``props`` are
+    JSON text themselves), each read in byte ranges."""
+    def arrays(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(["["])], ["value"])
+        first = True
+        for b in batches:
+            rows = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([r if first and i == 0 else "," + r for i, r in enumerate(rows)], pa.string())], ["value"])
+            first = first and not rows
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+    root = run_dir(t.spark, "json-split")
+    e = t.events.select(F.to_json(F.struct("event_id", "user_id", "props")).alias("value"))
+    e.mapInArrow(arrays, "value string").write.text(f"{root}/land")
+    return read_json_array_split(t.spark, f"{root}/land", "event_id bigint, user_id bigint, props string")
+
+
 @query("copy_into_twice", "SELECT s_suppkey, s_name, CAST(1 AS BIGINT) AS copies FROM supplier")
 def copy_into_twice(t):
     """A second run over the same files, and a run after new ones, load
