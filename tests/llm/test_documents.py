@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on edge rows and on the
 given tables."""
 
+import collections
 import math
 import random
 import zlib
@@ -10,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -345,37 +347,106 @@ def test_occurrences_of_a_hot_word_are_spread(spark, ready, frame, monkeypatch):
     want = pitman_yor.score_documents(docs).toPandas()
     monkeypatch.setattr(pitman_yor, "GROUP_BYTES", 500)
     entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 4)
-    asked, models = pitman_yor._scoring_groups(entries, pitman_yor.train(entries).counts)
+    model = pitman_yor.train(entries)
+    asked, tables = pitman_yor._scoring_groups(entries, pitman_yor.ready(model), model.counts)
     sizes = asked.groupBy("bucket", "salt").count().toPandas()
     hot = asked.selectExpr("bucket", "octet_length(occ) n").groupBy("bucket").sum("n").toPandas().set_index("bucket")["sum(n)"].idxmax()
-    assert asked.count() == entries.where("bucket >= 0").count()
+    assert asked.count() == entries.count()
     assert sizes[sizes.bucket == hot]["count"].max() <= 0.6 * sizes[sizes.bucket == hot]["count"].sum()
-    assert models.groupBy("bucket", "salt").count().where("count > 1").count() == 0
+    assert tables.groupBy("bucket", "salt").count().where("count > 1").count() == 0
     got = pitman_yor.score_documents(docs).toPandas()
     both = want.merge(got, on="doc_id")
     assert len(both) == 60 and np.allclose(both.score_x, both.score_y, rtol=1e-9) and (both.n_known_x == both.n_known_y).all()
 
 
-def test_probabilities_add_up(spark, ready, frame):
-    docs = frame([(i, bf.prose(30 + i, i)) for i in range(40)])
-    entries = pitman_yor.count_entries(docs, "false", "doc_id", "text", 1)
+def bigrams(texts):
+    for text in texts:
+        words = (text or "").lower().split()
+        yield from zip(["", *words], [*words, " end "])
+
+
+def lm_hash(word):
+    return xxhash.xxh64_intdigest(word.encode()) if word else 0
+
+
+def test_restaurants_are_the_real_words_before(spark, ready, frame):
+    texts = [bf.prose(30 + i, i) for i in range(40)] + [None, "", "lone", "Lone lone lone"]
+    entries = pitman_yor.count_entries(frame(list(enumerate(texts))), "false", "doc_id", "text", 3)
     model = pitman_yor.train(entries)
-    row = model.counts.collect()[0].asDict()
-    s = model.settings
-    bucket = pitman_yor.replay(row, model.totals[:-1], (model.customers, model.n_words, s))
-    g = pitman_yor.Totals(np.array(model.customers), np.array(model.totals[-1]), model.n_words, s)
-    assert bucket.tables().tolist() == model.totals[-1]
-    assert (bucket.t2 <= bucket.count).all() and (bucket.t1 <= bucket.c1).all() and (bucket.t0 <= bucket.c0).all()
-    p0 = np.append(g.root(bucket.c0, bucket.t0), g.root(0, 0))  # the last: the unknown word
-    assert p0.sum() == pytest.approx(1)
-    for leaf in np.unique(bucket.leaf)[:20]:
-        near = leaf % pitman_yor.NEAR
-        c1, t1, c2, t2 = (np.zeros(len(p0)) for _ in range(4))
-        at = bucket.near == near
-        c1[bucket.pair_word[at]], t1[bucket.pair_word[at]] = bucket.c1[at], bucket.t1[at]
-        at = bucket.leaf == leaf
-        c2[bucket.word_of[at]], t2[bucket.word_of[at]] = bucket.count[at], bucket.t2[at]
-        assert g.context(c2, t2, leaf, g.parent(c1, t1, near, p0)).sum() == pytest.approx(1)
+    want = collections.Counter(bigrams(texts))
+    cut = (1 << 40) - 1
+    got = {}
+    for row in model.counts.collect():
+        n_ctx = np.frombuffer(row["n_ctx"], "<u4")
+        for w, u, c in zip(np.repeat(np.frombuffer(row["words"], "<u8"), n_ctx), pitman_yor.unpack(row["ctx"]), np.frombuffer(row["count"], "<i8")):
+            got[int(u), int(w)] = int(c)
+    assert got == {(lm_hash(u) & cut, lm_hash(w)): c for (u, w), c in want.items()}
+    seated = collections.Counter()
+    for row in model.state.collect():
+        dishes = pitman_yor._dishes(row.asDict(), model.settings)
+        ends = np.append(dishes.start[1:], len(dishes.sizes))
+        for i, (a, b) in enumerate(zip(dishes.start, ends)):  # the tables seat all customers, empty ones last
+            sizes, t = dishes.sizes[a:b], dishes.tables[i]
+            assert sizes.sum() == dishes.count[i] and (sizes[:t] > 0).all() and (sizes[t:] == 0).all()
+        mean = np.frombuffer(row["sum"], "<f8") / (model.settings.samples * model.settings.passes)
+        assert (mean >= 1).all() and (mean <= dishes.count).all()
+        for u, t in zip(dishes.ctx.tolist(), mean):
+            seated[u] += t
+    for (u, _), c in want.items():
+        seated[lm_hash(u) & cut] += c == 1
+    contexts = {r["ctx"]: (r["tables"], r["customers"]) for r in model.contexts.collect()}
+    assert len(contexts) == len({u for u, _ in want})
+    for u, (tables, customers) in contexts.items():
+        assert tables == pytest.approx(seated[u])
+        assert customers == sum(c for (x, _), c in want.items() if lm_hash(x) & cut == u)
+
+
+def test_probabilities_add_up_and_give_the_scores(spark, ready, frame):
+    texts = [bf.prose(30 + i, i) for i in range(40)] + [None, "lone", "Lone lone lone unheard-of"]
+    docs = frame([(i, t) for i, t in enumerate(texts)])
+    s = pitman_yor.Settings(burn_in=1, samples=1)
+    held = "doc_id = 42"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # seeds go by bucket
+    model = pitman_yor.train(pitman_yor.count_entries(docs, held, "doc_id", "text", buckets, training=True), s)
+    contexts = {r["ctx"]: (r["tables"], r["customers"]) for r in model.contexts.collect()}
+    root, bonus = {}, {}
+    for row in pitman_yor.ready(model).collect():
+        words, n_ctx = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["n_ctx"], "<u4")
+        root |= dict(zip(words.tolist(), np.frombuffer(row["root"], "<f8")))
+        bonus |= dict(zip(zip(np.repeat(words, n_ctx).tolist(), pitman_yor.unpack(row["ctx"]).tolist()), np.frombuffer(row["bonus"], "<f4").astype(float)))
+    unknown = s.root / (model.n_root + s.root * (model.n_words + 1))
+    assert sum(root.values()) + unknown == pytest.approx(1)
+
+    def p(u, w):
+        tables, customers = contexts.get(u, (0, 0))
+        return root.get(w, unknown) * (1 + bonus.get((w, u), 0.0)) * (s.strength + s.discount * tables) / (s.strength + customers)
+
+    for u in contexts:
+        assert sum(p(u, w) for w in [*root, -1]) == pytest.approx(1, rel=1e-5)
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, held=held, settings=s).collect()}
+    for i, text in enumerate(texts):
+        want = sum(math.log10(p(lm_hash(u) & ((1 << 40) - 1), lm_hash(w))) for u, w in bigrams([text]))
+        assert got[i] == pytest.approx(want, rel=1e-5)
+
+
+def test_sampler_draws_the_exact_posterior():
+    """Tables of one dish given all others: generalised Stirling numbers times
+    the seating weights of the restaurant and the root."""
+    s = pitman_yor.Settings(discount=0.6, strength=0.8, root=0.5, moves=6, passes=20)
+    c, others, rest, n_root, n_words, n = 6, 3.0, 2, 6, 3, 20_000
+    stirling = np.zeros((c + 1, c + 2))
+    stirling[0, 0] = 1
+    for m in range(c):
+        for t in range(1, m + 2):
+            stirling[m + 1, t] = stirling[m, t - 1] + (m - s.discount * t) * stirling[m, t]
+    want = np.array([stirling[c, t] * np.prod([(s.strength + s.discount * (others + i)) * (rest + i + s.root) / (n_root + i + s.root * (n_words + 1))
+                                               for i in range(t)]) for t in range(1, c + 1)])
+    dishes = pitman_yor.Dishes(np.arange(n), np.zeros(n, np.uint64), np.full(n, c), np.full(n, rest), s)
+    rng = np.random.default_rng(5)
+    for _ in range(s.passes):
+        dishes.sweep(np.full(n, others), n_root + dishes.tables, n_words, rng)
+    got = np.bincount(dishes.tables, minlength=c + 1)[1:] / n
+    assert np.abs(got - want / want.sum()).max() < 0.015
 
 
 # -- empty tables -----------------------------------------------------------
