@@ -37,12 +37,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, compression: str = "zstd", release: bool = False) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: cuts the
-    lineage, survives lost executors, and later readers prune columns."""
+    lineage, survives lost executors, and later readers prune columns.
+    ``release``: the shuffles of the write go when it has ended, not when the
+    driver happens to collect garbage."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true" if release else before)
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
