@@ -18,11 +18,12 @@ RUNTIME_DEFAULTS = {
     # one task: AQE splits a partition 5x the median and > 256 MB.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Broadcast a join side only when Spark has measured it (plan statistics,
-    # or AQE's runtime shuffle statistics) below 50 MB; larger sides stay
-    # sort-merge joins.
-    "spark.sql.autoBroadcastJoinThreshold": "50m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "50m",
+    # Broadcast what AQE has measured below 10 MB of rows. Plan statistics
+    # count compressed file bytes and miss the rows that explode() makes, so
+    # they decide for tables of a few hundred KB only; a wrong guess would
+    # take the driver's memory with it.
+    "spark.sql.autoBroadcastJoinThreshold": "256k",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
 }
 
 

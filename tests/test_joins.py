@@ -9,6 +9,7 @@ from strata.operators import joins as J
 import pytest
 
 from strata.operators._util import broadcast_dim
+from strata.session import configure
 
 
 def test_salted_equals_plain(spark):
@@ -68,3 +69,18 @@ def test_salted_join_types(spark):
 def test_fan_out(spark):
     df = spark.range(3)
     assert J.fan_out(df, "s", ["a", "b"]).count() == 6
+
+
+def plan_after_run(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compressed_bytes_do_not_decide_on_a_broadcast(spark, tmp):
+    """Some 10 MB of files hold 48 MB of rows."""
+    configure(spark)
+    spark.range(2_000_000).select("id", F.lit(1.0).alias("v")).write.parquet(f"{tmp}/p")
+    p = spark.read.parquet(f"{tmp}/p")
+    assert p._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 24 << 20
+    out = J.join_inner(spark.range(3_000_000).where("id % 100000 = 0"), p, "id").groupBy("id").agg(F.sum("v"))
+    assert "BuildRight" not in plan_after_run(out)
