@@ -125,14 +125,15 @@ def salted_join(big: DataFrame, small: DataFrame, key, n: int = 16, how: str = "
     is replicated once per salt value with ``explode(sequence)``. Same rows as
     the plain join, for inner, left, semi and anti joins; right and full
     joins would repeat the unmatched rows of the replicated side and are
-    rejected.
+    rejected. The replicated side is never broadcast: plan statistics do not
+    see the ``n`` copies, and a broadcast would need no salt.
     """
     if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"):
         raise ValueError(f"salted_join replicates the right side: a {how} join would repeat its unmatched rows")
     keys = as_list(key)
     salt_src = [F.col(c) for c in (row_id or big.columns)]
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), F.lit(n)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")
     return b.join(s, keys + ["_salt"], how).drop("_salt")
 
 

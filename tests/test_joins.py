@@ -84,3 +84,9 @@ def test_compressed_bytes_do_not_decide_on_a_broadcast(spark, tmp):
     assert p._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 24 << 20
     out = J.join_inner(spark.range(3_000_000).where("id % 100000 = 0"), p, "id").groupBy("id").agg(F.sum("v"))
     assert "BuildRight" not in plan_after_run(out)
+
+
+def test_salted_join_does_not_broadcast_its_copies(spark):
+    big = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
+    assert "Broadcast" not in plan_after_run(J.salted_join(big, small, "k", n=16))
