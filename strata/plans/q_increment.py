@@ -233,11 +233,9 @@ SELECT p_partkey, count(*) AS orders, {xsum('o_totalprice')} AS amount FROM p JO
 def interval_overlap(t):
     """Orders whose span of days overlaps a campaign of their area; one
     campaign in fifty lasts four years."""
-    from strata.functions.numbers import exact_sum
-
     o, p = _spans(t)
-    pairs = intervals.interval_join(p, o, ("p_from", "p_to"), ("o_from", "o_to"), on="area")
-    return pairs.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("amount"))
+    met = intervals.interval_join(p, o, ("p_from", "p_to"), ("o_from", "o_to"), on="area", how="totals", sums={"amount": "o_totalprice"}, count="orders")
+    return met.groupBy("p_partkey").agg(F.sum("orders").alias("orders"), F.sum("amount").cast("double").alias("amount"))
 
 
 @query("point_in_interval", _SPANS + """

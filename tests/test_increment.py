@@ -216,6 +216,39 @@ def test_interval_join_against_all_pairs(spark, left, right):
     assert semi == sorted({(i,) for i, _ in want}, key=repr)
 
 
+@given(st.lists(st.tuples(st.integers(-20, 20), st.sampled_from([0, 1, 3, 8, 50, -1])), max_size=9),
+       st.lists(st.tuples(st.integers(-20, 20), st.sampled_from([0, 1, 4, 16, 70]), st.sampled_from([None, 1.25, -3.0])), max_size=9))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+def test_interval_totals_against_all_pairs(spark, left, right):
+    a = [(n % 5, n % 2, lo, lo + w) for n, (lo, w) in enumerate(left + left[:3])] + [(90, 0, None, 5), (91, None, 0, 5)]
+    b = [(n % 2, lo, lo + w, v) for n, (lo, w, v) in enumerate(right)] + [(None, 0, 5, 9.0), (0, None, 5, 9.0)]
+    fa = spark.createDataFrame(a, "ai int, g int, alo long, ahi long")
+    fb = spark.createDataFrame(b, "g int, blo long, bhi long, v double")
+    for on in (["g"], []):
+        want = []
+        for x in a:
+            ok = x[2] is not None and x[2] <= x[3] and (not on or x[1] is not None)
+            met = [y[3] for y in b if ok and y[1] is not None and (not on or x[1] == y[0]) and max(x[2], y[1]) <= min(x[3], y[2])]
+            if met:
+                values = [v for v in met if v is not None]
+                want.append((x[0], x[1], x[2], x[3], len(met), sum(values) if values else None))
+        r = fb if on else fb.drop("g")
+        got = intervals.interval_join(fa, r, ("alo", "ahi"), ("blo", "bhi"), on, "totals", {"s": "v"}, "n")
+        assert rows(got.withColumn("s", F.col("s").cast("double")), "ai", "g", "alo", "ahi", "n", "s") == sorted(want, key=repr)
+        semi = intervals.interval_join(fa, r, ("alo", "ahi"), ("blo", "bhi"), on, "left_semi")
+        assert rows(semi, *fa.columns) == sorted([w[:4] for w in want], key=repr)
+
+
+def test_totals_and_semi_joins_make_no_pairs(spark):
+    """Nine million pairs, of one key."""
+    a = spark.range(3000).select("id", F.lit(0).alias("lo"), F.lit(10).alias("hi"))
+    b = spark.range(3000).select(F.lit(5).alias("blo"), F.lit(6).alias("bhi"))
+    out = intervals.interval_join(a, b, ("lo", "hi"), ("blo", "bhi"), how="totals")
+    assert out.agg(F.sum("rows")).first()[0] == 9_000_000
+    for df in (out, intervals.interval_join(a, b, ("lo", "hi"), ("blo", "bhi"), how="left_semi")):
+        assert "_bin" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_long_intervals_make_few_rows(spark):
     a = spark.createDataFrame([(0, date(1900, 1, 1), date(2100, 1, 1))], "ai int, alo date, ahi date")
     b = spark.range(300).select("id", F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("blo"))
