@@ -23,16 +23,17 @@ WEIGHT = "_w"
 SUM_TYPE = "decimal(38,6)"
 
 
-def keyed_delta(old: DataFrame | None, changes: DataFrame, keys, deleted: str = "_deleted") -> DataFrame:
+def keyed_delta(old: DataFrame | None, changes: DataFrame, keys, deleted: str = "_deleted", matched: bool = False) -> DataFrame:
     """Delta of a keyed table under ``changes`` (one row a key, flagged
     ``deleted`` or with the row that counts now): old rows of the keys leave,
-    new ones come."""
+    new ones come. ``matched``: ``old`` holds rows of these keys only."""
     keys = as_list(keys)
     new = changes.where(~F.col(deleted)).drop(deleted)
     plus = new.withColumn(WEIGHT, F.lit(1).cast("long"))
     if old is None:
         return plus
-    minus = old.join(changes.select(*keys), keys, "left_semi").select(*new.columns).withColumn(WEIGHT, F.lit(-1).cast("long"))
+    minus = old if matched else old.join(changes.select(*keys), keys, "left_semi")
+    minus = minus.select(*new.columns).withColumn(WEIGHT, F.lit(-1).cast("long"))
     return plus.unionByName(minus)
 
 

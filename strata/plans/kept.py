@@ -20,7 +20,7 @@ from strata.functions.flags import is_overdue
 from strata.functions.numbers import safe_ratio
 from strata.operators.incremental import WEIGHT, aggregate_delta, consolidate, keyed_delta, left_join_delta, merge_aggregate
 from strata.operators.nested import expand_months
-from strata.sources.keyed import KeyedTable, replace_keys
+from strata.sources.keyed import KeyedTable
 from strata.sources.pointer import read_text, replace_text
 
 GRAIN = ["month_key", "product_line", "state"]
@@ -51,7 +51,7 @@ class KeptMarts:
 
     def _store(self, df: DataFrame, name: str) -> str:
         path = f"marts/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{path}")
+        df.write.option("compression", "zstd").parquet(f"{self.root}/{path}")
         return path
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
@@ -63,14 +63,15 @@ class KeptMarts:
         if batch <= state["batch"]:
             return
         manifests = {n: state["bases"].get(n, {}) for n in self.base}
-        changes = {n: self._stored(df, f"changes-{n}") for n, df in changes.items()}  # each is read several times
+        # changes of a table with rows are read twice
+        changes = {n: self._stored(df, f"changes-{n}") if manifests[n] else df for n, df in changes.items()}
         old, delta, after = {}, {}, dict(manifests)
         for n, table in self.base.items():
             old[n] = table.rows(manifests[n])
             if n in changes:
-                near = table.rows(manifests[n], set(table.touched(changes[n])))  # only the touched buckets
-                delta[n] = keyed_delta(near, changes[n], BASES[n])
-                after[n] = table.write(manifests[n], changes[n], replace_keys(BASES[n]))
+                after[n], left, came = table.merge(manifests[n], changes[n])  # reads the touched buckets only
+                came = changes[n].where("_deleted").limit(0) if came is None else came.withColumn("_deleted", F.lit(False))
+                delta[n] = keyed_delta(left, came, BASES[n], matched=True)
         new = {n: t.rows(after[n]) for n, t in self.base.items()}
         marts = dict(state["marts"])
         if delta.keys() & {"customers", "policies", "claims"}:

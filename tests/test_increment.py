@@ -116,6 +116,23 @@ def test_keyed_table_writes_touched_buckets_only(spark, tmp):
     assert table.current() == second
 
 
+def test_merge_moves_rows_once_and_returns_what_left(spark, tmp):
+    ids = ["ab", "AB", "abc", "", "0f" * 32, "ab\n", "é", "x" + "0f" * 32]
+    frame = lambda r: spark.createDataFrame(r, "k string, v int, _deleted boolean")
+    table = KeyedTable(spark, tmp, "k", buckets=2)
+    first, left, came = table.merge({}, frame([(k, n, False) for n, k in enumerate(ids)] + [("gone", 9, True)]))
+    assert came.count() == len(ids)
+    assert left is None and rows(table.rows(first), "k", "v") == sorted(((k, n) for n, k in enumerate(ids)), key=repr)
+    second, left, came = table.merge(first, frame([("ab", 50, False), ("é", None, True), ("new", 7, False), ("never", 1, True), ("0f" * 32, 60, False)]))
+    assert rows(came, "k", "v") == sorted([("ab", 50), ("new", 7), ("0f" * 32, 60)], key=repr)
+    assert rows(left, "k", "v") == sorted([("ab", 0), ("é", 6), ("0f" * 32, 4)], key=repr)
+    want = {**{k: n for n, k in enumerate(ids) if k != "é"}, "ab": 50, "0f" * 32: 60, "new": 7}
+    assert rows(table.rows(second), "k", "v") == sorted(want.items(), key=repr)
+    assert rows(table.rows(first), "k", "v") == sorted(((k, n) for n, k in enumerate(ids)), key=repr)
+    third, left, came = table.merge(second, frame([(k, None, True) for k in want]))
+    assert third == {} and came is None and left.count() == len(want)
+
+
 CHANGE = st.tuples(st.integers(1, 2), st.sampled_from("ab"), st.booleans(), st.integers(1, 6))
 
 
