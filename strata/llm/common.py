@@ -28,6 +28,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session defaults; Arrow batches are bounded by bytes as well as rows,
     so a batch of very long texts stays small."""
     configure(spark)
+    for limit in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(limit, "50m")  # the limits that these operators were checked under
     spark.conf.set(ARROW_BYTES, str(8 << 20))
     return spark
 
