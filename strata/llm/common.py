@@ -58,6 +58,15 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd", release: bo
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, once nothing reads them."""
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable eager checkpoint into the shared folder (narrow frames)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, cut, frees_after, frees_memory, materialize
+from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, cut, discard, frees_after, frees_memory, materialize
 
 END = np.uint64(xxhash.xxh64_intdigest(b" end "))  # no word holds white space
 BEGIN = np.uint64(0)
@@ -335,7 +335,8 @@ def _step(n_root: float, n_words: int, round_no: int, settings: Settings):
 @dataclass(frozen=True)
 class Model:
     """Stored counts, the last seating with its sums, and (ctx, tables,
-    customers) of all restaurants under the averaged seating."""
+    customers) of all restaurants under the averaged seating; ``stored``: the
+    tables that these read."""
 
     counts: DataFrame
     state: DataFrame
@@ -345,6 +346,7 @@ class Model:
     n_root: float
     begin: tuple[float, int]
     settings: Settings
+    stored: tuple[DataFrame, ...] = ()
 
 
 def _flat(df: DataFrame, rows, schema: str) -> DataFrame:
@@ -387,8 +389,8 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
             for row in b.to_pylist():
                 yield _begin(row, s)
 
-    state = seats = materialize(counts.mapInArrow(frees_memory(first), _STATE), "lm-seats")
-    dishes = state.drop("sizes", "sum", "tables")
+    begun = state = seats = materialize(counts.mapInArrow(frees_memory(first), _STATE), "lm-seats")
+    dishes = begun.drop("sizes", "sum", "tables")
 
     def tables(row: dict) -> list:
         dishes = _dishes(row, s)
@@ -400,18 +402,21 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
         known = own.select("bucket", "ctx", F.sum("tables").over(Window.partitionBy("ctx")).alias("own"))  # at most a row a bucket
         known = known.join(contexts.select("ctx", "single").hint("merge"), "ctx").select("bucket", "ctx", (F.col("own") + F.col("single")).alias("tables"))
 
-        seats = materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS), "lm-seats", release=True)
+        left, seats = seats, materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS), "lm-seats", release=True)
         state = dishes.join(seats.hint("merge"), "bucket")  # a row a bucket
+        if r:
+            discard(left)
 
     def mean(row: dict) -> list:
         return _by_context(row["bucket"], unpack(row["ctx"]), _u(row["sum"], "<f8") / (s.samples * s.passes))
 
     averaged = _flat(state, mean, "bucket int, ctx long, tables double").groupBy("ctx").agg(F.sum("tables").alias("own"))
-    contexts = materialize(contexts.join(averaged.hint("merge"), "ctx", "left").select(
+    single, contexts = contexts, materialize(contexts.join(averaged.hint("merge"), "ctx", "left").select(
         "ctx", (F.col("single") + F.coalesce("own", F.lit(0.0))).alias("tables"), "customers"), "lm-contexts", release=True)
+    discard(single)
     n_root = contexts.agg(F.coalesce(F.sum("tables"), F.lit(0.0))).head()[0]
     begin = contexts.where(F.col("ctx") == int(BEGIN)).agg(F.sum("tables"), F.sum("customers")).head()
-    return Model(counts, state, contexts, int(n_tokens), n_words, n_root, (begin[0] or 0.0, int(begin[1] or 0)), s)
+    return Model(counts, state, contexts, int(n_tokens), n_words, n_root, (begin[0] or 0.0, int(begin[1] or 0)), s, (counts, begun, seats, contexts))
 
 
 _NO_SEATS = pa.table([pa.array([], pa.int32()), *[pa.array([], pa.binary())] * 2, pa.array([], pa.int64())], names=[f.split()[0] for f in _SEATS.split(", ")])
@@ -582,6 +587,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     scoring = materialize(ready(model), "lm-scoring", release=True)
     asked, tables = _scoring_groups(count_entries(docs, held, id_col, text_col, buckets), scoring, model.counts)
+    discard(*model.stored)  # before the entries travel, the largest shuffle
     parts = asked.groupBy("bucket", "salt").cogroup(tables.groupBy("bucket", "salt")).applyInArrow(frees_after(score), _PART)
     out = parts.groupBy("block").applyInArrow(
         frees_after(collect), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -3,6 +3,7 @@ given tables."""
 
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -450,6 +451,22 @@ def test_sampler_draws_the_exact_posterior():
     assert np.abs(got - want / want.sum()).max() < 0.015
 
 
+def test_model_tables_are_gone_before_the_entries_travel(spark, ready, frame, monkeypatch):
+    stored = []
+
+    def spy(df, name, **options):
+        stored.append((name, materialize(df, name, **options)))
+        files[name] = files.get(name, []) + stored[-1][1].inputFiles()
+        return stored[-1][1]
+
+    files, materialize = {}, pitman_yor.materialize
+    monkeypatch.setattr(pitman_yor, "materialize", spy)
+    out = pitman_yor.score_documents(frame([(i, bf.prose(20, i)) for i in range(30)]))
+    left = {name for name, paths in files.items() if any(os.path.exists(p.removeprefix("file:")) for p in paths)}
+    assert len(stored) >= 6 and left == {"lm-scoring"}
+    assert out.count() == 30 and out.where("score < 0").count() == 30  # also when read twice
+
+
 # -- empty tables -----------------------------------------------------------
 
 def test_empty_tables(spark, ready, frame):
