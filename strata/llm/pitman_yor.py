@@ -5,11 +5,12 @@ all sharing the root. A restaurant's dishes are the words that followed; the
 customers of the root are the tables of all restaurants. The root has discount
 zero over the V training words and one unknown word, so that its predictive
 probabilities depend on its customers alone and its own tables need no
-sampling. Gibbs sweeps take customers out of a dish one at a time, chosen at
-random, and seat each again given all others (``Settings.moves`` a dish and
-sweep, whatever its size). The seatings of the sampled sweeps are averaged, and
-with them the predictive probabilities, which are linear in a dish's and a
-restaurant's number of tables and in the probability of the root.
+sampling. In a Gibbs sweep all customers of every dish are taken out and seated
+again given all other dishes (``table_counts.draw``, whatever the dish's size),
+in ``Settings.moves`` turns that see the turns before. The seatings of the
+sampled sweeps are averaged, and with them the predictive probabilities, which
+are linear in a dish's and a restaurant's number of tables and in the
+probability of the root.
 
 How it is spread: a block of documents is reduced inside one task to its
 different (word, previous word) entries, dealt to buckets by word. A bucket
@@ -45,6 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm import table_counts
 from strata.llm.common import SPACE_WORD, batch_words, bounded_runs, cut, discard, frees_after, frees_memory, materialize
 
 END = np.uint64(xxhash.xxh64_intdigest(b" end "))  # no word holds white space
@@ -59,9 +61,10 @@ _CODEC = pa.Codec("zstd", compression_level=3)
 
 @dataclass(frozen=True)
 class Settings:
-    """Discount and strength of the context restaurants, what the root adds to
-    each word's customers, rounds (an exchange of table totals each), sweeps
-    a round, customers seated again a dish and sweep."""
+    """Discount (between 0 and 1) and strength of the context restaurants,
+    what the root adds to each word's customers, rounds (an exchange of table
+    totals each), sweeps a round, turns a sweep (each dish is seated again in
+    one of them)."""
 
     discount: float = 0.7
     strength: float = 0.5
@@ -224,58 +227,46 @@ def _gather(t: pa.Table) -> pa.Table:
 
 
 class Dishes:
-    """The dishes of a bucket with two customers or more, and their tables:
-    ``sizes`` holds each dish's tables one after another, with room for those
-    that the sweeps may open."""
+    """The dishes of a bucket with two customers or more, and the number of
+    tables of each: no probability depends on more of the seating."""
 
     def __init__(self, word_of: np.ndarray, ctx: np.ndarray, count: np.ndarray, single: np.ndarray, settings: Settings,
-                 sizes: np.ndarray | None = None):
+                 tables: np.ndarray | None = None):
         self.word_of, self.ctx, self.count, self.single, self.s = word_of, ctx, count, single, settings
-        room = np.minimum(count, 1 + settings.moves * settings.passes * settings.rounds)
-        self.start = np.cumsum(room) - room
-        if sizes is None:
-            sizes = np.zeros(int(room.sum()), np.int64)
-            sizes[self.start] = count
-        self.sizes = sizes.astype(np.int64)
-        self.tables = np.add.reduceat((self.sizes > 0).astype(np.int64), self.start) if len(count) else count
+        self.tables = np.ones(len(count), np.int64) if tables is None else tables.astype(np.int64)
+
+    @property
+    def start(self) -> np.ndarray:
+        """Where the tables of each dish begin in ``sizes``."""
+        return np.cumsum(self.tables) - self.tables
+
+    @property
+    def sizes(self) -> np.ndarray:
+        """Customers of each table in one of the seatings with these tables:
+        all but the first have one."""
+        out = np.ones(int(self.tables.sum()), np.int64)
+        out[self.start] += self.count - self.tables
+        return out
 
     def customers(self) -> np.ndarray:
         """Of each word at the root."""
         return self.single + np.bincount(self.word_of, weights=self.tables, minlength=len(self.single)).astype(np.int64)
 
     def sweep(self, others: np.ndarray, n_root: float, n_words: int, rng: np.random.Generator) -> None:
-        """``others``: tables of the other dishes of each dish's restaurant;
-        ``n_root``: customers of the root."""
-        if not len(self.count):
-            return
-        s, d, n = self.s, self.s.discount, self.count
-        rest = self.customers()[self.word_of] - self.tables  # the word's customers at the root from other restaurants
+        """All customers of every dish leave and are seated again. ``others``:
+        tables of the other dishes of each dish's restaurant; ``n_root``:
+        customers of the root."""
+        s = self.s
         root = n_root - self.tables + s.root * (n_words + 1)
-        begin, t = np.cumsum(n) - n, self.tables
-        for _ in range(s.moves):
-            # one customer leaves, each with the same chance
-            j = np.searchsorted(np.cumsum(self.sizes), begin + np.floor(rng.random(len(n)) * n).astype(np.int64), "right")
-            self.sizes[j] -= 1
-            shut = self.sizes[j] == 0
-            last = self.start + t - 1
-            self.sizes[j[shut]] = self.sizes[last[shut]]
-            self.sizes[last[shut]] = 0
-            t = t - shut
-            # and takes a seat again
-            new = (s.strength + d * (others + t)) * (rest + t + s.root) / (root + t)
-            room = n - 1 - d * t
-            opens = rng.random(len(n)) * (new + room) < new
-            weight = np.where(self.sizes > 0, self.sizes - d, 0.0)
-            upto = np.cumsum(weight)
-            pick = np.searchsorted(upto, upto[self.start] - weight[self.start] + rng.random(len(n)) * room, "right")
-            pick = np.clip(pick, self.start, self.start + t - 1)  # sums are rounded
-            self.sizes[np.where(opens, self.start + t, pick)] += 1
-            t = t + opens
-        self.tables = t
-
-
-_STATE = "bucket int, n_rep binary, ctx binary, count binary, single binary, sizes binary, sum binary, tables long"
-_SEATS = "bucket int, sizes binary, sum binary, tables long"  # what a round changes
+        strength = s.strength + s.discount * others
+        for turn in range(s.moves):
+            at = slice(turn, None, s.moves)
+            rest = self.customers()[self.word_of[at]] - self.tables[at]  # the word's customers at the root from other restaurants
+            self.tables[at] = table_counts.draw(self.count[at], strength[at], rest + s.root, root[at], s.discount, rng)
+
+
+_STATE = "bucket int, n_rep binary, ctx binary, count binary, single binary, seats binary, sum binary, tables long"
+_SEATS = "bucket int, seats binary, sum binary, tables long"  # what a round changes
 
 
 def _begin(row: dict, settings: Settings) -> pa.RecordBatch:
@@ -296,13 +287,13 @@ def _state(bucket: int, dishes: Dishes, total: np.ndarray) -> pa.RecordBatch:
 
 
 def _seats(dishes: Dishes, total: np.ndarray) -> list:
-    return [dishes.sizes.astype("<i8").tobytes(), total.astype("<f8").tobytes(), int(dishes.tables.sum())]
+    return [dishes.tables.astype("<i8").tobytes(), total.astype("<f8").tobytes(), int(dishes.tables.sum())]
 
 
 def _dishes(row: dict, settings: Settings) -> Dishes:
     n_rep = _u(row["n_rep"], "<u4").astype(np.int64)
     return Dishes(np.repeat(np.arange(len(n_rep)), n_rep), unpack(row["ctx"]), _u(row["count"], "<i8"),
-                  _u(row["single"], "<u4").astype(np.int64), settings, _u(row["sizes"], "<i8"))
+                  _u(row["single"], "<u4").astype(np.int64), settings, _u(row["seats"], "<i8"))
 
 
 def run_round(row: dict, ctx: np.ndarray, tables: np.ndarray, n_root: float, n_words: int, round_no: int, settings: Settings) -> pa.Table:
@@ -390,7 +381,7 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
                 yield _begin(row, s)
 
     begun = state = seats = materialize(counts.mapInArrow(frees_memory(first), _STATE), "lm-seats")
-    dishes = begun.drop("sizes", "sum", "tables")
+    dishes = begun.drop("seats", "sum", "tables")
 
     def tables(row: dict) -> list:
         dishes = _dishes(row, s)
@@ -435,7 +426,7 @@ def _ready(left: pa.Table, right: pa.Table, n_root: float, n_words: int, s: Sett
         return pa.table([pa.array([], k) for k in (pa.int32(), *[pa.binary()] * 7, pa.int64())], names=[f.split()[0] for f in _READY.split(", ")])
     row = left.to_pylist()[0]
     seats = right.filter(pa.compute.is_valid(right["sum"]))
-    known = right.filter(pa.compute.is_valid(right["ctx"])).sort_by("ctx")
+    known = right.select(["ctx", "tables", "customers"]).filter(pa.compute.is_valid(right["ctx"])).sort_by("ctx")
     ids = known["ctx"].to_numpy().astype(np.uint64)
     words, n_ctx = _u(row["words"], "<u8"), _u(row["n_ctx"], "<u4").astype(np.int64)
     word_of, ctx, count = np.repeat(np.arange(len(words)), n_ctx), unpack(row["ctx"]), _u(row["count"], "<i8")

@@ -16,7 +16,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm import decontam, licenses, mixing, pitman_yor, quality, simhash, tokenids
+from strata.llm import decontam, licenses, mixing, pitman_yor, quality, simhash, table_counts, tokenids
 from strata.llm.queries import tokenizer_file
 
 SF = "/root/testdata/sf0.001"
@@ -451,6 +451,36 @@ def test_sampler_draws_the_exact_posterior():
     assert np.abs(got - want / want.sum()).max() < 0.015
 
 
+@pytest.mark.parametrize("c, others, rest, n_root", [(40, 30, 50, 400), (1000, 300, 40, 3000), (1500, 200, 60, 2000), (1500, 90_000, 3_000, 90_000)])
+def test_one_sweep_seats_all_customers_of_a_large_dish(c, others, rest, n_root):
+    """From one table, a single sweep draws from the exact posterior."""
+    s, n, n_words = pitman_yor.Settings(), 2_000, 9
+    log_s = np.full(c + 1, -np.inf)  # generalised Stirling numbers
+    log_s[0] = 0
+    for m in range(c):
+        log_s[1:m + 2] = np.logaddexp(log_s[:m + 1], np.log(np.maximum(m - s.discount * np.arange(1, m + 2), 1e-300)) + log_s[1:m + 2])
+        log_s[0] = -np.inf
+    i = np.arange(c)
+    weight = log_s[1:] + np.cumsum(np.log((s.strength + s.discount * (others + i)) * (rest + i + s.root) / (n_root + i + s.root * (n_words + 1))))
+    want = np.exp(weight - weight.max()) / np.exp(weight - weight.max()).sum()
+    mean, var = want @ (i + 1), want @ (i + 1) ** 2 - (want @ (i + 1)) ** 2
+    dishes = pitman_yor.Dishes(np.arange(n), np.zeros(n, np.uint64), np.full(n, c), np.full(n, rest), s)
+    dishes.sweep(np.full(n, float(others)), n_root + dishes.tables, n_words, np.random.default_rng(7))
+    assert mean > 5.5 and abs(dishes.tables.mean() - mean) < 4 * math.sqrt(var / n)
+    assert abs(dishes.tables.var() / var - 1) < 0.2
+    got = np.cumsum(np.bincount(dishes.tables, minlength=c + 1)[1:]) / n
+    assert np.abs(got - np.cumsum(want)).max() < 1.95 / math.sqrt(n)  # Kolmogorov-Smirnov, 0.1 %
+
+
+def test_chances_above_the_recursion():
+    for d in (0.3, 0.7, 0.9):
+        t = np.arange(1, 1025)
+        sums = table_counts.log_stirling(d)[1024, 1:] - math.lgamma(1025) + [math.lgamma(x + 1) for x in t] + t * math.log(d)
+        assert np.abs(table_counts.log_chance(np.full(1024, 1024), t, d) - sums).max() < 1e-4
+    one = math.lgamma(10**6 - 0.7) - math.lgamma(10**6 + 1) + math.log(0.7) - math.lgamma(0.3)  # of one variable
+    assert table_counts.log_chance(np.array([10**6]), np.array([1]), 0.7)[0] == pytest.approx(one, abs=1e-6)
+
+
 def test_model_tables_are_gone_before_the_entries_travel(spark, ready, frame, monkeypatch):
     stored = []
 
