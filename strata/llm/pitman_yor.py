@@ -144,18 +144,23 @@ def _block(block: int, ids: pa.Array, held: pa.Array, texts: pa.Array, buckets:
     order_w = np.lexsort((hashes, home))
     rank = np.empty(len(order_w), np.int64)
     rank[order_w] = np.arange(len(order_w))
-    key = rank[tokens] * (len(hashes) + 1) + before
+    key = rank[tokens]
+    key *= len(hashes) + 1
+    key += before
+    del tokens, before, is_word, words
     order = np.argsort(key, kind="stable")
-    key = key[order]
+    key, occ = key[order], doc[order]
+    del order, doc
     first = _firsts(key)
     n_occ = np.diff(np.append(first, len(key)))
     entry_word, entry_before = np.divmod(key[first], len(hashes) + 1)
+    del key
     entry_ctx = context_id(np.append(hashes, BEGIN))[entry_before]
+    del entry_before
     word_first = _firsts(entry_word)
     n_ctx = np.diff(np.append(word_first, len(entry_word)))
     word = hashes[order_w][entry_word[word_first]]
     word_home = home[order_w][entry_word[word_first]].astype(np.int64)
-    occ = doc[order]
 
     cut_w = _firsts(word_home)
     rows = []
@@ -215,11 +220,15 @@ def _gather(t: pa.Table) -> pa.Table:
         words.append(np.repeat(_u(w, "<u8"), _u(n, "<u4")))
         ctx.append(unpack(c))
         counts.append(_u(k, "<u4"))
-    word, ctx, count = np.concatenate(words), np.concatenate(ctx), np.concatenate(counts).astype(np.int64)
+    word, ctx, count = np.concatenate(words), np.concatenate(ctx), np.concatenate(counts)
+    del words, counts
     order = np.lexsort((ctx, word))
-    word, ctx, count = word[order], ctx[order], count[order]
+    word = word[order]
+    ctx = ctx[order]
+    count = count[order]
+    del order
     first = _firsts(word, ctx)
-    word, ctx, count = word[first], ctx[first], np.add.reduceat(count, first)
+    word, ctx, count = word[first], ctx[first], np.add.reduceat(count, first, dtype=np.int64)
     at = _firsts(word)
     n_ctx = np.diff(np.append(at, len(word)))
     return _row(_COUNTS, [t["bucket"][0].as_py(), word[at].astype("<u8").tobytes(), n_ctx.astype("<u4").tobytes(), pack(ctx),
