@@ -39,22 +39,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-llm/{name}-{uuid.uuid4().hex}"
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str, compression: str = "zstd", release: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "zstd", release: bool = False,
+                task_bytes: int | None = None) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: cuts the
     lineage, survives lost executors, and later readers prune columns.
     ``release``: the shuffles of the write go when it has ended, not when the
-    driver happens to collect garbage."""
+    driver happens to collect garbage. ``task_bytes``: what Spark puts together
+    for a task of the write's shuffles, if not the session's advisory size."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    before = spark.conf.get(RELEASE, "false")
-    spark.conf.set(RELEASE, "true" if release else before)
+    before = {RELEASE: spark.conf.get(RELEASE, "false"), ADVISORY: spark.conf.get(ADVISORY)}
+    spark.conf.set(RELEASE, "true" if release else before[RELEASE])
+    spark.conf.set(ADVISORY, before[ADVISORY] if task_bytes is None else str(task_bytes))
     try:
         df.write.option("compression", compression).parquet(path)
     finally:
-        spark.conf.set(RELEASE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -55,6 +55,7 @@ CONTEXT_BYTES = 5
 BLOCK_BYTES = 12 << 20  # above the batch size: a batch is a block, unless one text is longer
 BLOCK_DOCS = 60_000
 GROUP_BYTES = 32 << 20  # block entries scored together
+TASK_BYTES = 16 << 20  # of a stored step's shuffles: large blobs take several times their size in a task
 TOKEN_BYTES = 10  # of an entry with its occurrences
 _CODEC = pa.Codec("zstd", compression_level=3)
 
@@ -372,7 +373,7 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
     """Counts over all training documents, then the rounds."""
     s = settings or Settings()
     counts = materialize(entries.select("bucket", "words", "n_ctx", "ctx", "n_occ").groupBy("bucket").applyInArrow(frees_after(_gather), _COUNTS),
-                         "lm-counts", release=True)
+                         "lm-counts", release=True, task_bytes=TASK_BYTES)
     n_words, n_tokens = counts.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).head()
     n_words = int(n_words) // 8
 
@@ -381,7 +382,7 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
         return _by_context(row["bucket"], unpack(row["ctx"]), (count == 1).astype(float), count.astype(float))
 
     contexts = materialize(_flat(counts, all_dishes, "bucket int, ctx long, single double, customers double")
-                           .groupBy("ctx").agg(F.sum("single").alias("single"), F.sum("customers").alias("customers")), "lm-contexts", release=True)
+                           .groupBy("ctx").agg(F.sum("single").alias("single"), F.sum("customers").alias("customers")), "lm-contexts", release=True, task_bytes=TASK_BYTES)
     n_single = contexts.agg(F.coalesce(F.sum("single"), F.lit(0.0))).head()[0]
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +403,7 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
         known = own.select("bucket", "ctx", F.sum("tables").over(Window.partitionBy("ctx")).alias("own"))  # at most a row a bucket
         known = known.join(contexts.select("ctx", "single").hint("merge"), "ctx").select("bucket", "ctx", (F.col("own") + F.col("single")).alias("tables"))
 
-        left, seats = seats, materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS), "lm-seats", release=True)
+        left, seats = seats, materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS), "lm-seats", release=True, task_bytes=TASK_BYTES)
         state = dishes.join(seats.hint("merge"), "bucket")  # a row a bucket
         if r:
             discard(left)
@@ -412,7 +413,7 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
 
     averaged = _flat(state, mean, "bucket int, ctx long, tables double").groupBy("ctx").agg(F.sum("tables").alias("own"))
     single, contexts = contexts, materialize(contexts.join(averaged.hint("merge"), "ctx", "left").select(
-        "ctx", (F.col("single") + F.coalesce("own", F.lit(0.0))).alias("tables"), "customers"), "lm-contexts", release=True)
+        "ctx", (F.col("single") + F.coalesce("own", F.lit(0.0))).alias("tables"), "customers"), "lm-contexts", release=True, task_bytes=TASK_BYTES)
     discard(single)
     n_root = contexts.agg(F.coalesce(F.sum("tables"), F.lit(0.0))).head()[0]
     begin = contexts.where(F.col("ctx") == int(BEGIN)).agg(F.sum("tables"), F.sum("customers")).head()
@@ -585,9 +586,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def collect(t: pa.Table) -> pa.Table:
         return _collect_block(t, begin)
 
-    scoring = materialize(ready(model), "lm-scoring", release=True)
+    scoring = materialize(ready(model), "lm-scoring", release=True, task_bytes=TASK_BYTES)
     asked, tables = _scoring_groups(count_entries(docs, held, id_col, text_col, buckets), scoring, model.counts)
     discard(*model.stored)  # before the entries travel, the largest shuffle
+    # so many partitions are not put together again: a task keeps few groups
+    asked, tables = (df.repartition(buckets, "bucket", "salt") for df in (asked, tables))
     parts = asked.groupBy("bucket", "salt").cogroup(tables.groupBy("bucket", "salt")).applyInArrow(frees_after(score), _PART)
     out = parts.groupBy("block").applyInArrow(
         frees_after(collect), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
