@@ -403,7 +403,8 @@ def train(entries: DataFrame, settings: Settings | None = None) -> Model:
         known = own.select("bucket", "ctx", F.sum("tables").over(Window.partitionBy("ctx")).alias("own"))  # at most a row a bucket
         known = known.join(contexts.select("ctx", "single").hint("merge"), "ctx").select("bucket", "ctx", (F.col("own") + F.col("single")).alias("tables"))
 
-        left, seats = seats, materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS), "lm-seats", release=True, task_bytes=TASK_BYTES)
+        left, seats = seats, materialize(state.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_step(n_root, n_words, r, s), _SEATS),
+                                         "lm-seats", release=True, task_bytes=TASK_BYTES)
         state = dishes.join(seats.hint("merge"), "bucket")  # a row a bucket
         if r:
             discard(left)
